@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.operators.relational import scalar
+from tidewell.session import materialize
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank_name: str = "rank_no") -> DataFrame:
@@ -30,55 +30,60 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return top_n(df, keys, order, 1).drop("rank_no")
 
 
-def cumulative_histogram(df: DataFrame, value: str, slices: int = 64) -> DataFrame:
-    """Distinct non-NULL values with their count and the number of rows strictly below.
+def cumulative_histogram(df: DataFrame, values: Sequence[str], slices: int = 64) -> DataFrame:
+    """Distinct non-NULL values of each column with their row count and the number of rows strictly below.
 
-    Columns: value, `n`, `below`. Equal values are counted before the shuffle, so a dominant value is one row.
-    The running sum is taken inside value slices (cut at approximate quantiles, which only steer the
-    parallelism, never the result) and shifted by the totals of the lower slices - at most `slices` numbers.
+    Columns: `item` (column name), `value` (double), `n`, `below`, `total`. All columns are counted in one pass
+    and equal values are added up before the shuffle, so a dominant value is one row. The counts are written
+    once to the shared folder; the running sum is then taken inside value slices and shifted by the totals of
+    the lower slices - `slices` numbers per column. Slices are cut at approximate quantiles of the distinct
+    values, which only steer the parallelism and never the result.
     """
-    rows = df.where(F.col(value).isNotNull())
-    hist = rows.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(v).alias("item"), F.col(v).cast("double").alias("value")) for v in values])))
+    counted = long.where(F.col("value").isNotNull()).groupBy("item", "value").agg(F.count(F.lit(1)).alias("n"))
+    hist = materialize(counted, "histogram")
     cuts = [i / slices for i in range(1, slices)]
-    bounds = scalar(rows, F.percentile_approx(F.col(value).cast("double"), cuts, 1000))
-    sliced = hist.withColumn("_bounds", bounds).withColumn(
-        "_slice", F.size(F.filter("_bounds", lambda b: b < F.col(value).cast("double")))
-    ).drop("_bounds")
-    totals = sliced.groupBy("_slice").agg(F.sum("n").alias("n"))
-    ladder = scalar(totals, F.collect_list(F.struct("_slice", "n")))
-    offset = F.aggregate(
-        F.filter(F.col("_ladder"), lambda s: s["_slice"] < F.col("_slice")), F.lit(0).cast("bigint"), lambda acc, s: acc + s["n"]
-    )
-    w = Window.partitionBy("_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    bounds = hist.groupBy("item").agg(F.percentile_approx("value", cuts, 1000).alias("bounds"), F.sum("n").alias("total"))
+    sliced = hist.join(F.broadcast(bounds), "item").withColumn("slice", F.size(F.filter("bounds", lambda b: b < F.col("value")))).drop("bounds")
+    ladder = sliced.groupBy("item", "slice").agg(F.sum("n").alias("slice_n"))
+    ladder = ladder.groupBy("item").agg(F.collect_list(F.struct("slice", "slice_n")).alias("ladder"))
+    lower = F.filter("ladder", lambda s: s["slice"] < F.col("slice"))
+    offset = F.aggregate(lower, F.lit(0).cast("bigint"), lambda acc, s: acc + s["slice_n"])
+    w = Window.partitionBy("item", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        sliced.withColumn("_ladder", ladder)
-        .withColumn("below", offset + F.coalesce(F.sum("n").over(w), F.lit(0)))
-        .select(value, "n", "below")
+        sliced.withColumn("inside", F.coalesce(F.sum("n").over(w), F.lit(0)))
+        .join(F.broadcast(ladder), "item")
+        .select("item", "value", "n", (offset + F.col("inside")).alias("below"), "total")
     )
 
 
-def pct_rank_average(df: DataFrame, value: str, alias: str) -> DataFrame:
-    """Attach average rank / number of non-NULL values; tied values share the mean of their ranks."""
-    hist = cumulative_histogram(df, value)
-    total = scalar(df, F.count(value).cast("double"))
-    ranks = hist.select(value, ((F.col("below") + (F.col("n") + 1) / F.lit(2.0)) / total).alias(alias))
-    return df.join(ranks, value, "left")
+def pct_rank_average(df: DataFrame, aliases: dict[str, str]) -> DataFrame:
+    """Attach average rank / number of non-NULL values per column; tied values share the mean of their ranks.
+
+    `aliases` maps each value column to the name of its rank.
+    """
+    hist = cumulative_histogram(df, list(aliases))
+    rank = (F.col("below") + (F.col("n") + 1) / F.lit(2.0)) / F.col("total")
+    out = df
+    for value, alias in aliases.items():
+        ranks = hist.where(F.col("item") == value).select(F.col("value").alias("_value"), rank.alias(alias))
+        out = out.join(ranks, F.col(value).cast("double") == F.col("_value"), "left").drop("_value")
+    return out
 
 
 def exact_quantiles(df: DataFrame, value: str, probabilities: dict[str, float]) -> DataFrame:
     """One row with exact linearly interpolated quantiles, without sorting the data in one task."""
-    hist = cumulative_histogram(df, value)
-    last = scalar(df, F.count(value) - 1)
+    hist = cumulative_histogram(df, [value])
     picks = []
     for name, p in probabilities.items():
-        position = last.cast("double") * F.lit(p)
+        position = (F.col("total") - 1).cast("double") * F.lit(p)
         for edge, at in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             covers = (F.col("below") <= at) & (at < F.col("below") + F.col("n"))
-            picks.append(F.max(F.when(covers, F.col(value).cast("double"))).alias(f"{name}_{edge}"))
-    edges = hist.agg(*picks)
+            picks.append(F.max(F.when(covers, F.col("value"))).alias(f"{name}_{edge}"))
+    edges = hist.agg(F.max("total").alias("total"), *picks)
     out = []
     for name, p in probabilities.items():
-        position = last.cast("double") * F.lit(p)
+        position = (F.col("total") - 1).cast("double") * F.lit(p)
         lo, hi = F.col(f"{name}_lo"), F.col(f"{name}_hi")
         out.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
     return edges.select(*out)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "tidewell", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,3 +54,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a written intermediate table."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that is read several times to the shared folder and continue from there.
+
+    The written table survives lost executors, ends the lineage and is read back column by column.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

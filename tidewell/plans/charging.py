@@ -131,3 +131,22 @@ def reco_topn(candidates: DataFrame, n: int = 3) -> DataFrame:
     return top_n(candidates, ["vehicle_id"], [F.desc("recommend_score"), F.asc("station_id")], n).select(
         "vehicle_id", "station_id", "recommend_score", "rank_no"
     )
+
+
+def candidate_grid(vehicles: DataFrame, stations: DataFrame) -> DataFrame:
+    """Size of each vehicle's candidate grid: all stations, and those matching zone, power type or both.
+
+    The vehicle x station product is only counted: stations are counted per zone and power type first.
+    """
+    per = stations.groupBy(F.col("station_zone").alias("home_zone"), F.col("power_type").alias("preferred_power_type")).agg(F.count(F.lit(1)).alias("both_match_cnt"))
+    zones = per.groupBy("home_zone").agg(F.sum("both_match_cnt").alias("zone_match_cnt"))
+    powers = per.groupBy("preferred_power_type").agg(F.sum("both_match_cnt").alias("power_match_cnt"))
+    total = stations.agg(F.count(F.lit(1))).scalar()
+    wide = (
+        vehicles.select("vehicle_id", "home_zone", "preferred_power_type")
+        .join(zones, "home_zone", "left")
+        .join(powers, "preferred_power_type", "left")
+        .join(per, ["home_zone", "preferred_power_type"], "left")
+        .na.fill(0, ["zone_match_cnt", "power_match_cnt", "both_match_cnt"])
+    )
+    return wide.select("vehicle_id", total.alias("candidate_cnt"), "zone_match_cnt", "power_match_cnt", "both_match_cnt")

@@ -22,14 +22,14 @@ def read_csv_table(spark: SparkSession, path: str, schema: str | T.StructType, d
     header = spark.read.option("header", True).csv(path)
     require_columns(header, list(required) or wanted.fieldNames())
     present = T.StructType([wanted[c] if c in wanted.fieldNames() else T.StructField(c, T.StringType()) for c in header.columns])
-    reader = spark.read.option("header", True).option("dateFormat", date_format).option("timestampNTZFormat", "yyyy-MM-dd[ ]['T']HH:mm:ss[.SSSSSS]")
+    reader = spark.read.option("header", True).option("dateFormat", date_format)
     df = reader.option("mode", "FAILFAST").schema(present).csv(path)
     return df.select(*[c for c in wanted.fieldNames() if c in df.columns])
 
 
 def read_documents(spark: SparkSession, folder: str, pattern: str = "*.{txt,md,TXT,MD}") -> DataFrame:
     """Every text file below the folder as one row: path, name, text."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(folder)
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
     path = F.url_decode(F.regexp_replace(F.input_file_name(), r"\+", "%2B"))
     return files.select(path.alias("path"), F.element_at(F.split(path, "/"), -1).alias("name"), F.col("value").alias("text"))
 
@@ -37,7 +37,8 @@ def read_documents(spark: SparkSession, folder: str, pattern: str = "*.{txt,md,T
 def write_csv_result(df: DataFrame, path: str, order: Sequence[Column | str] = ()) -> str:
     """Result as CSV with header; ordered across the part files when an order is given."""
     out = df.orderBy(*order) if order else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    writer = out.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    writer.csv(path)
     return path
 
 

@@ -7,6 +7,7 @@ the plain ``\\s`` class of the JVM covers ASCII only.
 from __future__ import annotations
 
 import html
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -19,6 +20,8 @@ HAN = r"\x{4e00}-\x{9fff}"
 
 NUMERIC_ENTITY = r"&#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
 NAMED_ENTITY = r"&[A-Za-z][A-Za-z0-9]*;?"
+# The references nearly all texts are limited to, `&amp;` last.
+EVERYDAY = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\xa0", "&amp;": "&"}
 ENTITY_TOKEN = rf"{NUMERIC_ENTITY}|{NAMED_ENTITY}|[^&]+|&"
 
 
@@ -33,10 +36,14 @@ def low_numeric_table() -> dict[int, str]:
 
 
 def unescape_html(text: ColumnLike) -> Column:
-    """Decode named and numeric character references in one pass over the text."""
+    """Decode named and numeric character references in one pass over the text.
+
+    Texts with nothing but the everyday references take a short way of plain replacements; `&amp;` comes last
+    there, so nothing is decoded twice.
+    """
     source = as_col(text)
-    named = F.create_map(*[F.lit(x) for pair in sorted(entity_table().items()) for x in pair])
-    low = F.array(*[F.lit(t) for _, t in sorted(low_numeric_table().items())])
+    named = F.from_json(F.lit(json.dumps(entity_table())), "map<string,string>")
+    low = F.from_json(F.lit(json.dumps([t for _, t in sorted(low_numeric_table().items())])), "array<string>")
 
     def numeric(token: Column) -> Column:
         digits = F.regexp_extract(token, r"^&#[xX]?([0-9a-fA-F]+);?$", 1)
@@ -58,7 +65,12 @@ def unescape_html(text: ColumnLike) -> Column:
         )
 
     tokens = F.regexp_extract_all(source, F.lit(ENTITY_TOKEN), F.lit(0))
-    return F.when(source.contains("&"), F.array_join(F.transform(tokens, decode), "")).otherwise(source)
+    full = F.array_join(F.transform(tokens, decode), "")
+    short = source
+    for token, plain in EVERYDAY.items():
+        short = F.replace(short, F.lit(token), F.lit(plain))
+    left_over = F.regexp_replace(source, "|".join(EVERYDAY), "")
+    return F.when(~source.contains("&"), source).when(~left_over.rlike("&[#A-Za-z]"), short).otherwise(full)
 
 
 def _longest_prefix(named: Column, token: Column) -> Column:

@@ -137,7 +137,7 @@ def _(s: Star):
 @query("template_similarity")
 def _(s: Star):
     texts = s.table("documents").groupBy(live.normalized_content("text").alias("content")).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    groups = similarity.similar_groups(texts, "doc_id", "content", threshold=0.6)
+    groups = similarity.similar_groups(texts, "doc_id", "content")
     return groups.join(texts.select("doc_id", "copies"), "doc_id").groupBy("group").agg(F.count(F.lit(1)).alias("template_cnt"), F.sum("copies").alias("text_cnt"))
 
 

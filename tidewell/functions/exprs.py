@@ -24,6 +24,12 @@ def round_n(value: ColumnLike, digits: int) -> Column:
     return F.round(as_col(value) * scale) / scale
 
 
+def round_half_even(value: ColumnLike, digits: int) -> Column:
+    """Round ties to the even neighbour, as data-frame libraries do."""
+    scale = F.lit(float(10**digits))
+    return F.rint(as_col(value) * scale) / scale
+
+
 def safe_ratio(part: ColumnLike, whole: ColumnLike, digits: int | None = 4) -> Column:
     """part / whole in double precision; NULL when the denominator is 0 or NULL."""
     ratio = F.try_divide(as_col(part).cast("double"), as_col(whole).cast("double"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.exprs import any_of, boundaries_crossed, int_avg, label, money_sum, rate, round_n, safe_ratio
+from tidewell.functions.exprs import any_of, boundaries_crossed, int_avg, label, money_sum, rate, round_half_even, round_n, safe_ratio
 from tidewell.operators.ranking import pct_rank_average, rolling_baseline, top_n
 from tidewell.operators.relational import group_members, scalar
 
@@ -299,7 +299,7 @@ def risk_event_ranking(cases: DataFrame) -> DataFrame:
     out = pct_rank_average(out, {column: f"_p{i}" for i, column in enumerate(signals)})
     for i in range(len(signals)):
         points = points + F.lit(10.0) * F.col(f"_p{i}")
-    return out.withColumn("risk_score", round_n(points, 2)).select(
+    return out.withColumn("risk_score", round_half_even(points, 2)).select(
         "case_id", "target_id", "risk_level", "risk_score", "review_result", "appeal_result", "root_cause",
         "report_cnt_all", "private_message_cnt", "device_user_cnt", "payment_amount_sum",
     )

@@ -149,7 +149,7 @@ SELECT 'Daily report summary (fallback mode):' || chr(10) || '- Total sales: ' |
 FROM sales_kpi_layer
 """))
 def _(s: Star):
-    data = sales(s)
+    data = finance.sales_cube(sales(s))
     return finance.template_summary(finance.sales_kpis(data), finance.anomaly_hints(finance.sales_by_region(data)))
 
 

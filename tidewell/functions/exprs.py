@@ -5,7 +5,7 @@ Everything here is built from JVM-side functions, so it stays inside whole-stage
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import chain
 
 from pyspark.sql import Column
@@ -18,6 +18,11 @@ def as_col(value: ColumnLike) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once and use it several times in `body`."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def round_n(value: ColumnLike, digits: int) -> Column:
     """Round half away from zero on the binary value, so other SQL engines agree on ties."""
     scale = F.lit(float(10**digits))

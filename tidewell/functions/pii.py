@@ -15,10 +15,18 @@ PATTERNS: tuple[tuple[str, str, str], ...] = (
 )
 
 
+# The same matches, found without trying every character of a word as a start.
+EMAIL_FROM_WORD_START = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+"
+
+
+def _fast(name: str, pattern: str) -> str:
+    return EMAIL_FROM_WORD_START if name == "email" else pattern
+
+
 def mask_pii(text: ColumnLike) -> Column:
     out = as_col(text)
-    for _, pattern, replacement in PATTERNS:
-        out = F.regexp_replace(out, pattern, replacement)
+    for name, pattern, replacement in PATTERNS:
+        out = F.regexp_replace(out, _fast(name, pattern), replacement)
     return out
 
 
@@ -26,6 +34,6 @@ def pii_counts(text: ColumnLike) -> dict[str, Column]:
     """Matches per pattern, each counted after the earlier patterns have been masked."""
     out, counts = as_col(text), {}
     for name, pattern, replacement in PATTERNS:
-        counts[f"{name}_cnt"] = F.regexp_count(out, F.lit(pattern)).cast("long")
-        out = F.regexp_replace(out, pattern, replacement)
+        counts[f"{name}_cnt"] = F.regexp_count(out, F.lit(_fast(name, pattern))).cast("long")
+        out = F.regexp_replace(out, _fast(name, pattern), replacement)
     return counts

@@ -13,9 +13,10 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewell.functions.exprs import ColumnLike, as_col
+from tidewell.functions.exprs import ColumnLike, as_col, let
 
 WS = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WS_CHARS = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 HAN = r"\x{4e00}-\x{9fff}"
 
 NUMERIC_ENTITY = r"&#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
@@ -41,7 +42,6 @@ def unescape_html(text: ColumnLike) -> Column:
     Texts with nothing but the everyday references take a short way of plain replacements; `&amp;` comes last
     there, so nothing is decoded twice.
     """
-    source = as_col(text)
     named = F.from_json(F.lit(json.dumps(entity_table())), "map<string,string>")
     low = F.from_json(F.lit(json.dumps([t for _, t in sorted(low_numeric_table().items())])), "array<string>")
 
@@ -64,13 +64,16 @@ def unescape_html(text: ColumnLike) -> Column:
             .otherwise(F.coalesce(F.try_element_at(named, token), _longest_prefix(named, token)))
         )
 
-    tokens = F.regexp_extract_all(source, F.lit(ENTITY_TOKEN), F.lit(0))
-    full = F.array_join(F.transform(tokens, decode), "")
-    short = source
-    for token, plain in EVERYDAY.items():
-        short = F.replace(short, F.lit(token), F.lit(plain))
-    left_over = F.regexp_replace(source, "|".join(EVERYDAY), "")
-    return F.when(~source.contains("&"), source).when(~left_over.rlike("&[#A-Za-z]"), short).otherwise(full)
+    def choose(source: Column) -> Column:
+        tokens = F.regexp_extract_all(source, F.lit(ENTITY_TOKEN), F.lit(0))
+        full = F.array_join(F.transform(tokens, decode), "")
+        short = source
+        for token, plain in EVERYDAY.items():
+            short = F.replace(short, F.lit(token), F.lit(plain))
+        left_over = F.regexp_replace(source, "|".join(EVERYDAY), "")
+        return F.when(~source.contains("&"), source).when(~left_over.rlike("&[#A-Za-z]"), short).otherwise(full)
+
+    return let(as_col(text), choose)
 
 
 def _longest_prefix(named: Column, token: Column) -> Column:
@@ -83,14 +86,22 @@ def _longest_prefix(named: Column, token: Column) -> Column:
 
 
 def strip_markup(text: Column) -> Column:
-    """Tags and quoted attribute remains become single spaces."""
-    text = F.regexp_replace(text, r"<[^>]+>", " ")
-    text = F.regexp_replace(text, rf'(?U)\b[a-zA-Z_-]{{2,}}[{WS}]*=[{WS}]*"[^"]*"', " ")
-    return F.regexp_replace(text, rf"(?U)\b[a-zA-Z_-]{{2,}}[{WS}]*=[{WS}]*'[^']*'", " ")
+    """Tags and quoted attribute remains become single spaces.
+
+    Texts without the marks skip the patterns, and attribute names never backtrack.
+    """
+    name = rf"(?U)\b[a-zA-Z_-]{{2,}}+[{WS}]*=[{WS}]*"
+
+    def attributes(t: Column) -> Column:
+        out = F.regexp_replace(t, rf'{name}"[^"]*"', " ")
+        return F.when(t.contains("="), F.regexp_replace(out, rf"{name}'[^']*'", " ")).otherwise(t)
+
+    tags = let(text, lambda t: F.when(t.contains("<"), F.regexp_replace(t, r"<[^>]+>", " ")).otherwise(t))
+    return let(tags, attributes)
 
 
 def strip_ws(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{WS}]+|[{WS}]+$", "")
+    return F.btrim(text, F.lit(WS_CHARS))
 
 
 def squeeze_ws(text: Column) -> Column:
@@ -116,16 +127,22 @@ def sanitize_flat(text: ColumnLike) -> Column:
     return squeeze_ws(F.replace(out, F.lit("�"), F.lit(" ")))
 
 
+LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
+
+
 def guess_section(text: ColumnLike, heading_lines: int = 8, width: int = 80) -> Column:
     """First heading among the leading non-empty lines, else the start of the first line."""
-    lines = F.filter(F.transform(F.split(as_col(text), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"), strip_ws), lambda x: x != "")
-    heads = F.filter(F.slice(lines, 1, heading_lines), lambda x: x.startswith("#"))
-    heading = strip_ws(F.regexp_replace(F.try_element_at(heads, F.lit(1)), "^#+", ""))
-    return (
-        F.when(F.size(lines) == 0, F.lit("unknown"))
-        .when(F.size(heads) > 0, heading)
-        .otherwise(F.substring(F.try_element_at(lines, F.lit(1)), 1, width))
-    )
+
+    def pick(lines: Column) -> Column:
+        heads = F.filter(F.slice(lines, 1, heading_lines), lambda x: x.startswith("#"))
+        heading = strip_ws(F.ltrim(F.try_element_at(heads, F.lit(1)), F.lit("#")))
+        return (
+            F.when(F.size(lines) == 0, F.lit("unknown"))
+            .when(F.size(heads) > 0, heading)
+            .otherwise(F.substring(F.try_element_at(lines, F.lit(1)), 1, width))
+        )
+
+    return let(F.filter(F.transform(F.split(as_col(text), LINE_BREAK), strip_ws), lambda x: x != ""), pick)
 
 
 def markdown_to_plain(text: ColumnLike) -> Column:
@@ -135,7 +152,7 @@ def markdown_to_plain(text: ColumnLike) -> Column:
         line = F.regexp_replace(strip_ws(line), rf"^(?:[-*+][{WS}]+|[0-9]+[.)][{WS}]+)", "")
         return squeeze_ws(F.replace(F.replace(line, F.lit("**"), F.lit("")), F.lit("__"), F.lit("")))
 
-    lines = F.split(as_col(text), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]")
+    lines = F.split(as_col(text), LINE_BREAK)
     return F.array_join(F.filter(F.transform(lines, tidy), lambda x: x != ""), "\n")
 
 
@@ -145,13 +162,16 @@ FALLBACK_ANSWER = "当前检索到的证据不足，建议换一种问法，或
 
 def normalize_answer(text: ColumnLike) -> Column:
     """Drop citation marks and stuttered numbers, phrases and punctuation; close with a full stop."""
-    flat = sanitize_flat(text)
+    return let(sanitize_flat(text), _normalize_flat)
+
+
+def _normalize_flat(flat: Column) -> Column:
     out = F.regexp_replace(flat, r"\[C[0-9]+\]", "")
     out = squeeze_ws(F.regexp_replace(out, r"[#*_`]+", " "))
     out = F.regexp_replace(out, rf"(?U)(\b\d+(?:\.\d+)?\b)(?:[{WS}]+\1)+", "$1")
     out = F.regexp_replace(out, rf"([{HAN}]{{2,6}})\1+", "$1")
     out = F.regexp_replace(out, r"([。！？；，])\1+", "$1")
-    closed = F.when((out == "") | out.rlike("[。！？]$"), out).otherwise(F.concat(out, F.lit("。")))
+    closed = let(out, lambda o: F.when((o == "") | o.rlike("[。！？]$"), o).otherwise(F.concat(o, F.lit("。"))))
     return F.when(flat == "", F.lit(FALLBACK_ANSWER)).otherwise(closed)
 
 

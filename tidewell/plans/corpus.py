@@ -14,8 +14,11 @@ from tidewell.functions.text import guess_section, sanitize_document
 
 
 def sanitize_documents(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Cleaned text; documents left empty are dropped."""
-    return docs.withColumn(text, sanitize_document(text)).where(F.col(text) != "")
+    """Cleaned text; documents left empty are dropped.
+
+    A generator drops them, because a filter on the result would make the optimizer clean every text twice.
+    """
+    return docs.withColumn(text, F.explode(F.filter(F.array(sanitize_document(text)), lambda t: t != "")))
 
 
 def chunk_documents(docs: DataFrame, text: str = "text", size: int = 1000, overlap: int = 150) -> DataFrame:
@@ -48,7 +51,8 @@ def chunk_fixed(docs: DataFrame, text: str = "text", size: int = 1000, overlap:
     """Windows of fixed size and overlap, as plain columns; the windows cover the whole text."""
     step = size - overlap
     last = F.greatest(F.ceil((F.length(text) - overlap) / F.lit(float(step))) - 1, F.lit(0)).cast("int")
-    numbered = docs.where(F.length(text) > 0).withColumn("idx", F.explode(F.sequence(F.lit(0), last)))
+    idx = F.explode(F.when(F.length(text) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")))
+    numbered = docs.withColumn("idx", idx)
     content = F.substr(F.col(text), F.col("idx") * step + 1, F.lit(size))
     return numbered.withColumns({"content": content, "idx": F.col("idx").cast("long")}).drop(text)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.exprs import clean_money, label, map_values, money_sum, parse_mixed_date, round_n
 from tidewell.operators.ranking import best_and_worst
 from tidewell.operators.relational import dedup_keep_first, drop_all_null_rows, split_valid
+from tidewell.session import materialize
 
 # Spelling repairs of province names, order states, and the reasons of the alert list.
 PROVINCES = {"浙冮": "浙江", "浙江": "浙江", "廣东": "广东", "广东": "广东", "江苏": "江苏", "上海": "上海"}
@@ -117,15 +118,22 @@ def validate_sales(raw: DataFrame, date_pattern: str = "yyyy-MM-dd") -> tuple[Da
     return clean.withColumns({"profit": exact.cast("double"), "month": F.date_format("date", "yyyy-MM")}), rejected
 
 
-def _sales_sums() -> list[Column]:
+SALES_MONEY = ("sales_amount", "cost_amount", "profit")
+
+
+def _sales_sums(exact: bool = False) -> list[Column]:
+    totals = [F.sum(F.col(c).cast("decimal(28,4)")) for c in SALES_MONEY]
     return [
-        money_sum("sales_amount", 4).alias("sales_amount"),
-        money_sum("cost_amount", 4).alias("cost_amount"),
-        money_sum("profit", 4).alias("profit"),
+        *[(t if exact else t.cast("double")).alias(c) for t, c in zip(totals, SALES_MONEY)],
         F.sum(F.col("order_count").cast("bigint")).alias("order_count"),
     ]
 
 
+def sales_cube(clean: DataFrame) -> DataFrame:
+    """Exact sums per region and month, written once: all sales reports of one run read this small table."""
+    return materialize(clean.groupBy("region", "month").agg(*_sales_sums(exact=True)), "sales-cube")
+
+
 def sales_kpis(clean: DataFrame) -> DataFrame:
     totals = clean.agg(*_sales_sums()).na.fill(0)
     margin = F.when(F.col("sales_amount") != 0, F.try_divide(F.col("profit"), F.col("sales_amount"))).otherwise(0.0)
@@ -190,6 +198,7 @@ def json_payload(clean: DataFrame) -> DataFrame:
         rows = F.array_sort(F.collect_list(F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], F.struct(*fields).alias("r"))))
         return df.agg(F.transform(rows, lambda x: x["r"]).alias("rows")).scalar()
 
+    clean = sales_cube(clean)
     kpis = sales_kpis(clean)
     summary = F.struct(money("total_sales"), money("total_cost"), money("total_profit"), "total_orders", F.col("profit_margin").cast("decimal(10,4)").alias("profit_margin"))
     payload = F.struct(

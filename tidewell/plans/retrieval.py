@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.functions.exprs import clamp, int_avg, round_n
+from tidewell.functions.exprs import clamp, int_avg, let, round_n
 from tidewell.functions.text import HAN, sanitize_flat, squeeze_ws
 from tidewell.operators.ranking import top_n
 
@@ -103,13 +103,17 @@ def focus_filter(results: DataFrame, focus: Hints) -> DataFrame:
     Two terms are enough, or one where the intent lists fewer than six. When no intent is named, or no chunk
     qualifies, all chunks of the question stay.
     """
-    q, text = F.col("question"), F.lower(sanitize_flat("text"))
-    enough = F.lit(True)
-    for asked, related in reversed(list(focus)):
-        terms = [t.lower() for t in (*asked, *related)]
-        named = _contains_any(q, asked) | _contains_any(F.lower(q), [r.lower() for r in related])
-        enough = F.when(named, _hits(text, terms) >= (2 if len(terms) >= 6 else 1)).otherwise(enough)
-    flagged = results.withColumn("_focused", enough)
+    q = F.col("question")
+
+    def enough(text: Column) -> Column:
+        verdict = F.lit(True)
+        for asked, related in reversed(list(focus)):
+            terms = [t.lower() for t in (*asked, *related)]
+            named = _contains_any(q, asked) | _contains_any(F.lower(q), [r.lower() for r in related])
+            verdict = F.when(named, _hits(text, terms) >= (2 if len(terms) >= 6 else 1)).otherwise(verdict)
+        return verdict
+
+    flagged = results.withColumn("_focused", let(F.lower(sanitize_flat("text")), enough))
     any_focused = F.bool_or("_focused").over(Window.partitionBy("query_id"))
     return flagged.withColumn("_any", any_focused).where(F.col("_focused") | ~F.col("_any")).drop("_focused", "_any")
 

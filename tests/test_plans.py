@@ -5,9 +5,9 @@ import re
 import pytest
 
 from tidewell.checks.catalog import load
+from tidewell.plans import corpus
 
 QUERIES, _ = load()
-PYTHON_SIDE = {"chunk_documents"}
 
 
 def plan(df) -> str:
@@ -23,7 +23,8 @@ def test_no_products_and_no_python(spark, small, name):
 
 
 def test_chunking_is_narrow(spark, small):
-    text = plan(QUERIES["chunk_documents"](spark, small))
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    text = plan(corpus.chunk_documents(docs))
     assert "MapInPandas" in text and "Exchange" not in text
 
 

@@ -8,6 +8,7 @@ from tidewell.checks.catalog import query
 from tidewell.checks.ctes import cte, money, ratio, rnd, sql
 from tidewell.operators import quality as dq
 from tidewell.plans import bank
+from tidewell.session import materialize
 from tidewell.sources.star import Star
 
 RECENT = "txn_time >= (SELECT MAX(txn_time) - INTERVAL 30 DAY FROM fact_transaction)"
@@ -110,24 +111,33 @@ class Bank:
     # The shared tables hold small amounts; the reference divisor of 50,000 would leave every value score near 0.
     VALUE_DIVISOR = 5000.0
 
-    def __init__(self, s: Star):
+    def __init__(self, s: Star, shared: bool = False):
+        """With `shared`, a layer with several readers is written once instead of being computed per reader."""
+        self.shared, self._layers = shared, {}
         self.customers, self.accounts, self.transactions = s.dim_customer(), s.dim_account(), s.fact_transaction()
         self.credit, self.overdue = s.fact_credit_snapshot(), s.fact_overdue()
 
+    def _layer(self, name: str, build):
+        if not self.shared:
+            return build()
+        if name not in self._layers:
+            self._layers[name] = materialize(build(), name)
+        return self._layers[name]
+
     def behavior(self):
-        return bank.customer_behavior(self.transactions, self.accounts)
+        return self._layer("behavior", lambda: bank.customer_behavior(self.transactions, self.accounts))
 
     def features(self):
         return bank.customer_risk_features(self.customers, self.behavior(), self.credit, self.overdue, self.accounts)
 
     def scores(self):
-        return bank.customer_risk_score(self.features())
+        return self._layer("scores", lambda: bank.customer_risk_score(self.features()))
 
     def segments(self):
         return bank.customer_segment(self.customers, self.behavior(), self.accounts, self.scores(), self.VALUE_DIVISOR)
 
     def abnormal(self):
-        return bank.abnormal_transactions(self.transactions, self.accounts)
+        return self._layer("abnormal", lambda: bank.abnormal_transactions(self.transactions, self.accounts))
 
     def quality(self):
         return dq.report(
@@ -165,7 +175,7 @@ def _(s: Star):
 
 @query("customer_segment", sql("SELECT * FROM segment_layer"))
 def _(s: Star):
-    return Bank(s).segments()
+    return Bank(s, shared=True).segments()
 
 
 @query("abnormal_transactions", sql("SELECT * FROM abnormal_layer"))
@@ -197,7 +207,7 @@ SELECT s.customer_id, name, city, customer_segment, value_score, active_score, r
 FROM segment_layer s JOIN dim_customer c ON s.customer_id = c.customer_id
 """))
 def _(s: Star):
-    b = Bank(s)
+    b = Bank(s, shared=True)
     return bank.segment_result(b.segments(), b.customers)
 
 
@@ -212,7 +222,7 @@ def _(s: Star):
 
 @query("segment_distribution", sql("SELECT customer_segment, COUNT(*) AS customer_cnt FROM segment_layer GROUP BY 1"))
 def _(s: Star):
-    return bank.segment_distribution(Bank(s).segments())
+    return bank.segment_distribution(Bank(s, shared=True).segments())
 
 
 @query("risk_daily_report", sql(f"""
@@ -227,5 +237,5 @@ SELECT (SELECT MAX(CAST(txn_time AS DATE)) FROM fact_transaction) AS metric_date
        (SELECT COUNT(*) FROM bank_quality_layer) AS quality_check_cnt
 """))
 def _(s: Star):
-    b = Bank(s)
+    b = Bank(s, shared=True)
     return bank.risk_daily_report(b.transactions, b.customers, b.behavior(), b.scores(), b.abnormal(), b.overdue, b.credit, b.quality())

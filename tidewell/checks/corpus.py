@@ -95,7 +95,7 @@ def _(s: Star):
 
 @query("fn_html", sql(f"SELECT page_id, {strip_ws(strip_markup('body'))} AS body FROM (SELECT page_id, {unescape('html')} AS body FROM pages CROSS JOIN entity_names)"))
 def _(s: Star):
-    return s.table("pages").select("page_id", tx.strip_ws(tx.strip_markup(tx.unescape_html("html"))).alias("body"))
+    return s.texts("pages").select("page_id", tx.strip_ws(tx.strip_markup(tx.unescape_html("html"))).alias("body"))
 
 
 @query("chunk_documents")
@@ -331,7 +331,7 @@ def _(s: Star):
         "text", F.lit(" Employees receive "), F.pmod(n, F.lit(30)).cast("string"), F.lit(" days annual leave. Standard hours are Monday to Friday, 0"),
         F.pmod(n, F.lit(10)).cast("string"), F.lit(":00 to 18:00."), F.when(F.col("lang") == "en", english).otherwise(""),
     )
-    docs = s.table("documents").select("doc_id", text.alias("text"))
+    docs = s.texts("documents").select("doc_id", text.alias("text"))
     return docs.select("doc_id", *[c.alias(name) for name, c in retrieval.policy_facts().items()])
 
 

@@ -136,7 +136,7 @@ def _(s: Star):
 
 @query("template_similarity")
 def _(s: Star):
-    texts = s.table("documents").groupBy(live.normalized_content("text").alias("content")).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    texts = s.texts("documents").groupBy(live.normalized_content("text").alias("content")).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     groups = similarity.similar_groups(texts, "doc_id", "content")
     return groups.join(texts.select("doc_id", "copies"), "doc_id").groupBy("group").agg(F.count(F.lit(1)).alias("template_cnt"), F.sum("copies").alias("text_cnt"))
 
@@ -187,7 +187,7 @@ def pii_sql() -> str:
 
 @query("pii_mask_text", sql(pii_sql()))
 def _(s: Star):
-    return s.table("documents").select("doc_id", mask_pii("text").alias("masked"), *[c.alias(n) for n, c in pii_counts("text").items()])
+    return s.texts("documents").select("doc_id", mask_pii("text").alias("masked"), *[c.alias(n) for n, c in pii_counts("text").items()])
 
 
 @query("incremental_reindex", sql("""

@@ -106,7 +106,7 @@ PHONE = "^[0-9]{3}[*0-9]{4}[0-9]{4}$"
     with_severity(rows("MON_001", "risk_daily_layer"), "high"),
 ])))
 def _(s: Star):
-    b, sev = bank_checks.Bank(s), {"with_severity": True}
+    b, sev = bank_checks.Bank(s, shared=True), {"with_severity": True}
     batch_time = F.lit("2024-01-25").cast("timestamp_ntz")
     # The shared customers have no phone column; the name stands in for it and fails the pattern.
     from tidewell.plans import live
@@ -143,7 +143,7 @@ LAYERS = ("dim_customer", "dim_account", "fact_transaction", "fact_credit_snapsh
 
 @query("layer_row_counts", sql(" UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS row_cnt FROM {n}" for n in LAYERS)))
 def _(s: Star):
-    b = bank_checks.Bank(s)
+    b = bank_checks.Bank(s, shared=True)
     frames = (b.customers, b.accounts, b.transactions, b.credit, b.overdue, b.behavior(), b.scores())
     return dq.report(*[df.agg(F.count(F.lit(1)).alias("row_cnt")).withColumn("table_name", F.lit(n)) for n, df in zip(LAYERS, frames)])
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.exprs import boundaries_crossed, capped, int_avg, money_avg, money_sum, round_n
 from tidewell.operators.ranking import top_n
 from tidewell.operators.relational import since
+from tidewell.session import materialize
 
 
 def charge_fact(orders: DataFrame) -> DataFrame:
@@ -104,8 +105,10 @@ def candidate_features(vehicles: DataFrame, stations: DataFrame, preference: Dat
     """Wide feature rows for every pair that can appear in a Top-n list: pairs with history and the leaders.
 
     All other pairs of the vehicle x station product are provably below n listed ones, so they are not built.
+    The station profile (one short row per station) is read by the four leader lists and by the scoring, so it
+    is written once.
     """
-    profile = station_profile(stations, operability)
+    profile = materialize(station_profile(stations, operability), "station-profile")
     pairs = leader_pairs(vehicles, profile, n).union(preference.select("vehicle_id", "station_id")).distinct()
     wide = (
         pairs.join(vehicles.select("vehicle_id", "home_zone", "preferred_power_type"), "vehicle_id")

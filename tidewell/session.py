@@ -64,3 +64,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a small input that arrives in few splits; large inputs are left as they are.
+
+    Only for row-wise heavy work, such as text cleaning. Nothing moves once the input has at least as many
+    splits as there are cores.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

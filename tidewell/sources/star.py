@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.exprs import safe_ratio
+from tidewell.session import spread
 
 
 def _k() -> Column:
@@ -30,6 +31,10 @@ class Star:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
+    def texts(self, name: str) -> DataFrame:
+        """A table whose rows carry long texts, spread over the cores when it is a small file."""
+        return spread(self.table(name))
+
     # --- game -------------------------------------------------------------------------------------------
 
     def _line_facts(self) -> DataFrame:
@@ -330,13 +335,13 @@ class Star:
 
     def corpus(self) -> DataFrame:
         """All documents and web pages with owner and confidentiality."""
-        docs = self.table("documents").select(
+        docs = self.texts("documents").select(
             F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"),
             F.col("text"),
             F.col("source").alias("owner"),
             _pick(F.col("doc_id"), "internal", "public").alias("confidentiality"),
         )
-        pages = self.table("pages").select(
+        pages = self.texts("pages").select(
             F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("name"),
             F.col("html").alias("text"),
             F.lit("web").alias("owner"),

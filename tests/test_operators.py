@@ -139,3 +139,8 @@ def test_metric_spike_zero_baseline(spark):
     daily = spark.createDataFrame(rows, "d string, n long").select(F.to_date("d").alias("metric_date"), F.col("n").alias("punish_cnt"))
     got = live.metric_spike(daily, live.AlertRule("punish_cnt", 1.4, 2)).orderBy("metric_date").collect()
     assert [r.spike_ratio for r in got] == [float("inf"), 5.0]
+
+
+def test_count_per_group_keeps_null_keys(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, "a")], "id long, k string")
+    assert {r.id: r.n for r in relational.count_per_group(df, ["k"], "n").collect()} == {1: 2, 2: 2, 3: 1}

@@ -7,6 +7,7 @@ map side first; where rows themselves must be joined on such a key, adaptive exe
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,9 +57,14 @@ def null_fill(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
 
 
 def count_per_group(df: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
-    """Attach the row count of each group to its rows: partial counts first, then one join."""
+    """Attach the row count of each group to its rows: partial counts first, then one join.
+
+    NULL keys form a group of their own, as in a window.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
-    return df.join(counts, list(keys))
+    counts = counts.withColumnsRenamed({k: f"_group_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_group_{k}")) for k in keys])
+    return df.join(counts, same).drop(*[f"_group_{k}" for k in keys])
 
 
 def group_members(df: DataFrame, key: str, member: str, alias: str, among: Column | None = None) -> DataFrame:

@@ -167,7 +167,8 @@ def abnormal_transactions(transactions: DataFrame, accounts: DataFrame, rule: Ab
     With `rule.stack_utilization` set and credit given, large transactions of customers above that credit
     utilisation are reported as `risk_stack`.
     """
-    facts = with_customer(transactions, accounts).withColumn("txn_hour", hour_start("txn_time"))
+    no_time = F.lit("1900-01-01").cast("timestamp_ntz")  # transactions without a time share one group, as in a window
+    facts = with_customer(transactions, accounts).withColumn("txn_hour", F.coalesce(hour_start("txn_time"), no_time))
     habits = transaction_baseline(transactions, accounts).select("customer_id", "avg_amount_30d").join(
         most_used_channel(transactions, accounts).select("customer_id", "most_used_channel"), "customer_id", "full_outer"
     )

@@ -87,8 +87,10 @@ def leader_pairs(vehicles: DataFrame, profile: DataFrame, n: int) -> DataFrame:
 
     def best(keys: list[str], zone: Column, power: Column) -> DataFrame:
         scored = profile.withColumn("_score", recommend_score(F.lit(0), zone, power))
-        grouped = scored if keys else scored.withColumn("_all", F.lit(0))
-        return top_n(grouped, keys or ["_all"], [F.desc("_score"), F.asc("station_id")], n).select(*keys, "station_id")
+        order = [F.desc("_score"), F.asc("station_id")]
+        if not keys:
+            return scored.orderBy(*order).limit(n).select("station_id")
+        return top_n(scored, keys, order, n).select(*keys, "station_id")
 
     v = vehicles.select("vehicle_id", F.col("home_zone").alias("station_zone"), F.col("preferred_power_type").alias("power_type"))
     overall = best([], none, none).agg(F.collect_list("station_id").alias("ids")).scalar()

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import table
 from tidewell.llm.exact_dedup import exact_duplicates
+from tidewell.llm.html_text import extract_text
+from tidewell.llm.language_id import held_out, identify_languages
 from tidewell.llm.mixing import repetitions
 from tidewell.llm.secret_scan import scan_secrets
+from tidewell.llm.token_output import training_order
 from tidewell.llm.url_filter import filter_urls
 
 
@@ -16,6 +19,12 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify_languages(docs.select("doc_id", "text"), docs.where(~held_out()))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = repetitions(table(spark, sf_dir, "documents"))
     return taken.select(
@@ -28,10 +37,19 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), F.col("all_spans").alias("spans"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order(table(spark, sf_dir, "documents"))
+
+
 #: Fixed values of the mix are stated again here on purpose: the statement is independent of the operator.
 OP3_SQL = r"""
 WITH RECURSIVE docs AS (
@@ -65,8 +83,11 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_language_id": op2_language_id,
     "op3_mix_sources": op3_mix_sources,
     "op4_secret_scan": op4_secret_scan,
+    "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_training_order": op10_training_order,
 }
 ORACLES = {"op3_mix_sources": OP3_SQL, "op9_exact_dedup": OP9_SQL}

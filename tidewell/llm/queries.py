@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import table
+from tidewell.llm.decontaminate import contamination
 from tidewell.llm.exact_dedup import exact_duplicates
 from tidewell.llm.html_text import extract_text
 from tidewell.llm.language_id import held_out, identify_languages
@@ -37,6 +38,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), F.col("all_spans").alias("spans"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extract_text(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -74,7 +80,27 @@ SELECT d.doc_id, d.size::BIGINT AS size, r.source_size, r.target, (d.size * (flo
 FROM docs d JOIN rated r ON d.source IS NOT DISTINCT FROM r.source
 """
 
-OP4_SQL = None
+#: Independent of the operator: every document window of each length is written out and compared.
+OP7_SQL = r"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[s : s + 12], ' ') AS body
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS s FROM items WHERE len(w) > 0)),
+docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+places AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS s, w FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+found AS (
+  SELECT p.doc_id, p.s, p.n, x.item_id FROM (SELECT doc_id, n, s, array_to_string(w[s : s + n - 1], ' ') AS body FROM places) p JOIN windows x ON x.n = p.n AND x.body = p.body),
+hits AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS place FROM found) GROUP BY doc_id),
+owners AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM found GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)
+"""
 
 OP9_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -86,8 +112,9 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_mix_sources": op3_mix_sources,
     "op4_secret_scan": op4_secret_scan,
+    "op7_decontaminate": op7_decontaminate,
     "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_training_order": op10_training_order,
 }
-ORACLES = {"op3_mix_sources": OP3_SQL, "op9_exact_dedup": OP9_SQL}
+ORACLES = {"op3_mix_sources": OP3_SQL, "op7_decontaminate": OP7_SQL, "op9_exact_dedup": OP9_SQL}

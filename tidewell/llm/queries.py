@@ -9,6 +9,7 @@ from tidewell.llm.common import table
 from tidewell.llm.decontaminate import contamination
 from tidewell.llm.exact_dedup import exact_duplicates
 from tidewell.llm.html_text import extract_text
+from tidewell.llm.jaccard_join import near_duplicates
 from tidewell.llm.language_id import held_out, identify_languages
 from tidewell.llm.mixing import repetitions
 from tidewell.llm.secret_scan import scan_secrets
@@ -38,6 +39,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), F.col("all_spans").alias("spans"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
@@ -112,6 +117,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_mix_sources": op3_mix_sources,
     "op4_secret_scan": op4_secret_scan,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_decontaminate": op7_decontaminate,
     "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,

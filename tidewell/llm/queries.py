@@ -13,6 +13,7 @@ from tidewell.llm.jaccard_join import near_duplicates
 from tidewell.llm.language_id import held_out, identify_languages
 from tidewell.llm.mixing import repetitions
 from tidewell.llm.secret_scan import scan_secrets
+from tidewell.llm.substring_dedup import remove_repeats
 from tidewell.llm.token_output import training_order
 from tidewell.llm.url_filter import filter_urls
 
@@ -39,6 +40,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), F.col("all_spans").alias("spans"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -117,6 +123,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_mix_sources": op3_mix_sources,
     "op4_secret_scan": op4_secret_scan,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_decontaminate": op7_decontaminate,
     "op8_html_text": op8_html_text,

@@ -1,6 +1,6 @@
 """From raw documents to training sequences: every stage is one operator, written and read again before the next.
 
-Stages are added in the order in which they run. NULLs, empty texts, repeated rows, empty tables and extra columns are
+NULLs, empty texts, repeated rows, empty tables and extra columns are
 handled by the operators; every stage but the last returns the columns of its input.
 """
 
@@ -9,7 +9,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm.common import materialize, table
+from tidewell.llm.decontaminate import clean_documents
+from tidewell.llm.jaccard_join import keep_one
+from tidewell.llm.language_id import held_out, keep_identified
 from tidewell.llm.mixing import mix_sources
+from tidewell.llm.token_output import training_order
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents to which no language can be given: those without text or without a letter."""
+    return keep_identified(docs, docs.where(~held_out()))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of equal or similar texts (five-word shingles, similarity 0.8)."""
+    return keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents of which a twentieth or more is covered by benchmark windows."""
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,8 +36,14 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix_sources(docs)
 
 
-STAGES = [("mix_sources", mix)]
+def order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences in training order, one fixed-stride record per row."""
+    return training_order(docs)
+
+
+STAGES = [("language_id", identify), ("jaccard_join", near_duplicates), ("decontamination", decontaminate), ("mix_sources", mix), ("training_order", order)]
 
+#: Automata and tokenizers cannot be written in SQL; tests compare every stage with a plain version instead.
 ORACLE_SQL = None
 
 

@@ -152,7 +152,7 @@ def training_samples(labelled: DataFrame, key: str, text: str, lang: str, sample
     return [(name, " ".join(["", *LETTERS.findall(" ".join(by_lang[name]).lower())])[:sample_chars] + " ") for name in sorted(by_lang)]
 
 
-def identify_languages(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_chars: int = 40_000, doc_chars: int = 4_000) -> DataFrame:
+def identify_languages(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_chars: int = 40_000, doc_chars: int = 4_000, label_text: str | None = None) -> DataFrame:
     """All rows and columns of `docs` with lang_pred and lang_score.
 
     Suffix automata are built in each worker from the bounded samples of `labelled`. A text is parsed word by word (its
@@ -162,7 +162,7 @@ def identify_languages(docs: DataFrame, labelled: DataFrame, key: str = "doc_id"
     labelled, are `und` with score 0. Only the text is used. Repeated rows are judged alike; the two new columns replace
     columns of the same name. Nothing is shuffled but the sample.
     """
-    samples = training_samples(labelled, key, text, lang, sample_chars, doc_chars)
+    samples = training_samples(labelled, key, label_text or text, lang, sample_chars, doc_chars)
     sent = docs.sparkSession.sparkContext.broadcast(samples)
     rows = docs.drop("lang_pred", "lang_score")
     names = rows.columns
@@ -179,6 +179,17 @@ def identify_languages(docs: DataFrame, labelled: DataFrame, key: str = "doc_id"
     return rows.mapInArrow(judge, schema)
 
 
+def keep_identified(docs: DataFrame, labelled: DataFrame, text: str = "text", lang: str = "lang", **options) -> DataFrame:
+    """The rows of `docs` that get a language, with their columns. Texts without a letter are rejected; when no labelled
+    text exists no language can be told, and every text with a letter stays."""
+    taught = not labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).isEmpty()
+    if not taught:
+        return docs.where(F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    renamed = docs.withColumnsRenamed({c: f"tw_{c}" for c in docs.columns})
+    found = identify_languages(renamed, labelled, text=f"tw_{text}", lang=lang, label_text=text, **options)
+    return found.where(F.col("lang_pred") != UNKNOWN).select(*[F.col(f"`tw_{c}`").alias(c) for c in docs.columns])
+
+
 def held_out(key: str = "doc_id") -> Column:
     """The fold that is never learned from: crc32 of the key as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -91,6 +91,29 @@ SELECT d.doc_id, d.size::BIGINT AS size, r.source_size, r.target, (d.size * (flo
 FROM docs d JOIN rated r ON d.source IS NOT DISTINCT FROM r.source
 """
 
+OP5_SQL = r"""
+WITH docs AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+windows AS (SELECT doc_id, s, sha256(array_to_string(w[s : s + 19], ' ')) AS body FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM docs WHERE len(w) >= 20)),
+later AS (SELECT doc_id, s FROM windows QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS place FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM docs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS body, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+#: All pairs that share a shingle are counted; the smallest reachable class names the group.
+OP6_SQL = r"""
+WITH RECURSIVE classes AS (SELECT DISTINCT md5(coalesce(text, '')) AS class_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingles AS (SELECT DISTINCT class_id, md5(array_to_string(w[s : s + 4], ' ')) AS body FROM (SELECT class_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS s FROM classes WHERE len(w) > 0)),
+sizes AS (SELECT class_id, count(*) AS n FROM shingles GROUP BY class_id),
+shared AS (SELECT a.class_id AS one, b.class_id AS other, count(*) AS n FROM shingles a JOIN shingles b ON a.body = b.body AND a.class_id <> b.class_id GROUP BY ALL),
+pairs AS (SELECT one, other FROM shared s JOIN sizes a ON a.class_id = one JOIN sizes b ON b.class_id = other WHERE s.n * 1.8 >= (a.n + b.n) * 0.8),
+links AS (SELECT one AS class_id, count(*) AS links FROM pairs GROUP BY one),
+reach(class_id, seen) AS (SELECT class_id, class_id FROM classes UNION SELECT r.class_id, p.other FROM reach r JOIN pairs p ON p.one = r.seen),
+groups AS (SELECT class_id, min(seen) AS group_id FROM reach GROUP BY class_id)
+SELECT doc_id, class_id, coalesce(links, 0) AS links, group_id FROM (SELECT doc_id, md5(coalesce(text, '')) AS class_id FROM documents) JOIN groups USING (class_id) LEFT JOIN links USING (class_id)
+"""
+
 #: Independent of the operator: every document window of each length is written out and compared.
 OP7_SQL = r"""
 WITH items AS (
@@ -130,4 +153,4 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_training_order": op10_training_order,
 }
-ORACLES = {"op3_mix_sources": OP3_SQL, "op7_decontaminate": OP7_SQL, "op9_exact_dedup": OP9_SQL}
+ORACLES = {"op3_mix_sources": OP3_SQL, "op5_substring_dedup": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op7_decontaminate": OP7_SQL, "op9_exact_dedup": OP9_SQL}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.exprs import let
 from tidewell.llm.common import join_small, materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -61,12 +62,12 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     known = places.join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     prefixes = known.groupBy("window", "len").agg(F.min(F.struct("n", "word", "off")).alias("p"))
     prefixes = materialize(prefixes.where("p.n > 0").select("window", "len", F.col("p.word").alias("word"), F.col("p.off").alias("off")), "item-prefixes")
-    spread = words.select("mark", F.size("w").alias("n"), F.posexplode("w").alias("at", "word"))
+    spread = words.select("mark", "w", F.size("w").alias("n")).select("mark", "n", F.posexplode("w").alias("at", "word"))
     fits = (F.col("at") >= F.col("off")) & (F.col("at") - F.col("off") + F.col("len") <= F.col("n"))
     met = join_small(spread, prefixes, "word").where(fits).select("mark", (F.col("at") - F.col("off")).alias("start"), "len", "window").distinct()
     candidates = materialize(met.groupBy("mark").agg(F.collect_list(F.struct("start", "len", "window")).alias("spans")), "item-candidates")
-    suspects = join_small(base.select("mark", "body"), candidates, "mark").withColumn("w", words_of(F.col("body")))
-    true = F.filter("spans", lambda x: F.concat_ws(" ", F.slice(F.col("w"), x["start"] + 1, x["len"])) == x["window"])
+    suspects = join_small(base.select("mark", "body"), candidates, "mark")
+    true = let(words_of(F.col("body")), lambda w: F.filter("spans", lambda x: F.concat_ws(" ", F.slice(w, x["start"] + 1, x["len"])) == x["window"]))
     verified = suspects.select("mark", true.alias("spans")).where(F.size("spans") > 0).groupBy("mark").agg(F.first("spans").alias("spans"))
     verified = materialize(verified, "item-hits")
     found = verified.select("mark", F.explode(F.array_distinct(F.transform("spans", lambda x: x["window"]))).alias("window"))

@@ -1,0 +1,416 @@
+"""Each operator on small inputs: NULLs, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import base64
+import json
+import os
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidewell.llm import decontaminate, exact_dedup, html_text, jaccard_join, language_id, mixing, secret_scan, substring_dedup, token_output, url_filter, words
+
+
+def lines(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+# exact duplicates
+
+
+@pytest.mark.parametrize("options", [{}, {"least": 1, "hot": 4}, {"least": 1, "digest": lambda t: F.length(t)}])
+def test_exact_duplicates(odd, options):
+    """The same rows for any salting, and when different texts share a digest."""
+    rows = exact_dedup.exact_duplicates(odd, **options).collect()
+    texts = [(r["doc_id"], r["text"] or "") for r in odd.select("doc_id", "text").collect()]
+    import hashlib
+
+    want = {}
+    for doc, text in texts:
+        want.setdefault(hashlib.sha256(text.encode()).hexdigest(), []).append(doc)
+    assert len(rows) == len(texts)
+    for sha, docs in want.items():
+        mine = [r for r in rows if r["text_sha256"] == sha]
+        top = max((d for d in docs if d is not None), default=None)
+        assert {r["keep_id"] for r in mine} == {top} and {r["group_size"] for r in mine} == {len(docs)}
+        assert [r["doc_id"] for r in mine if r["kept"]] == [top]
+    assert exact_dedup.exact_duplicates(odd.limit(0)).count() == 0
+
+
+# mixing
+
+
+def test_mixing(odd, frame):
+    rows = mixing.repetitions(odd).collect()
+    sizes = {}
+    for r in rows:
+        assert r["mix_size"] == len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) and 0 <= r["mix_copies"] <= 3
+        sizes[r["source"]] = sizes.get(r["source"], 0) + r["mix_size"]
+    order = sorted((s for s in sizes if s is not None)) + [None]
+    weight, total, full = {s: i % 3 + 1 for i, s in enumerate(order)}, sum(sizes.values()), set()
+    while True:
+        level = (total - 3 * sum(sizes[s] for s in full)) / max(1, sum(w for s, w in weight.items() if s not in full))
+        more = {s for s in order if s not in full and weight[s] * level > 3 * sizes[s]}
+        if not more:
+            break
+        full |= more
+    for r in rows:
+        s = r["source"]
+        assert r["mix_source_size"] == sizes[s] and r["mix_target"] == pytest.approx(3 * sizes[s] if s in full else weight[s] * level)
+    assert lines(mixing.mix_sources(odd).select("doc_id", "text")) == lines(mixing.mix_sources(odd.repartition(3)).select("doc_id", "text"))
+    assert mixing.mix_sources(odd).columns == odd.columns and mixing.mix_sources(odd.limit(0)).count() == 0
+    many = frame([(i, "word " * 10, "en", "ab"[i % 2]) for i in range(2000)])
+    taken = {r["source"]: (r["t"], r["w"]) for r in mixing.repetitions(many).groupBy("source").agg(F.sum(F.col("mix_size") * F.col("mix_copies")).alias("t"), F.max("mix_target").alias("w")).collect()}
+    assert all(abs(t - w) < 0.08 * w for t, w in taken.values())
+
+
+# URL rules
+
+
+def test_mined_url_rules(spark):
+    pages = spark.createDataFrame([(i, f"http://{'bad' if i % 3 == 0 else 'good'}.site.org/{'ads' if i % 2 else 'news'}/{i}", "x") for i in range(240)] + [(None, None, "x"), (999, "no scheme", "x"), (3, "HTTP://BAD.Site.org/ads/3?q=1#f", "x")], "page_id long, url string, tokens string")
+    labels = spark.createDataFrame([(i, int(not (i % 3 == 0 and i % 2)), 0) for i in range(240)] + [(None, 0, 1), (1, None, None)], "doc_id long, quality int, toxic int")
+    rows = url_filter.filter_urls(pages, labels, support=0.01, confidence=0.9).collect()
+    assert len(rows) == pages.count()
+    for r in rows:
+        bad = r["host"] == "bad.site.org" and r["path"].startswith("/ads")
+        assert r["verdict"] == ("block" if bad else "allow"), r
+        if bad:
+            assert set(r["mined_rule"].split()) == {"host:bad", "path:ads"}
+    assert [(r["host"], r["path"]) for r in rows if r["page_id"] in (None, 999)] == [("", "")] * 2
+    bare = url_filter.filter_urls(pages, labels.limit(0))
+    assert bare.where("verdict = 'block'").count() == 0 and bare.count() == pages.count()
+    assert url_filter.filter_urls(pages.limit(0), labels).count() == 0
+
+
+@pytest.mark.parametrize("url, verdict, rule", [("http://a.com/x", "allow", "com/"), ("http://example.com/en/1", "block", "example.com/en/"), ("http://www.example.com/en/1", "allow", "www.example.com/en/"), ("http://x.net/es/", "block", "net/es/"), ("http://x.net/de/", None, None), ("http://x.com", None, None), ("http://notexample.com/en/", "allow", "com/")])
+def test_explicit_rules(spark, url, verdict, rule):
+    df = spark.createDataFrame([(url,)], "url string")
+    fit = df.select(url_filter.explicit_rule(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))).alias("f")).first()["f"]
+    assert (fit and (fit["verdict"], fit["rule"])) == ((verdict, rule) if rule else None)
+
+
+# language
+
+
+def greedy(sample, text):
+    count = at = 0
+    while at < len(text):
+        n = 1
+        while at + n < len(text) and text[at : at + n + 1] in sample:
+            n += 1
+        at, count = at + n, count + 1
+    return count
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="abc ", max_size=60), st.text(alphabet="abcd ", max_size=40))
+def test_phrases_are_longest_matches(sample, text):
+    assert language_id.phrases(language_id.automaton(sample), text) == greedy(sample, text)
+
+
+def test_language_edges(odd, frame):
+    taught = frame([(1, "the cat and the dog went home", "en", None), (2, "der hund und die katze gehen heim", "de", None), (3, None, "fr", None), (4, "???", None, None)])
+    rows = language_id.identify_languages(odd, taught).collect()
+    assert len(rows) == odd.count()
+    for r in rows:
+        assert (r["lang_pred"] == "und") == (not any(c.isalpha() for c in r["text"] or "")) and 0 <= r["lang_score"] <= 1
+    assert {r["lang_pred"] for r in language_id.identify_languages(frame([(1, "Die Katze und der Hund!", None, None)]), taught).collect()} == {"de"}
+    assert {r["lang_pred"] for r in language_id.identify_languages(odd, taught.limit(0)).collect()} == {"und"}
+    assert language_id.identify_languages(odd.limit(0), taught).count() == 0
+    kept = language_id.keep_identified(odd, taught)
+    assert kept.columns == odd.columns and kept.count() == 8
+    assert language_id.keep_identified(odd, taught.limit(0)).count() == 8
+
+
+# secrets
+
+
+def der(tag, body):
+    size = len(body)
+    head = bytes([size]) if size < 128 else bytes([0x82]) + size.to_bytes(2, "big")
+    return bytes([tag]) + head + body
+
+
+def b64(data, url=False):
+    return (base64.urlsafe_b64encode(data).rstrip(b"=") if url else base64.b64encode(data)).decode()
+
+
+def test_structural_secrets(frame, odd):
+    rng = random.Random(1)
+    key = der(0x30, der(2, b"\0") + der(2, rng.randbytes(129)) + der(2, b"\1\0\1") + der(2, rng.randbytes(128)))
+    token = b64(json.dumps({"alg": "HS256"}).encode(), True) + "." + b64(b'{"sub":"1"}', True) + "." + b64(rng.randbytes(32), True)
+    ssh = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + rng.randbytes(60)
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{b64(key)}\n-----END RSA PRIVATE KEY-----"
+    broken = b64(key[:-1] + b"")
+    texts = [f"é {token} end", f"x {pem} y", f"é {b64(key)}", key.hex(), f"k {b64(ssh)}", broken, b64(rng.randbytes(90)), "a.b.c " + token.replace(".", " ")]
+    kinds = ["signed_token", "pem_key", "der_key", "der_key", "ssh_key", None, None, None]
+    rows = {r["doc_id"]: r for r in secret_scan.scan_secrets(frame([(i, t, None, None) for i, t in enumerate(texts)])).collect()}
+    for i, kind in enumerate(kinds):
+        found = {s["kind"] for s in rows[i]["spans"]} - {"hex"}
+        assert (kind in found) if kind else not found & {"signed_token", "pem_key", "der_key", "ssh_key"}
+    span = rows[0]["spans"][0]
+    assert texts[0][span["start"] : span["end"]] == token
+    assert secret_scan.scan_secrets(odd).where("size(spans) > 0").count() == 0 and secret_scan.scan_secrets(odd).count() == odd.count()
+    assert secret_scan.scan_secrets(odd.limit(0)).count() == 0
+
+
+def test_short_values_still_consume():
+    assert secret_scan.base_spans("password: token: abcdefgh") == []
+    assert secret_scan.render(secret_scan.base_spans("ToKeN='abc123'")) == "assign:0:13"
+
+
+# names of words
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab é\n\x0b\x1f", max_size=30), max_size=8), st.integers(2, 40))
+def test_word_names(texts, segment):
+    old, words.SEGMENT = words.SEGMENT, segment
+    try:
+        names, bounds = words.word_names([t.encode() for t in texts])
+    finally:
+        words.SEGMENT = old
+    split = [t.encode().split() for t in texts]
+    assert np.diff(bounds).tolist() == [len(s) for s in split]
+    flat = [w for s in split for w in s]
+    assert len({n: w for n, w in zip(names.tolist(), flat)}) == len(set(flat)) == len(set(zip(names.tolist(), flat)))
+
+
+# repeated passages
+
+
+def plain_removal(rows, window):
+    seen, out = set(), {}
+    for doc, text in rows:
+        tokens = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        gone = set()
+        for i in range(len(tokens) - window + 1):
+            run = tuple(tokens[i : i + window])
+            if run in seen:
+                gone |= set(range(i, i + window))
+            seen.add(run)
+        out[doc] = (len(tokens), len(gone), " ".join(t for i, t in enumerate(tokens) if i not in gone))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_removal_equals_plain_version(spark, monkeypatch, seed):
+    """Random texts of few words, with runs, over many small blocks and buckets."""
+    rng = random.Random(seed)
+    pool = [[rng.choice("abcd") * rng.choice([1, 1, 2]) for _ in range(rng.randint(5, 60))] for _ in range(12)]
+    rows = []
+    for i in range(150):
+        body = []
+        for _ in range(rng.randint(0, 4)):
+            body += rng.choice(pool) if rng.random() < 0.7 else ["x"] * rng.randint(1, 60)
+            body += [rng.choice("efghij") for _ in range(rng.randint(0, 6))]
+        rows.append((i * 3, " ".join(body)))
+    monkeypatch.setattr(substring_dedup, "BUCKET_WORDS", 700)
+    shuffled = rng.sample(rows, len(rows))
+    df = spark.createDataFrame(shuffled, "doc_id long, text string").repartition(7)
+    for window, rounds in ((20, 2), (6, 1), (20, 3)):
+        got = {r["doc_id"]: tuple(r)[1:] for r in substring_dedup.remove_repeats(df, window=window, rounds=rounds).collect()}
+        assert got == plain_removal(rows, window)
+
+
+def test_interior_symbols_agree():
+    """Equal windows have equal anchors wherever they stand."""
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 5, 60).astype(np.uint64)
+    anchors = []
+    for before in range(6):
+        text = np.concatenate((rng.integers(0, 5, before).astype(np.uint64), passage, rng.integers(0, 5, 9).astype(np.uint64)))
+        starts, chosen, _ = substring_dedup.anchors(words.mix(text), np.array([0, len(text)]), 20, 2)
+        anchors.append(chosen[before : before + 41].tolist())
+    assert all(a == anchors[0] for a in anchors)
+
+
+def test_removal_edges(odd):
+    rows = substring_dedup.remove_repeats(odd).collect()
+    assert len(rows) == odd.count()
+    by = {r["doc_id"]: r for r in rows if r["doc_id"] in (2, 3, 6, 7)}
+    assert by[2]["n_words"] == by[3]["n_words"] == 0 and by[6]["n_words"] == 120_000
+    assert by[6]["n_removed"] == 120_000 - 9973 - 19 + 19 and by[7]["n_removed"] == 120_000
+    assert substring_dedup.remove_repeats(odd.limit(0)).count() == 0
+
+
+# Jaccard join
+
+
+def plain_links(texts, threshold=0.8):
+    sets = {}
+    for t in set(texts):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        sets[t] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    near = lambda a, b: a != b and bool(sets[a] & sets[b]) and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= threshold
+    return {a: {b for b in sets if near(a, b)} for a in sets}
+
+
+@pytest.mark.parametrize("cell", [300_000, 900])
+def test_links_equal_plain_version(frame, monkeypatch, cell):
+    """Near copies of a few texts, also when a group is dealt into many cells."""
+    monkeypatch.setattr(jaccard_join, "CELL", cell)
+    rng = random.Random(5)
+    texts = []
+    for _ in range(6):
+        base = [f"v{rng.randint(0, 300)}" for _ in range(rng.randint(3, 90))]
+        for _ in range(12):
+            copy = list(base)
+            for _ in range(rng.randint(0, 2)):
+                copy[rng.randrange(len(copy))] = f"n{rng.randint(0, 9)}"
+            texts.append(" ".join(copy))
+    want = plain_links(texts)
+    df = frame([(i, t, None, None) for i, t in enumerate(texts)])
+    rows = jaccard_join.near_duplicates(df).collect()
+    group = {r["class_id"]: r["group_id"] for r in rows}
+    name = {texts[r["doc_id"]]: r["class_id"] for r in rows}
+    for r in rows:
+        text = texts[r["doc_id"]]
+        assert r["links"] == len(want[text])
+        assert all(group[name[b]] == r["group_id"] for b in want[text])
+    parts = {}
+    for t in want:  # connected texts, plainly
+        reach, todo = {t}, [t]
+        while todo:
+            for b in want[todo.pop()] - reach:
+                reach.add(b)
+                todo.append(b)
+        parts[t] = min(name[b] for b in reach)
+    assert all(group[name[t]] == parts[t] for t in want)
+    kept = [r["doc_id"] for r in jaccard_join.keep_one(df).collect()]
+    assert sorted(kept) == sorted(min(i for i, t in enumerate(texts) if parts[t] == g) for g in set(parts.values()))
+
+
+def test_join_edges(odd):
+    rows = jaccard_join.near_duplicates(odd).collect()
+    assert len(rows) == odd.count()
+    assert {r["doc_id"]: r["links"] for r in rows if r["doc_id"] in (2, 4, 6, 7)} == {2: 0, 4: 0, 6: 1, 7: 1}
+    assert len({r["class_id"] for r in rows if r["doc_id"] in (1, 2)}) == 1
+    kept = jaccard_join.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert sorted((r["doc_id"] for r in kept.collect())) == [1, 3, 4, 6, 8, 8]
+    assert jaccard_join.near_duplicates(odd.limit(0)).count() == 0 and jaccard_join.keep_one(odd.limit(0)).count() == 0
+
+
+def test_prefix_is_shortened_to_the_recall():
+    assert jaccard_join.prefix_depth(24, 8, 0.8, 0.999) == 6
+    assert jaccard_join.prefix_depth(24, 8, 0.8, 0.5) == 8
+    assert jaccard_join.prefix_depth(1, 8, 0.8, 0.99) == 1
+
+
+# decontamination
+
+
+def test_contamination_equals_plain_version(spark, odd):
+    rng = random.Random(9)
+    word = lambda: rng.choice(["a", "B", "cc", "É", "é", "1", "x9"])
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate((0, 1, 3, 12, 13, 14, 30))] + [(7, None), (4, "zz zz zz"), (10, "zz ZZ zz")]
+    docs = [(i, " -- ".join(word() for _ in range(rng.randint(0, 60)))) for i in range(60)] + [(i, f"pre {items[i % 7][1]}! post {items[6][1]}") for i in range(60, 80)] + [(80, "zz zz zz zz"), (81, None), (None, "zz zz zz")]
+
+    def split(text):
+        low = "".join(c.lower() if c.isascii() else c for c in text or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+    got = {r["doc_id"]: r for r in decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for doc, text in docs:
+        w, hit, which = split(text), set(), set()
+        for item, body in items:
+            v = split(body)
+            size = min(13, len(v))
+            for i in range(len(v) - size + 1 if v else 0):
+                for j in range(len(w) - size + 1):
+                    if w[j : j + size] == v[i : i + size]:
+                        hit |= set(range(j, j + size))
+                        which.add(str(item))
+        row = got[doc]
+        assert (row["n_words"], row["n_hit"], row["n_items"], row["items"]) == (len(w), len(hit), len(which), sorted(which)), doc
+        assert row["contaminated"] == (len(hit) > 0 and 20 * len(hit) >= len(w))
+    bench = odd.select(F.col("doc_id").alias("item_id"), F.lit("in a copied text").alias("text"), "key", "word")
+    assert decontaminate.contamination(odd, bench).where("contaminated").count() == 4
+    kept = decontaminate.clean_documents(odd, bench)
+    assert kept.columns == odd.columns and kept.count() == odd.count() - 4
+    assert decontaminate.clean_documents(odd, bench.limit(0)).count() == odd.count()
+    assert decontaminate.contamination(odd.limit(0), bench).count() == 0
+
+
+def test_decontamination_stays_in_the_jvm(odd):
+    plan = decontaminate.contamination(odd, odd.where("doc_id < 6").select(F.col("doc_id").alias("item_id"), "text"))._jdf.queryExecution().toString()
+    plan += exact_dedup.exact_duplicates(odd)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|InArrow", plan)
+
+
+# pages
+
+PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style><script>var t="</p><article>";</script></head><body class="menu-open"><header>Site</header><nav><a>Home</a></nav>
+<div class="cookie-notice">We use <b>cookies</b></div><article><h1>Head&amp;line</h1><p>One &lt;b&gt;  two<br>three&nbsp;four<p>Fi<b>ve</b><div class="ad">Buy</div><ul><li>six</li><li>seven</li></ul><form>Name<input></form>
+<section id="comments"><p>First!</p></section><aside>More</aside></article><footer>&copy; x</footer></body></html>"""
+
+
+def test_blocks():
+    assert [t for t, core in html_text.blocks_of(PAGE) if core] == ["Head&line", "One <b> two three four", "Five", "six", "seven"]
+    assert html_text.blocks_of(None) == [] and html_text.blocks_of("a < b") == [("a < b", False)]
+    assert html_text.blocks_of("<p>open <script>never closed") == [("open", False)]
+    assert html_text.blocks_of("<p title='a>b'>x</p>") == [("x", False)]
+
+
+def test_repeated_runs_are_removed(spark):
+    """Without an article, what three pages of a host repeat goes and what is unique stays."""
+    notice = "this long notice stands on every single page of the host"
+    rows = [(i, f"http://h.org/{i}", f"<div>{notice}</div><p>unique text number {i} of page {i * 7} is kept</p>", "x") for i in range(5)]
+    rows += [(None, None, None, "x"), (9, "http://other.org/", f"<p>{notice}</p>", "x"), (9, "http://other.org/", f"<p>{notice}</p>", "x"), (10, "http://h.org/a", PAGE, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+    for size in (4_000_000, 10**9):
+        got = {r["page_id"]: r["text"] for r in html_text.extract_text(pages, block_chars=size).collect()}
+        assert all(got[i] == f"unique text number {i} of page {i * 7} is kept" for i in range(5))
+        assert got[9] == notice and got[None] == "" and got[10].startswith("Head&line")
+    assert html_text.extract_text(pages, block_chars=50).count() == len(rows) and html_text.extract_text(pages.limit(0)).count() == 0
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=12), min_size=1, max_size=5), st.integers(1, 5), st.integers(1, 3))
+def test_cover_equals_plain_version(streams, length, pages):
+    got = html_text.repeated_cover(streams, length, pages)
+    for n, s in enumerate(streams):
+        want = [False] * len(s)
+        for i in range(len(s) - length + 1):
+            if sum(any(t[j : j + length] == s[i : i + length] for j in range(len(t) - length + 1)) for t in streams) >= pages:
+                want[i : i + length] = [True] * length
+        if sum(map(len, streams)) + len(streams) > length:
+            assert got[n].tolist() == want
+
+
+# training order
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 3000), st.integers(0, 2**40))
+def test_permutation(total, key):
+    index = np.arange(total)
+    slots = token_output.permute(index, total, key)
+    assert sorted(slots.tolist()) == index.tolist()
+    assert (token_output.permute(slots, total, key, inverse=True) == index.astype(np.uint64)).all()
+
+
+def test_shards(odd, tmp_path):
+    """Records at fixed offsets: reading on from any slot gives the same sequences."""
+    ordered = token_output.training_order(odd, length=16, per_shard=500)
+    rows = ordered.collect()
+    assert [r["slot"] for r in rows] == list(range(len(rows)))
+    manifest = token_output.write_shards(ordered, str(tmp_path / "out")).collect()
+    assert sum(m["rows"] for m in manifest) == len(rows) and sorted(os.listdir(tmp_path / "out")) == sorted(os.path.basename(m["file"]) for m in manifest)
+    for r in rows[:: max(1, len(rows) // 50)]:
+        with open(tmp_path / "out" / f"shard-{r['shard']:08d}.bin", "rb") as file:
+            file.seek(r["byte_offset"])
+            assert file.read(32) == bytes(r["tokens"])
+    decode = token_output.encoder(token_output.VOCABULARY).decode
+    for doc, text in ((7, odd.where("doc_id = 7").first()["text"]),):
+        parts = sorted((r["part"], r) for r in rows if r["doc_id"] == doc)
+        ids = [i for _, r in parts for i in memoryview(bytes(r["tokens"])).cast("H").tolist()[: r["n_tokens"]]]
+        assert decode(ids[:-1]) == text
+    assert {r["doc_id"] for r in rows} == {None, 3, 4, 5, 6, 7, 8}
+    assert token_output.training_order(odd.limit(0)).count() == 0

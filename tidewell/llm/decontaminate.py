@@ -13,6 +13,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 INSIDE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
+#: Prefix tokens of a window.
+PREFIX = 2
+
 
 def words_of(text: Column) -> Column:
     """Words of a text with A-Z lower-cased; other letters stay as they are. Plain ASCII texts take the faster function."""
@@ -43,35 +46,40 @@ def covered(spans: Column) -> Column:
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", size: int = 13) -> DataFrame:
     """One row per document: key, n_words, n_hit, n_items, items (sorted ids as strings), contaminated.
 
-    1. The words of all windows are counted over all documents; the rarest word of a window is its prefix token (any order
-       is right, this one meets fewest places). A window that occurs must have its prefix token at the right place.
+    1. The words of all windows are counted over all documents; the rarest words of a window, two at most, are its prefix
+       tokens (any order is right, this one meets fewest places). A window that occurs has all of them at their places.
     2. Document words are joined with the prefix tokens; length and position bounds drop places where the window
-       would not fit into the document. The other side is attached by broadcast within its counted bound.
+       would not fit into the document, and starts that do not meet all prefix tokens go before any text is fetched. The
+       other side is attached by broadcast within its counted bound.
     3. Candidates, once per distinct text (so copies cost nothing more), are checked word by word against the document.
 
     A document is contaminated when it has hits and 20 * n_hit >= n_words. NULL and empty texts have no words; an item
     without words has no window, one with fewer than `size` words is one window. NULL item ids are judged but not listed.
     Repeated items and documents count like any other; an empty benchmark hits nothing. Other columns are ignored.
     """
-    windows = materialize(item_windows(items, item_key, item_text, size), "item-windows")
-    places = windows.select("window", "len", F.posexplode("words").alias("off", "word")).distinct()
+    owned = materialize(item_windows(items, item_key, item_text, size), "item-windows")
+    numbered = owned.select("window", "len", "words").distinct().withColumn("id", F.monotonically_increasing_id())
+    windows = materialize(numbered, "windows")
+    places = windows.select("id", "len", F.posexplode("words").alias("off", "word"))
     vocabulary = materialize(places.select("word").distinct(), "item-words")
-    base = docs.select(F.col(key).alias("key"), F.col(text).alias("body"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("mark"))
+    base = docs.select(F.col(key).alias("key"), F.col(text).alias("body"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("mark"))
     words = base.select("mark", words_of(F.col("body")).alias("w"))
     counts = join_small(words.select(F.explode("w").alias("word")), vocabulary, "word").groupBy("word").agg(F.count("*").alias("n"))
-    known = places.join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    prefixes = known.groupBy("window", "len").agg(F.min(F.struct("n", "word", "off")).alias("p"))
-    prefixes = materialize(prefixes.where("p.n > 0").select("window", "len", F.col("p.word").alias("word"), F.col("p.off").alias("off")), "item-prefixes")
+    known = places.join(counts, "word", "left").groupBy("id", "len").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "off"))).alias("p"))
+    rarest = known.where("p[0].n > 0").select("id", "len", F.least(F.col("len"), F.lit(PREFIX)).alias("need"), F.posexplode(F.slice("p", 1, PREFIX)).alias("rank", "p"))
+    prefixes = materialize(rarest.select("id", "len", "need", F.expr("shiftleft(1, rank)").alias("bit"), F.col("p.word").alias("word"), F.col("p.off").alias("off")), "item-prefixes")
     spread = words.select("mark", "w", F.size("w").alias("n")).select("mark", "n", F.posexplode("w").alias("at", "word"))
     fits = (F.col("at") >= F.col("off")) & (F.col("at") - F.col("off") + F.col("len") <= F.col("n"))
-    met = join_small(spread, prefixes, "word").where(fits).select("mark", (F.col("at") - F.col("off")).alias("start"), "len", "window").distinct()
-    candidates = materialize(met.groupBy("mark").agg(F.collect_list(F.struct("start", "len", "window")).alias("spans")), "item-candidates")
+    met = join_small(spread, prefixes, "word").where(fits).groupBy("mark", (F.col("at") - F.col("off")).alias("start"), "id", "need").agg(F.bit_or("bit").alias("bits"))
+    whole = met.where(F.col("bits") == F.expr("shiftleft(1, need) - 1")).select("mark", "start", "id")
+    spans = join_small(whole, windows.select("id", "len", "window"), "id")
+    candidates = materialize(spans.groupBy("mark").agg(F.collect_list(F.struct("start", "len", "window")).alias("spans")), "item-candidates")
     suspects = join_small(base.select("mark", "body"), candidates, "mark")
     true = let(words_of(F.col("body")), lambda w: F.filter("spans", lambda x: F.concat_ws(" ", F.slice(w, x["start"] + 1, x["len"])) == x["window"]))
     verified = suspects.select("mark", true.alias("spans")).where(F.size("spans") > 0).groupBy("mark").agg(F.first("spans").alias("spans"))
     verified = materialize(verified, "item-hits")
     found = verified.select("mark", F.explode(F.array_distinct(F.transform("spans", lambda x: x["window"]))).alias("window"))
-    owners = join_small(found, windows.select("item", "window"), "window").groupBy("mark").agg(F.count_distinct("item").alias("n_items"), F.array_sort(F.collect_set("item")).alias("items"))
+    owners = join_small(found, owned.select("item", "window"), "window").groupBy("mark").agg(F.count_distinct("item").alias("n_items"), F.array_sort(F.collect_set("item")).alias("items"))
     hits = materialize(verified.select("mark", covered(F.col("spans")).alias("n_hit")).join(owners, "mark", "left"), "documents-hit")
     n_words = F.coalesce(F.regexp_count(F.col("body"), F.lit(INSIDE)), F.lit(0)).cast("long")
     out = join_small(base.select("key", "mark", n_words.alias("n_words")), hits, "mark", "left")

@@ -45,7 +45,7 @@ def main() -> None:
     picked = os.environ.get("BENCH_QUERIES", "")
     names = list(queries) if picked == "all" else picked.split(",") if picked else list(HEADLINE)
     spark = build_session(
-        "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=str(cpus), spark__driver__memory="12g", spark__ui__enabled="false",
+        "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=str(cpus), spark__tidewell__text__partitions=str(cpus), spark__driver__memory="12g", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")

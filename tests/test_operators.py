@@ -144,3 +144,39 @@ def test_metric_spike_zero_baseline(spark):
 def test_count_per_group_keeps_null_keys(spark):
     df = spark.createDataFrame([(1, None), (2, None), (3, "a")], "id long, k string")
     assert {r.id: r.n for r in relational.count_per_group(df, ["k"], "n").collect()} == {1: 2, 2: 2, 3: 1}
+
+
+def test_facts_without_a_user_belong_to_nobody(spark):
+    reports = spark.createDataFrame([(1, None), (2, None), (3, 5)], "report_id long, target_id long")
+    punishments = spark.createDataFrame([(1, None), (2, 7)], "punish_id long, user_id long")
+    rows = live.user_facts(reports, punishments).collect()
+    assert sorted((r["user_id"], r["report_cnt"], r["punish_cnt"]) for r in rows) == [(5, 1, 0), (7, 0, 1)]
+
+
+def test_top_list_longer_than_the_candidates_is_refused(spark, small):
+    from tidewell.checks.charging import Charging
+    from tidewell.sources.star import Star
+
+    pairs = Charging(Star(spark, small)).candidates()
+    assert charging.reco_topn(pairs, 2).count() > 0
+    with pytest.raises(ValueError):
+        charging.reco_topn(pairs, 8)
+
+
+def test_neighbours_are_chosen_before_rounding(spark):
+    vectors = spark.createDataFrame([(i, [1e-4 * (10 - i)]) for i in range(10)], "k long, embedding array<double>")
+    query = spark.createDataFrame([(0, [0.0])], "q long, embedding array<double>")
+    assert [r["k"] for r in knn_topk(query, vectors, 3, ["q"], "k").orderBy("rank_no").collect()] == [9, 8, 7]
+
+
+def test_undecided_rows_are_rejected(spark):
+    df = spark.createDataFrame([(1,), (-1,), (None,)], "v int")
+    good, bad = relational.split_valid(df, F.col("v") > 0)
+    assert [r["v"] for r in good.collect()] == [1] and {r["v"] for r in bad.collect()} == {-1, None}
+
+
+def test_groups_are_searched_to_the_end(spark):
+    """Many texts share a bucket with a leader they do not match; links among them are found all the same."""
+    rows = [(i, f"text number {i // 2} " + "common words that all share " * 3 + "abcdefgh"[i // 2] * 60) for i in range(16)]
+    got = {r["id"]: r["group"] for r in similarity.similar_groups(spark.createDataFrame(rows, "id long, t string"), "id", "t", 0.95, bands=40, rows=1).collect()}
+    assert all(got[i] == got[i + 1] for i in range(0, 16, 2)) and len(set(got.values())) == 8

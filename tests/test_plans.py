@@ -37,3 +37,10 @@ def test_scan_reads_only_needed_columns(spark, small):
 
 def test_top_n_limits_before_the_shuffle(spark, small):
     assert "WindowGroupLimit" in plan(QUERIES["rank_topn"](spark, small))
+
+
+def test_sales_checks_reach_the_scans(spark, small):
+    """No part of the validity stands in a join condition: rows are filtered below the joins."""
+    text = QUERIES["sales_by_region"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in text.splitlines() if re.search(r"\bJoin\b", line)]
+    assert joins and not any("try_" in line or "TRY" in line or "gettimestamp" in line for line in joins)

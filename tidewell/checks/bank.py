@@ -139,6 +139,9 @@ class Bank:
     def abnormal(self):
         return self._layer("abnormal", lambda: bank.abnormal_transactions(self.transactions, self.accounts))
 
+    def daily_report(self):
+        return bank.risk_daily_report(self.transactions, self.customers, self.behavior(), self.scores(), self.abnormal(), self.overdue, self.credit, self.quality())
+
     def quality(self):
         return dq.report(
             dq.run_checks(self.customers, dq.not_null("dim_customer customer_id not null", "customer_id")),
@@ -225,7 +228,7 @@ def _(s: Star):
     return bank.segment_distribution(Bank(s, shared=True).segments())
 
 
-@query("risk_daily_report", sql(f"""
+cte("bank_daily_layer", f"""
 SELECT (SELECT MAX(CAST(txn_time AS DATE)) FROM fact_transaction) AS metric_date,
        (SELECT COUNT(*) FROM dim_customer) AS total_customer_cnt,
        (SELECT COUNT(*) FROM behavior_layer WHERE txn_cnt_30d > 0) AS active_customer_cnt_30d,
@@ -235,7 +238,9 @@ SELECT (SELECT MAX(CAST(txn_time AS DATE)) FROM fact_transaction) AS metric_date
        {ratio('(SELECT COUNT(*) FROM fact_overdue WHERE is_current_overdue = 1)', '(SELECT COUNT(*) FROM fact_credit_snapshot)')} AS overdue_customer_rate,
        (SELECT COUNT(*) FROM bank_quality_layer WHERE check_result = 'PASS') AS quality_pass_cnt,
        (SELECT COUNT(*) FROM bank_quality_layer) AS quality_check_cnt
-"""))
+""")
+
+
+@query("risk_daily_report", sql("SELECT * FROM bank_daily_layer"))
 def _(s: Star):
-    b = Bank(s, shared=True)
-    return bank.risk_daily_report(b.transactions, b.customers, b.behavior(), b.scores(), b.abnormal(), b.overdue, b.credit, b.quality())
+    return Bank(s, shared=True).daily_report()

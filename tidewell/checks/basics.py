@@ -77,11 +77,10 @@ def _(s: Star):
     return s.charge_order().where(F.col("status") == "COMPLETED").select("order_id", "vehicle_id", "station_id", "energy_kwh")
 
 
-@query("try_cast_date", sql("SELECT order_id, TRY_CAST(order_date AS DATE) AS settle_date FROM (SELECT order_id, CASE WHEN length(order_date) = 10 AND order_date LIKE '%-%' THEN order_date ELSE 'n/a' END AS order_date FROM order_sheet)"))
+@query("try_cast_date", sql("SELECT order_id, TRY_CAST(order_date AS DATE) AS settle_date FROM (SELECT order_id, CASE WHEN length(order_date) = 10 AND order_date LIKE '%-%' THEN order_date ELSE 'n/a' END AS order_date FROM order_raw)"))
 def _(s: Star):
     d = F.when((F.length("order_date") == 10) & F.col("order_date").contains("-"), F.col("order_date")).otherwise("n/a")
-    sheet = s.order_raw().where(F.col("order_id").isNotNull() & (F.col("file_row") < 10**12))
-    return sheet.select("order_id", d.try_cast("date").alias("settle_date"))
+    return s.order_raw().select("order_id", d.try_cast("date").alias("settle_date"))
 
 
 @query("safe_ratio", sql(f"SELECT credit_id, {ratio('used_credit', 'credit_limit')} AS utilization_rate, {ratio('used_credit', 'used_credit')} AS self_rate FROM fact_credit_snapshot"))
@@ -91,10 +90,9 @@ def _(s: Star):
     )
 
 
-@query("parse_mixed_date", sql(f"SELECT order_id, {finance_checks.mixed('order_date')} AS order_date FROM order_sheet"))
+@query("parse_mixed_date", sql(f"SELECT order_id, {finance_checks.mixed('order_date')} AS order_date FROM order_raw"))
 def _(s: Star):
-    sheet = s.order_raw().where(F.col("order_id").isNotNull() & (F.col("file_row") < 10**12))
-    return sheet.select("order_id", x.parse_mixed_date("order_date").alias("order_date"))
+    return s.order_raw().select("order_id", x.parse_mixed_date("order_date").alias("order_date"))
 
 
 @query("clean_money", sql(f"SELECT file_row, {finance_checks.clean('amount')} AS amount FROM order_raw"))
@@ -181,7 +179,7 @@ def _(s: Star):
     orders = s.fact_credit_snapshot().groupBy("customer_id").agg(F.count(F.lit(1)).alias("order_cnt"))
     txns = s.fact_transaction().groupBy(F.col("account_id").alias("customer_id")).agg(F.count(F.lit(1)).alias("txn_cnt"))
     wide = s.dim_customer().select("customer_id").join(orders, "customer_id", "left").join(txns, "customer_id", "left")
-    return wide.na.fill(0)
+    return wide.na.fill(0, ["order_cnt", "txn_cnt"])
 
 
 @query("full_outer_compare", sql("""
@@ -194,7 +192,7 @@ def _(s: Star):
     credit = s.fact_credit_snapshot()
     before = credit.where(F.col("snapshot_date") < cut).groupBy("customer_id").agg(F.count(F.lit(1)).alias("before_cnt"))
     after = credit.where(F.col("snapshot_date") >= cut).groupBy("customer_id").agg(F.count(F.lit(1)).alias("after_cnt"))
-    return before.join(after, "customer_id", "full_outer").na.fill(0)
+    return before.join(after, "customer_id", "full_outer").na.fill(0, ["before_cnt", "after_cnt"])
 
 
 @query("cross_join_candidates", sql("""
@@ -226,9 +224,9 @@ def _(s: Star):
     return rel.group_members(s.account_behavior(), "ip", "user_id", "ip_user_cnt", recent)
 
 
-@query("fk_anti_check", sql("SELECT order_id, receiver_id FROM payment_order WHERE receiver_id NOT IN (SELECT s_suppkey FROM supplier)"))
+@query("fk_anti_check", sql("SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"))
 def _(s: Star):
-    return rel.orphans(s.payment_order(), "receiver_id", s.table("supplier"), "s_suppkey").select("order_id", "receiver_id")
+    return rel.orphans(s.table("documents"), "doc_id", s.table("labels")).select("doc_id", "source")
 
 
 @query("scalar_subquery_join", sql("SELECT txn_id, amount FROM fact_transaction WHERE amount >= (SELECT MAX(amount) / 2 FROM fact_transaction)"))

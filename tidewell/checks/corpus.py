@@ -171,9 +171,9 @@ def _(s: Star):
 
 
 cte("knn_layer", f"""
-SELECT query_id, variant, chunk_id, distance, rank_no FROM (
+SELECT query_id, variant, chunk_id, {rnd('distance', 6)} AS distance, rank_no FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id, variant ORDER BY distance, chunk_id) AS rank_no FROM (
-    SELECT query_id, variant, chunk_id, {rnd("list_sum(list_transform(list_zip(q.embedding, k.embedding), lambda p: (p[1] - p[2]) * (p[1] - p[2])))", 6)} AS distance
+    SELECT query_id, variant, chunk_id, list_sum(list_transform(list_zip(q.embedding, k.embedding), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance
     FROM question_vectors q CROSS JOIN knowledge k)) WHERE rank_no <= {POOL_K}
 """)
 cte("pool_layer", f"""
@@ -247,14 +247,13 @@ def _(s: Star):
 
 
 @query("knn_topk_cosine", sql(f"""
-SELECT query_id, chunk_id, distance, rank_no FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rank_no FROM (
-  SELECT a.vec_id AS query_id, b.vec_id AS chunk_id,
-         {rnd("1 - list_dot_product(a.embedding, b.embedding) / (sqrt(list_dot_product(a.embedding, a.embedding)) * sqrt(list_dot_product(b.embedding, b.embedding)))", 6)} AS distance
-  FROM vectors a CROSS JOIN vectors b)) WHERE rank_no <= 5
+SELECT query_id, variant, chunk_id, {rnd('distance', 6)} AS distance, rank_no FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id, variant ORDER BY distance, chunk_id) AS rank_no FROM (
+  SELECT a.query_id, a.variant, b.vec_id AS chunk_id,
+         1 - list_dot_product(a.embedding, b.embedding) / (sqrt(list_dot_product(a.embedding, a.embedding)) * sqrt(list_dot_product(b.embedding, b.embedding))) AS distance
+  FROM question_vectors a CROSS JOIN vectors b)) WHERE rank_no <= 5
 """))
 def _(s: Star):
-    v = s.vectors()
-    near = knn_topk(v.withColumnRenamed("vec_id", "query_id"), v.withColumnRenamed("vec_id", "chunk_id"), 5, ["query_id"], "chunk_id", "cosine", query_block=256, vector_block=256)
+    near = knn_topk(s.question_vectors(), s.vectors().withColumnRenamed("vec_id", "chunk_id"), 5, ["query_id", "variant"], "chunk_id", "cosine", query_block=256, vector_block=256)
     return near.withColumn("distance", F.col("distance") + F.lit(0.0))
 
 
@@ -318,7 +317,7 @@ SELECT doc_id, text || ' Employees receive ' || (n_chars % 30) || ' days annual
 
 def fact_sql(name: str) -> str:
     patterns = retrieval.POLICY_FACTS[name]
-    return "COALESCE(" + ", ".join(f"NULLIF(regexp_extract(text, '{p}', 1), '')" for p in patterns) + f") AS {name}"
+    return "COALESCE(" + ", ".join(f"NULLIF(regexp_extract(text, '{p}', {group}), '')" for p, group in patterns) + f") AS {name}"
 
 
 @query("policy_fact_extract", sql(f"SELECT doc_id, {', '.join(fact_sql(n) for n in retrieval.POLICY_FACTS)} FROM policy_text"))

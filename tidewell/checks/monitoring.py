@@ -10,6 +10,7 @@ from tidewell.checks.catalog import query
 from tidewell.checks.ctes import cte, sql
 from tidewell.operators import quality as dq
 from tidewell.operators.relational import scalar
+from tidewell.plans import bank as bank_plans
 from tidewell.plans import charging, metrics
 from tidewell.sources.star import Star
 
@@ -89,7 +90,7 @@ def with_severity(text: str, severity: str) -> str:
 
 SEGMENT_CARD = """
 SELECT 'SEG_001' AS check_item, CASE WHEN MIN(cnt) = 1 AND MAX(cnt) = 1 THEN 'PASS' ELSE 'FAIL' END AS check_result, 'min=' || MIN(cnt) || ', max=' || MAX(cnt) AS detail
-FROM (SELECT customer_id, COUNT(*) AS cnt FROM segment_layer GROUP BY 1)
+FROM (SELECT s.customer_id, COUNT(*) AS cnt FROM segment_layer s JOIN dim_customer c ON s.customer_id = c.customer_id GROUP BY 1)
 """
 PHONE = "^[0-9]{3}[*0-9]{4}[0-9]{4}$"
 
@@ -103,31 +104,30 @@ PHONE = "^[0-9]{3}[*0-9]{4}[0-9]{4}$"
     with_severity(bad("TXN_003", "txn_time > TIMESTAMP '2024-01-25'", "fact_transaction"), "medium"),
     with_severity(bad("RISK_001", "risk_score < 0 OR risk_score > 100", "risk_score_layer"), "high"),
     with_severity(SEGMENT_CARD, "medium"),
-    with_severity(rows("MON_001", "risk_daily_layer"), "high"),
+    with_severity(rows("MON_001", "bank_daily_layer"), "high"),
 ])))
 def _(s: Star):
     b, sev = bank_checks.Bank(s, shared=True), {"with_severity": True}
     batch_time = F.lit("2024-01-25").cast("timestamp_ntz")
     # The shared customers have no phone column; the name stands in for it and fails the pattern.
-    from tidewell.plans import live
-
+    serving = bank_plans.segment_result(b.segments(), b.customers)
     return dq.report(
         dq.run_checks(b.customers, dq.not_null("CUST_001", "customer_id"), dq.matches("CUST_002", "name", PHONE), **sev),
         dq.foreign_key("ACCT_001", b.accounts, "customer_id", b.customers, **sev),
         dq.run_checks(b.transactions, dq.not_null("TXN_001", "txn_id"), dq.non_negative("TXN_002", "amount"), dq.at_most("TXN_003", "txn_time", batch_time), **sev),
         dq.run_checks(b.scores(), dq.in_range("RISK_001", "risk_score", 0, 100), **sev),
-        dq.group_cardinality("SEG_001", b.segments(), "customer_id", 1, "FAIL", **sev),
-        dq.run_checks(live.risk_metric_daily(s.punishment_event()), dq.row_count("MON_001"), **sev),
+        dq.group_cardinality("SEG_001", serving, "customer_id", 1, "FAIL", **sev),
+        dq.run_checks(b.daily_report(), dq.row_count("MON_001"), **sev),
     )
 
 
 @query("dq_event_closure", sql("""
-SELECT user_id, 'no_end' AS problem FROM (SELECT user_id FROM events WHERE event_type = 'signup' AND value >= 50 EXCEPT SELECT user_id FROM events WHERE event_type = 'purchase' AND value >= 100)
-UNION ALL SELECT user_id, 'no_start' FROM (SELECT user_id FROM events WHERE event_type = 'purchase' AND value >= 100 EXCEPT SELECT user_id FROM events WHERE event_type = 'signup' AND value >= 50)
+SELECT user_id, 'no_end' AS problem FROM (SELECT user_id FROM events WHERE event_type = 'signup' EXCEPT SELECT user_id FROM events WHERE event_type = 'purchase')
+UNION ALL SELECT user_id, 'no_start' FROM (SELECT user_id FROM events WHERE event_type = 'purchase' EXCEPT SELECT user_id FROM events WHERE event_type = 'signup')
 """))
 def _(s: Star):
-    e, kind, v = s.table("events"), F.col("event_type"), F.col("value")
-    return metrics.event_closure(e.where((kind == "signup") & (v >= 50)), e.where((kind == "purchase") & (v >= 100)), "user_id")
+    e, kind = s.table("events"), F.col("event_type")
+    return metrics.event_closure(e.where(kind == "signup"), e.where(kind == "purchase"), "user_id")
 
 
 @query("dq_round_sequence", sql("""

@@ -15,8 +15,8 @@ PATTERNS: tuple[tuple[str, str, str], ...] = (
 )
 
 
-# The same matches, found without trying every character of a word as a start.
-EMAIL_FROM_WORD_START = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+"
+# The same matches, found without trying every character of a word as a start: a match starts with a word or where the last one ended.
+EMAIL_FROM_WORD_START = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+"
 
 
 def _fast(name: str, pattern: str) -> str:

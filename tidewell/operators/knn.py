@@ -30,8 +30,8 @@ def knn_topk(
     Both sides are hashed by their unique key into blocks of bounded size and every query block meets every
     vector block once; inside a task the distances are matrix operations and only the k best per query leave
     it. So pairs are never emitted, no side has to fit in one place, and no key can be hot. Exact search has to
-    look at every pair once; the vectors move once per query block. Distances are rounded to `digits` so that
-    the order does not hinge on the last bits of a floating-point sum.
+    look at every pair once; the vectors move once per query block. Neighbours are chosen by
+    the full distance; only the returned column is rounded to `digits`.
     """
     def blocks(df: DataFrame, size: int):
         return F.greatest(F.ceil(df.agg(F.count(F.lit(1))).scalar() / F.lit(float(size))), F.lit(1)).cast("int")
@@ -55,7 +55,7 @@ def knn_topk(
         top_d, top_i = np.empty((len(qm), 0)), np.empty((len(qm), 0), dtype=int)
         for start in range(0, len(right), 4096):
             part = np.array(right["ve"].iloc[start : start + 4096].tolist(), dtype=float)
-            d = np.concatenate([top_d, np.round(_distances(qm, part, metric), digits)], axis=1)
+            d = np.concatenate([top_d, _distances(qm, part, metric)], axis=1)
             i = np.concatenate([top_i, np.broadcast_to(np.arange(start, start + len(part)), (len(qm), len(part)))], axis=1)
             order = np.argsort(d, axis=1, kind="stable")[:, :k]
             top_d, top_i = np.take_along_axis(d, order, 1), np.take_along_axis(i, order, 1)
@@ -66,4 +66,5 @@ def knn_topk(
         return pd.DataFrame(out)[columns]
 
     local = q.groupBy("qb", "vb").cogroup(v.groupBy("qb", "vb")).applyInPandas(best, schema)
-    return top_n(local, list(query_keys), [F.asc("distance"), F.asc(vector_key)], k)
+    best_rows = top_n(local, list(query_keys), [F.asc("distance"), F.asc(vector_key)], k)
+    return best_rows.withColumn("distance", F.round("distance", digits))

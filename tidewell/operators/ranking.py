@@ -30,18 +30,19 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return top_n(df, keys, order, 1).drop("rank_no")
 
 
-def cumulative_histogram(df: DataFrame, values: Sequence[str], slices: int = 64) -> DataFrame:
+def cumulative_histogram(df: DataFrame, values: Sequence[str], slice_values: int = 500_000) -> DataFrame:
     """Distinct non-NULL values of each column with their row count and the number of rows strictly below.
 
     Columns: `item` (column name), `value` (double), `n`, `below`, `total`. All columns are counted in one pass
     and equal values are added up before the shuffle, so a dominant value is one row. The counts are written
     once to the shared folder; the running sum is then taken inside value slices and shifted by the totals of
     the lower slices - `slices` numbers per column. Slices are cut at approximate quantiles of the distinct
-    values, which only steer the parallelism and never the result.
+    values, one per `slice_values` distinct values; they only steer the parallelism and never the result.
     """
     long = df.select(F.inline(F.array(*[F.struct(F.lit(v).alias("item"), F.col(v).cast("double").alias("value")) for v in values])))
     counted = long.where(F.col("value").isNotNull()).groupBy("item", "value").agg(F.count(F.lit(1)).alias("n"))
     hist = materialize(counted, "histogram")
+    slices = max(2, -(-hist.count() // slice_values))
     cuts = [i / slices for i in range(1, slices)]
     bounds = hist.groupBy("item").agg(F.percentile_approx("value", cuts, 1000).alias("bounds"), F.sum("n").alias("total"))
     sliced = hist.join(F.broadcast(bounds), "item").withColumn("slice", F.size(F.filter("bounds", lambda b: b < F.col("value")))).drop("bounds")

@@ -85,9 +85,11 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str | Non
 
 
 def split_valid(df: DataFrame, is_valid: Column) -> tuple[DataFrame, DataFrame]:
-    """Rows that pass and rows that do not; an undecided (NULL) condition counts as not valid."""
-    flagged = F.coalesce(is_valid, F.lit(False))
-    return df.where(flagged), df.where(~flagged)
+    """Rows that pass and rows that do not; an undecided (NULL) condition counts as not valid.
+
+    The valid side takes the plain condition, so its parts can be pushed below joins and into scans.
+    """
+    return df.where(is_valid), df.where(~F.coalesce(is_valid, F.lit(False)))
 
 
 def stack_rows(df: DataFrame, names: Sequence[str], columns: dict[str, Sequence[Column]]) -> DataFrame:

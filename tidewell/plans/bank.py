@@ -97,7 +97,7 @@ def customer_risk_features(customers: DataFrame, behavior: DataFrame, credit: Da
     wide = customers.select("customer_id")
     for part in parts:
         wide = wide.join(part, "customer_id", "left")
-    return wide.na.fill(0)
+    return wide.na.fill(0, [c for c in wide.columns if c != "customer_id"])
 
 
 def risk_score(weights: tuple[float, float, float, float, float] = (35, 25, 20, 10, 10)) -> Column:
@@ -252,11 +252,10 @@ def risk_daily_report(
         "total_txn_cnt",
         scalar(overdue, F.count_if(F.col("is_current_overdue") == 1)).alias("_overdue"),
         scalar(credit, rows).alias("_credit"),
-        scalar(quality, F.count_if(F.col("check_result") == "PASS")).alias("quality_pass_cnt"),
-        scalar(quality, rows).alias("quality_check_cnt"),
+        scalar(quality, F.struct(F.count_if(F.col("check_result") == "PASS").alias("passed"), rows.alias("checks"))).alias("_quality"),
     ).select(
         "metric_date", "total_customer_cnt", "active_customer_cnt_30d", "high_risk_customer_cnt", "abnormal_txn_cnt", "total_txn_cnt",
         safe_ratio("abnormal_txn_cnt", "total_txn_cnt").alias("abnormal_txn_rate"),
         safe_ratio("_overdue", "_credit").alias("overdue_customer_rate"),
-        "quality_pass_cnt", "quality_check_cnt",
+        F.col("_quality.passed").alias("quality_pass_cnt"), F.col("_quality.checks").alias("quality_check_cnt"),
     )

@@ -127,12 +127,15 @@ def candidate_features(vehicles: DataFrame, stations: DataFrame, preference: Dat
     return wide.select(
         "vehicle_id", "station_id", "zone_match", "power_match", "tariff_cny_per_kwh", "station_operability_score",
         "session_cnt_30d", "avg_energy_kwh_30d", "avg_amount_cny_30d",
-        recommend_score(F.col("session_cnt_30d"), F.col("zone_match"), F.col("power_match")).alias("recommend_score"),
+        recommend_score(F.col("session_cnt_30d"), F.col("zone_match"), F.col("power_match")).alias("recommend_score", metadata={"exact_up_to": n}),
     )
 
 
 def reco_topn(candidates: DataFrame, n: int = 3) -> DataFrame:
-    """Best n stations per vehicle; ties go to the smaller station id. Exact for n up to the candidates' n."""
+    """Best n stations per vehicle; ties go to the smaller station id. More than the candidates were built for is refused."""
+    most = candidates.schema["recommend_score"].metadata.get("exact_up_to", n)
+    if n > most:
+        raise ValueError(f"candidates hold the best {most} stations of a vehicle; build them with n={n}")
     return top_n(candidates, ["vehicle_id"], [F.desc("recommend_score"), F.asc("station_id")], n).select(
         "vehicle_id", "station_id", "recommend_score", "rank_no"
     )

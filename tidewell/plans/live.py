@@ -70,17 +70,17 @@ WINDOWED_NAMES = {
 }
 
 
-def account_risk_features_windowed(accounts, messages, reports, punishments, payments, as_of: Column) -> DataFrame:
+def account_risk_features_windowed(accounts, messages, reports, punishments, payments, as_of: Column, registered: str = "7 DAY") -> DataFrame:
     """The last day of messages, week of reports and registrations, month of punishments."""
-    wide = account_risk_features(accounts, messages, reports, punishments, payments, as_of, "24 HOUR", "7 DAY", "30 DAY", "7 DAY")
+    wide = account_risk_features(accounts, messages, reports, punishments, payments, as_of, "24 HOUR", "7 DAY", "30 DAY", registered)
     return wide.withColumnsRenamed(WINDOWED_NAMES)
 
 
 def user_facts(reports: DataFrame, punishments: DataFrame) -> DataFrame:
-    """Distinct reports and punishments per user; users without either are absent."""
+    """Distinct reports and punishments per user; users without either are absent, and so are facts without a user."""
     r = distinct_per_user(reports, "target_id", "report_id", "report_cnt")
     p = distinct_per_user(punishments, "user_id", "punish_id", "punish_cnt")
-    return r.join(p, "user_id", "full_outer").na.fill(0)
+    return r.join(p, "user_id", "full_outer").where("user_id IS NOT NULL").na.fill(0, ["report_cnt", "punish_cnt"])
 
 
 def room_risk_features(rooms: DataFrame, messages: DataFrame, reports: DataFrame, punishments: DataFrame) -> DataFrame:
@@ -315,7 +315,3 @@ def bad_case_summary(ranked: DataFrame) -> DataFrame:
         F.lit("multi-account cluster needs tighter gating").alias("suspected_root_cause"),
         F.lit("tighten new-account messaging limits for this cluster").alias("next_action"),
     )
-
-
-def split_by_level(events: DataFrame) -> dict[str, DataFrame]:
-    return {level: events.where(F.col("risk_level") == level) for level in ("high", "medium", "low")}

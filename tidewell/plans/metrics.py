@@ -121,9 +121,10 @@ def cohort_risk_rate(accounts: DataFrame, punished: DataFrame, period: Column, *
 def outliers(df: DataFrame, value: str, z_limit: float = 3.0, whisker: float = 1.5) -> DataFrame:
     """z-score and inter-quartile flags against the whole column; quartiles are exact."""
     quartiles = exact_quantiles(df, value, {"q1": 0.25, "q3": 0.75})
-    low = scalar(quartiles, F.max(F.col("q1") - (F.col("q3") - F.col("q1")) * whisker))
-    high = scalar(quartiles, F.max(F.col("q3") + (F.col("q3") - F.col("q1")) * whisker))
-    mean, spread = scalar(df, F.avg(value)), scalar(df, F.stddev_samp(value))
+    reach = (F.col("q3") - F.col("q1")) * whisker
+    fence = scalar(quartiles, F.struct(F.max(F.col("q1") - reach).alias("low"), F.max(F.col("q3") + reach).alias("high")))
+    moments = scalar(df, F.struct(F.avg(value).alias("mean"), F.stddev_samp(value).alias("spread")))
+    low, high, mean, spread = fence["low"], fence["high"], moments["mean"], moments["spread"]
     v = F.col(value)
     return df.withColumns(
         {

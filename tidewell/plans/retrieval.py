@@ -142,17 +142,18 @@ def render_context(cited: DataFrame) -> DataFrame:
     return blocks.groupBy("query_id").agg(F.array_join(F.transform(ordered, lambda b: b["block"]), "\n\n").alias("context"))
 
 
-# Where each policy fact stands in a text. The first capturing group is the value.
-POLICY_FACTS: dict[str, tuple[str, ...]] = {
-    "annual_days": (r"(?i)(\d+)\s*days\s+annual\s+leave", r"(?i)annual\s+leave[^\d]*(\d+)\s*days"),
-    "carry_days": (r"(?i)carried\s+forward[^\d]*(\d+)\s*days",),
-    "work_start": (r"(?i)Monday\s+to\s+Friday[^\d]*(\d{2}:\d{2})\s*to\s*\d{2}:\d{2}",),
-    "work_end": (r"(?i)Monday\s+to\s+Friday[^\d]*\d{2}:\d{2}\s*to\s*(\d{2}:\d{2})",),
-    "head_approval_cny": (r"(?i)above\s*([\d,]+)\s*cny\s*require\s*department\s+head\s+approval",),
-    "quotation_cny": (r"(?i)at\s+least\s+three\s+vendor\s+quotations\s+are\s+required\s+for\s+purchases\s+above\s*([\d,]+)\s*cny",),
-    "legal_review_cny": (r"(?i)legal\s+review\s+is\s+mandatory\s+for\s+all\s+contracts\s+above\s*([\d,]+)\s*cny",),
-    "net_days": (r"(?i)standard\s+payment\s+terms\s+are\s+net\s*(\d+)",),
-    "advance_pct": (r"(?i)advance\s+payments\s+above\s*(\d+)%\s+require\s+cfo\s+approval",),
+HOURS = r"(?i)Monday\s+to\s+Friday[^\d]*(\d{2}:\d{2})\s*to\s*(\d{2}:\d{2})"
+# Where each policy fact stands in a text, as patterns and the number of the group that holds the value.
+POLICY_FACTS: dict[str, tuple[tuple[str, int], ...]] = {
+    "annual_days": ((r"(?i)(\d+)\s*days\s+annual\s+leave", 1), (r"(?i)annual\s+leave[^\d]*(\d+)\s*days", 1)),
+    "carry_days": ((r"(?i)carried\s+forward[^\d]*(\d+)\s*days", 1),),
+    "work_start": ((HOURS, 1),),
+    "work_end": ((HOURS, 2),),
+    "head_approval_cny": ((r"(?i)above\s*([\d,]+)\s*cny\s*require\s*department\s+head\s+approval", 1),),
+    "quotation_cny": ((r"(?i)at\s+least\s+three\s+vendor\s+quotations\s+are\s+required\s+for\s+purchases\s+above\s*([\d,]+)\s*cny", 1),),
+    "legal_review_cny": ((r"(?i)legal\s+review\s+is\s+mandatory\s+for\s+all\s+contracts\s+above\s*([\d,]+)\s*cny", 1),),
+    "net_days": ((r"(?i)standard\s+payment\s+terms\s+are\s+net\s*(\d+)", 1),),
+    "advance_pct": ((r"(?i)advance\s+payments\s+above\s*(\d+)%\s+require\s+cfo\s+approval", 1),),
 }
 
 
@@ -160,31 +161,10 @@ def policy_facts(text: str = "text") -> dict[str, Column]:
     """First match of each fact in the whole text, NULL without one."""
     found = {}
     for name, patterns in POLICY_FACTS.items():
-        found[name] = F.coalesce(*[F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in patterns])
+        found[name] = F.coalesce(*[F.nullif(F.regexp_extract(text, p, group), F.lit("")) for p, group in patterns])
     return found
 
 
-def policy_answers(facts: DataFrame) -> DataFrame:
-    """Fixed sentences from the facts, NULL where a fact is missing: leave, hours and procurement."""
-    c = F.col
-    leave = F.concat(F.lit("根据制度文档，员工每年享有"), c("annual_days"), F.lit("天年假"))
-    carry = F.concat(F.lit("，未使用年假最多可结转"), c("carry_days"), F.lit("天至下一年"))
-    hours = F.concat(F.lit("根据员工手册，标准工作时间为周一至周五"), c("work_start"), F.lit("到"), c("work_end"), F.lit("，午休1小时。"))
-    parts = F.array_compact(
-        F.array(
-            F.concat(F.lit("采购申请需提交业务说明，超过"), c("head_approval_cny"), F.lit(" CNY需部门负责人审批")),
-            F.concat(F.lit("超过"), c("quotation_cny"), F.lit(" CNY的采购至少需要三家供应商报价")),
-            F.concat(F.lit("超过"), c("legal_review_cny"), F.lit(" CNY的合同必须进行法务审查")),
-            F.concat(F.lit("标准付款账期为Net "), c("net_days")),
-            F.concat(F.lit("预付款超过"), c("advance_pct"), F.lit("%需CFO批准")),
-        )
-    )
-    buying = F.when(F.size(parts) > 0, F.concat(F.lit("根据当前采购制度，"), F.array_join(parts, "；"), F.lit("。")))
-    return facts.withColumns(
-        {"leave_answer": F.concat(leave, F.coalesce(carry, F.lit("")), F.lit("。")), "hours_answer": hours, "procurement_answer": buying}
-    )
-
-
 def qa_audit_metrics(audit: DataFrame) -> DataFrame:
     exact = F.sum(F.col("confidence").cast("decimal(18,6)")).cast("double")
     return audit.agg(

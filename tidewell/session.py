@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 def build_session(app_name: str = "tidewell", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators are tuned for; any of them can be overridden by keyword.
 
-    Shuffle partitions start from the cluster's parallelism and are coalesced by adaptive execution, so the
+    Shuffle partitions start from three times the cluster's parallelism and are coalesced by adaptive execution, so the
     same code runs on a laptop and on a thousand executors. Skewed join partitions are split at run time.
     """
     builder = SparkSession.builder.appName(app_name)
@@ -30,7 +30,10 @@ def build_session(app_name: str = "tidewell", master: str | None = None, **conf:
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if "spark.sql.shuffle.partitions" not in settings:
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(200, 3 * spark.sparkContext.defaultParallelism)))
+    return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -64,13 +67,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a small input that arrives in few splits; large inputs are left as they are.
-
-    Only for row-wise heavy work, such as text cleaning. Nothing moves once the input has at least as many
-    splits as there are cores.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

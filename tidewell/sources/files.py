@@ -18,7 +18,7 @@ def read_csv_table(spark: SparkSession, path: str, schema: str | T.StructType, d
     The header decides the column order, columns of the file that the schema does not name are ignored, and a
     named column that is missing fails before any job starts.
     """
-    wanted = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     header = spark.read.option("header", True).csv(path)
     require_columns(header, list(required) or wanted.fieldNames())
     present = T.StructType([wanted[c] if c in wanted.fieldNames() else T.StructField(c, T.StringType()) for c in header.columns])

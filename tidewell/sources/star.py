@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.exprs import safe_ratio
-from tidewell.session import spread
 
 
 def _k() -> Column:
@@ -32,8 +31,12 @@ class Star:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
     def texts(self, name: str) -> DataFrame:
-        """A table whose rows carry long texts, spread over the cores when it is a small file."""
-        return spread(self.table(name))
+        """A table whose rows carry long texts, dealt over as many tasks as `spark.tidewell.text.partitions` says, if set.
+
+        For inputs of few large files; the data is not looked at, and without the setting nothing moves.
+        """
+        wanted = self.spark.conf.get("spark.tidewell.text.partitions", None)
+        return self.table(name).repartition(int(wanted)) if wanted else self.table(name)
 
     # --- game -------------------------------------------------------------------------------------------
 

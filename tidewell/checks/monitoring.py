@@ -26,12 +26,12 @@ def rows(name: str, table: str) -> str:
 
 TOP3 = "(SELECT vehicle_id, ROW_NUMBER() OVER (PARTITION BY vehicle_id ORDER BY recommend_score DESC, station_id) AS r FROM pair_wide_layer)"
 CARD = f"""
-SELECT 'charge_reco_topn each vehicle has 3 rows' AS check_item, CASE WHEN MIN(cnt) = 3 AND MAX(cnt) = 3 THEN 'PASS' ELSE 'WARN' END AS check_result,
+SELECT 'serving.charge_reco_topn each vehicle has 3 rows' AS check_item, CASE WHEN MIN(cnt) = 3 AND MAX(cnt) = 3 THEN 'PASS' ELSE 'WARN' END AS check_result,
        'min=' || MIN(cnt) || ', max=' || MAX(cnt) AS detail FROM (SELECT vehicle_id, COUNT(*) AS cnt FROM {TOP3} WHERE r <= 3 GROUP BY 1)
 """
 cte("charge_quality_layer", " UNION ALL ".join([
-    rows("fact_charge_order row_count > 0", "charge_fact_layer"),
-    bad("fact_charge_order key not null", "order_id IS NULL OR vehicle_id IS NULL OR station_id IS NULL", "charge_fact_layer"),
+    rows("dwd.fact_charge_order row_count > 0", "charge_fact_layer"),
+    bad("dwd.fact_charge_order key not null", "order_id IS NULL OR vehicle_id IS NULL OR station_id IS NULL", "charge_fact_layer"),
     CARD,
 ]))
 
@@ -39,8 +39,8 @@ cte("charge_quality_layer", " UNION ALL ".join([
 def charge_quality(s: Star):
     c = charging_checks.Charging(s)
     return dq.report(
-        dq.run_checks(c.facts, dq.row_count("fact_charge_order row_count > 0"), dq.not_null("fact_charge_order key not null", "order_id", "vehicle_id", "station_id")),
-        dq.group_cardinality("charge_reco_topn each vehicle has 3 rows", charging.reco_topn(c.candidates()), "vehicle_id", 3),
+        dq.run_checks(c.facts, dq.row_count("dwd.fact_charge_order row_count > 0"), dq.not_null("dwd.fact_charge_order key not null", "order_id", "vehicle_id", "station_id")),
+        dq.group_cardinality("serving.charge_reco_topn each vehicle has 3 rows", charging.reco_topn(c.candidates()), "vehicle_id", 3),
     )
 
 
@@ -81,7 +81,7 @@ def _(s: Star):
 
 @query("dq_group_cardinality", sql(CARD))
 def _(s: Star):
-    return dq.group_cardinality("charge_reco_topn each vehicle has 3 rows", charging.reco_topn(charging_checks.Charging(s).candidates()), "vehicle_id", 3)
+    return dq.group_cardinality("serving.charge_reco_topn each vehicle has 3 rows", charging.reco_topn(charging_checks.Charging(s).candidates()), "vehicle_id", 3)
 
 
 def with_severity(text: str, severity: str) -> str:

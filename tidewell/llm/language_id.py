@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.llm.common import join_small, materialize
+
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 #: Words kept with their phrase counts in each worker; the store is emptied when it is full.
@@ -143,7 +145,7 @@ def training_samples(labelled: DataFrame, key: str, text: str, lang: str, sample
     rows = usable.select(F.col(lang).alias("lang"), piece.alias("piece"), F.xxhash64(F.col(key), piece).alias("h"))
     sizes = rows.groupBy("lang").agg(F.sum(F.length("piece")).alias("chars"), F.count("*").alias("n"))
     share = sizes.select("lang", F.least(F.lit(1.0), (F.lit(4.0 * sample_chars) + 16 * doc_chars) / F.col("chars")).alias("share"))
-    picked = rows.join(share, "lang").where((F.pmod("h", F.lit(1 << 30)) / float(1 << 30)) < F.col("share"))
+    picked = join_small(rows, materialize(share, "language-shares"), "lang").where((F.pmod("h", F.lit(1 << 30)) / float(1 << 30)) < F.col("share"))
     by_lang: dict[str, list] = {}
     order = Window.partitionBy("lang").orderBy("h", "piece").rowsBetween(Window.unboundedPreceding, -1)
     bounded = picked.withColumn("before", F.coalesce(F.sum(F.length("piece")).over(order), F.lit(0))).where(F.col("before") < sample_chars)

@@ -1,4 +1,4 @@
-"""The small published input tables of three domains, and the results expected from them."""
+"""The small published input tables of five domains, and the results expected from them."""
 
 INPUTS = {
     "account": """
@@ -212,6 +212,104 @@ O005,U009,U009,299.00,2026-06-21 10:00:00,PS900,1
 O006,U010,U009,399.00,2026-06-21 10:05:00,PS900,1
 O007,U011,U009,499.00,2026-06-21 10:10:00,PS900,1
 O008,U012,U012,9.90,2026-06-21 10:20:00,PS012,0
+""",
+    "comp_daily": """
+dt,patch_version,region,rank_tier,mode,comp_id,comp_name,tier,play_cnt,top4_cnt,win_cnt,avg_rank
+2026-06-18,S11.3,CN,Master+,ranked,COMP_NOVA_95,新星95,S,4200,2380,650,3.95
+2026-06-18,S11.3,CN,Master+,ranked,COMP_AP_95,AP95,S,3900,2180,590,4.08
+2026-06-18,S11.3,CN,Master+,ranked,COMP_XAYAH,霞,A,3500,1920,480,4.22
+2026-06-18,S11.3,CN,Master+,ranked,COMP_MECHA,霸天机甲,A,3100,1680,430,4.34
+2026-06-18,S11.3,CN,Master+,ranked,COMP_SAMIRA,莎弥拉,B,2700,1410,330,4.55
+2026-06-18,S11.3,CN,Master+,ranked,COMP_DARKSTAR,暗星,B,2200,1120,260,4.69
+2026-06-19,S11.3,CN,Master+,ranked,COMP_NOVA_95,新星95,S,4400,2470,690,3.91
+2026-06-19,S11.3,CN,Master+,ranked,COMP_AP_95,AP95,S,4100,2310,625,4.02
+2026-06-19,S11.3,CN,Master+,ranked,COMP_XAYAH,霞,A,3600,1990,510,4.18
+2026-06-19,S11.3,CN,Master+,ranked,COMP_MECHA,霸天机甲,A,3150,1700,440,4.32
+2026-06-19,S11.3,CN,Master+,ranked,COMP_SAMIRA,莎弥拉,B,2800,1450,345,4.51
+2026-06-19,S11.3,CN,Master+,ranked,COMP_DARKSTAR,暗星,B,2300,1180,270,4.65
+2026-06-20,S11.3,CN,Master+,ranked,COMP_NOVA_95,新星95,S,4600,2600,720,3.86
+2026-06-20,S11.3,CN,Master+,ranked,COMP_AP_95,AP95,S,4300,2390,655,3.98
+2026-06-20,S11.3,CN,Master+,ranked,COMP_XAYAH,霞,A,3700,2020,520,4.17
+2026-06-20,S11.3,CN,Master+,ranked,COMP_MECHA,霸天机甲,A,3300,1790,465,4.27
+2026-06-20,S11.3,CN,Master+,ranked,COMP_SAMIRA,莎弥拉,B,2900,1510,360,4.48
+2026-06-20,S11.3,CN,Master+,ranked,COMP_DARKSTAR,暗星,B,2400,1240,290,4.58
+2026-06-22,S11.4,CN,Master+,ranked,COMP_NOVA_95,新星95,S,3900,2130,520,4.21
+2026-06-22,S11.4,CN,Master+,ranked,COMP_AP_95,AP95,S,4700,2710,760,3.82
+2026-06-22,S11.4,CN,Master+,ranked,COMP_XAYAH,霞,S,4300,2530,690,3.88
+2026-06-22,S11.4,CN,Master+,ranked,COMP_MECHA,霸天机甲,A,3600,1990,520,4.15
+2026-06-22,S11.4,CN,Master+,ranked,COMP_SAMIRA,莎弥拉,A,3200,1840,490,4.05
+2026-06-22,S11.4,CN,Master+,ranked,COMP_DARKSTAR,暗星,B,2100,1060,235,4.74
+2026-06-23,S11.4,CN,Master+,ranked,COMP_NOVA_95,新星95,S,3700,2020,500,4.25
+2026-06-23,S11.4,CN,Master+,ranked,COMP_AP_95,AP95,S,5000,2910,830,3.75
+2026-06-23,S11.4,CN,Master+,ranked,COMP_XAYAH,霞,S,4500,2660,735,3.81
+2026-06-23,S11.4,CN,Master+,ranked,COMP_MECHA,霸天机甲,A,3800,2130,560,4.08
+2026-06-23,S11.4,CN,Master+,ranked,COMP_SAMIRA,莎弥拉,A,3400,1980,535,3.98
+2026-06-23,S11.4,CN,Master+,ranked,COMP_DARKSTAR,暗星,B,2000,990,220,4.86
+2026-06-24,S11.4,CN,Master+,ranked,COMP_NOVA_95,新星95,A,3500,1880,470,4.36
+2026-06-24,S11.4,CN,Master+,ranked,COMP_AP_95,AP95,S,5200,3060,890,3.69
+2026-06-24,S11.4,CN,Master+,ranked,COMP_XAYAH,霞,S,4700,2790,780,3.76
+2026-06-24,S11.4,CN,Master+,ranked,COMP_MECHA,霸天机甲,A,3900,2190,585,4.04
+2026-06-24,S11.4,CN,Master+,ranked,COMP_SAMIRA,莎弥拉,A,3600,2110,580,3.91
+2026-06-24,S11.4,CN,Master+,ranked,COMP_DARKSTAR,暗星,C,1900,900,195,5.02
+""",
+    "migration": """
+before_comp_id,before_comp_name,after_comp_id,after_comp_name,player_cnt
+COMP_NOVA_95,新星95,COMP_AP_95,AP95,860
+COMP_NOVA_95,新星95,COMP_XAYAH,霞,620
+COMP_NOVA_95,新星95,COMP_NOVA_95,新星95,510
+COMP_DARKSTAR,暗星,COMP_SAMIRA,莎弥拉,390
+COMP_DARKSTAR,暗星,COMP_MECHA,霸天机甲,310
+COMP_MECHA,霸天机甲,COMP_MECHA,霸天机甲,520
+COMP_XAYAH,霞,COMP_XAYAH,霞,780
+COMP_AP_95,AP95,COMP_AP_95,AP95,910
+COMP_SAMIRA,莎弥拉,COMP_SAMIRA,莎弥拉,460
+COMP_SAMIRA,莎弥拉,COMP_XAYAH,霞,280
+""",
+    "unit_item": """
+patch_version,unit_id,unit_name,cost,item_combo,appear_cnt,top4_rate,win_rate,avg_rank
+S11.4,U_AP_CARRY,法系主C,4,蓝霸符+法爆+科技枪,4200,0.612,0.174,3.71
+S11.4,U_XAYAH,霞,4,羊刀+无尽+轻语,3900,0.594,0.166,3.83
+S11.4,U_MECHA_TANK,机甲前排,4,狂徒+反甲+龙牙,3500,0.561,0.148,4.06
+S11.4,U_SAMIRA,莎弥拉,3,无尽+正义+巨杀,3100,0.586,0.161,3.94
+S11.4,U_NOVA_5C,新星五费,5,青龙刀+帽子+大天使,2800,0.537,0.134,4.28
+S11.4,U_DARKSTAR,暗星核心,4,饮血+泰坦+夜刃,1800,0.474,0.103,5.08
+""",
+    "order_raw": """
+order_id,order_date,shop,province,amount,freight,status
+YW20250101001,2025/1/1,淘宝店A,浙江,"¥1,200",¥10,已付款
+YW20250101002,2025-01-01,拼多多店B,浙冮,¥350.5,¥8,已付款
+YW20250101003,20250102,抖音店C,广东,¥89,¥6,已退款
+YW20250101004,2025/1/2,淘宝店A,廣东,"¥2,000",¥15,已付款
+YW20250101005,2025-01-02,拼多多店B,江苏,¥580,¥12,已取消
+YW20250101006,20250103,抖音店C,浙江,¥260,¥8,已付款
+YW20250101007,2025/1/3,淘宝店A,上海,¥180,¥6,已付款
+YW20250101008,2025-01-03,拼多多店B,浙江,¥420,¥10,已付款
+YW20250101008,2025-01-03,拼多多店B,浙江,¥420,¥10,已付款
+YW20250101009,20250104,抖音店C,广东,¥150,¥6,已付款
+YW20250101010,2025/1/4,淘宝店A,浙冮,¥980,¥20,已付款
+,,,,,,
+YW20250101011,2025-01-05,拼多多店B,浙江 , ¥75 , ¥5 ,已退款
+YW20250101012,20250105,抖音店C,廣东,¥310,¥8,已付款
+""",
+    "pay_raw": """
+order_id,pay_date,received,fee,channel
+YW20250101001,2025-01-01,"¥1,190",¥20,支付宝
+YW20250101002,2025/1/1,¥340.5,¥18,微信
+YW20250101003,20250102,¥95,¥3,支付宝
+YW20250101004,2025-01-02,"¥1,990",¥25,银行卡
+YW20250101006,2025-01-03,¥250,¥18,微信
+YW20250101007,2025-01-03,¥180,¥6,支付宝
+YW20250101008,2025-01-03,¥415,¥15,微信
+YW20250101009,2025-01-04,¥148,¥8,支付宝
+YW20250101010,2025-01-04,¥950,¥30,银行卡
+YW20250101011,2025-01-05,¥80,¥2,支付宝
+YW20250101012,2025-01-05,¥315,¥3,微信
+""",
+    "refund_raw": """
+order_id,refund_date,refund
+YW20250101003,2025-01-03,¥50
+YW20250101011,2025-01-06,¥75
+YW20250101005,2025-01-03,¥0
 """,
 }
 
@@ -315,5 +413,82 @@ C002,U004,medium,36.88,violation,not_appealed,single_case_review,1,2,1,129.0
 C001,U002,medium,35.62,violation,not_appealed,single_case_review,1,2,1,99.0
 C007,U005,low,15.62,suspicious,overturned,possible_false_positive,1,0,1,199.0
 C008,U001,low,8.12,normal,not_appealed,single_case_review,0,0,1,19.9
+""",
+    "patch_delta": """
+comp_id,comp_name,play_cnt_before,top4_cnt_before,win_cnt_before,avg_rank_before,top4_rate_before,win_rate_before,play_cnt_after,top4_cnt_after,win_cnt_after,avg_rank_after,top4_rate_after,win_rate_after,play_delta,top4_delta,win_delta,avg_rank_delta,patch_reading
+COMP_SAMIRA,莎弥拉,8400,4370,1035,4.513333333333333,0.5202380952380953,0.12321428571428572,10200,5930,1605,3.98,0.5813725490196079,0.15735294117647058,1800,0.06113445378151261,0.034138655462184864,-0.5333333333333328,meta_rising
+COMP_XAYAH,霞,10800,5930,1510,4.19,0.549074074074074,0.1398148148148148,13500,7980,2205,3.8166666666666664,0.5911111111111111,0.16333333333333333,2700,0.042037037037037095,0.023518518518518522,-0.37333333333333396,buff_effective
+COMP_AP_95,AP95,12300,6880,1870,4.026666666666666,0.5593495934959349,0.15203252032520326,14900,8680,2480,3.7533333333333334,0.5825503355704698,0.16644295302013423,2600,0.02320074207453482,0.014410432694930975,-0.273333333333333,watch
+COMP_MECHA,霸天机甲,9550,5170,1335,4.31,0.5413612565445026,0.13979057591623037,11300,6310,1665,4.09,0.5584070796460177,0.14734513274336283,1750,0.017045823101515034,0.007554556827132464,-0.21999999999999975,watch
+COMP_NOVA_95,新星95,13200,7450,2060,3.9066666666666667,0.5643939393939394,0.15606060606060607,11100,6030,1490,4.273333333333333,0.5432432432432432,0.13423423423423422,-2100,-0.021150696150696202,-0.021826371826371843,0.3666666666666667,watch
+COMP_DARKSTAR,暗星,6900,3540,820,4.640000000000001,0.5130434782608696,0.11884057971014493,6000,2950,650,4.873333333333334,0.49166666666666664,0.10833333333333334,-900,-0.02137681159420296,-0.010507246376811594,0.2333333333333334,watch
+""",
+    "comp_meta": """
+dt,patch_version,region,rank_tier,comp_id,comp_name,tier,play_cnt,pick_rate,top4_rate,win_rate,top4_share,win_share,avg_rank,meta_flag
+2026-06-24,S11.4,CN,Master+,COMP_AP_95,AP95,S,5200,0.22807017543859648,0.5884615384615385,0.17115384615384616,0.23665893271461716,0.2542857142857143,3.69,overpowered
+2026-06-24,S11.4,CN,Master+,COMP_XAYAH,霞,S,4700,0.20614035087719298,0.5936170212765958,0.16595744680851063,0.21577726218097448,0.22285714285714286,3.76,overpowered
+2026-06-24,S11.4,CN,Master+,COMP_MECHA,霸天机甲,A,3900,0.17105263157894737,0.5615384615384615,0.15,0.16937354988399073,0.16714285714285715,4.04,normal
+2026-06-24,S11.4,CN,Master+,COMP_SAMIRA,莎弥拉,A,3600,0.15789473684210525,0.5861111111111111,0.16111111111111112,0.16318638824439288,0.1657142857142857,3.91,normal
+2026-06-24,S11.4,CN,Master+,COMP_NOVA_95,新星95,A,3500,0.15350877192982457,0.5371428571428571,0.13428571428571429,0.1453982985305491,0.13428571428571429,4.36,normal
+2026-06-24,S11.4,CN,Master+,COMP_DARKSTAR,暗星,C,1900,0.08333333333333333,0.47368421052631576,0.10263157894736842,0.06960556844547564,0.055714285714285716,5.02,normal
+""",
+    "migration_share": """
+before_comp_id,before_comp_name,after_comp_id,after_comp_name,player_cnt,migration_share
+COMP_AP_95,AP95,COMP_AP_95,AP95,910,0.16134751773049646
+COMP_NOVA_95,新星95,COMP_AP_95,AP95,860,0.1524822695035461
+COMP_XAYAH,霞,COMP_XAYAH,霞,780,0.13829787234042554
+COMP_NOVA_95,新星95,COMP_XAYAH,霞,620,0.1099290780141844
+COMP_MECHA,霸天机甲,COMP_MECHA,霸天机甲,520,0.09219858156028368
+COMP_NOVA_95,新星95,COMP_NOVA_95,新星95,510,0.09042553191489362
+COMP_SAMIRA,莎弥拉,COMP_SAMIRA,莎弥拉,460,0.08156028368794327
+COMP_DARKSTAR,暗星,COMP_SAMIRA,莎弥拉,390,0.06914893617021277
+COMP_DARKSTAR,暗星,COMP_MECHA,霸天机甲,310,0.0549645390070922
+COMP_SAMIRA,莎弥拉,COMP_XAYAH,霞,280,0.04964539007092199
+""",
+    "unit_item_risk": """
+patch_version,unit_id,unit_name,cost,item_combo,appear_cnt,top4_rate,win_rate,avg_rank,balance_flag
+S11.4,U_AP_CARRY,法系主C,4,蓝霸符+法爆+科技枪,4200,0.612,0.174,3.71,overpowered_item_binding
+S11.4,U_XAYAH,霞,4,羊刀+无尽+轻语,3900,0.594,0.166,3.83,overpowered_item_binding
+S11.4,U_SAMIRA,莎弥拉,3,无尽+正义+巨杀,3100,0.586,0.161,3.94,normal
+S11.4,U_MECHA_TANK,机甲前排,4,狂徒+反甲+龙牙,3500,0.561,0.148,4.06,normal
+S11.4,U_NOVA_5C,新星五费,5,青龙刀+帽子+大天使,2800,0.537,0.134,4.28,normal
+S11.4,U_DARKSTAR,暗星核心,4,饮血+泰坦+夜刃,1800,0.474,0.103,5.08,underpowered_core
+""",
+    "clean_orders": """
+order_id,order_date,shop,province,amount,freight,status,received,fee,channel,refund,receivable,difference,reason
+YW20250101001,2025-01-01,淘宝店A,浙江,1200.0,10.0,已付款,1190.0,20.0,支付宝,0.0,1190.0,0.0,正常
+YW20250101002,2025-01-01,拼多多店B,浙江,350.5,8.0,已付款,340.5,18.0,微信,0.0,340.5,0.0,正常
+YW20250101003,2025-01-02,抖音店C,广东,89.0,6.0,已退款,95.0,3.0,支付宝,50.0,42.0,-53.0,金额不一致
+YW20250101004,2025-01-02,淘宝店A,广东,2000.0,15.0,已付款,1990.0,25.0,银行卡,0.0,1990.0,0.0,正常
+YW20250101005,2025-01-02,拼多多店B,江苏,580.0,12.0,已取消,0.0,0.0,,0.0,592.0,592.0,金额不一致
+YW20250101006,2025-01-03,抖音店C,浙江,260.0,8.0,已付款,250.0,18.0,微信,0.0,250.0,0.0,正常
+YW20250101007,2025-01-03,淘宝店A,上海,180.0,6.0,已付款,180.0,6.0,支付宝,0.0,180.0,0.0,正常
+YW20250101008,2025-01-03,拼多多店B,浙江,420.0,10.0,已付款,415.0,15.0,微信,0.0,415.0,0.0,正常
+YW20250101009,2025-01-04,抖音店C,广东,150.0,6.0,已付款,148.0,8.0,支付宝,0.0,148.0,0.0,正常
+YW20250101010,2025-01-04,淘宝店A,浙江,980.0,20.0,已付款,950.0,30.0,银行卡,0.0,970.0,20.0,金额不一致
+YW20250101011,2025-01-05,拼多多店B,浙江,75.0,5.0,已退款,80.0,2.0,支付宝,75.0,3.0,-77.0,金额不一致
+YW20250101012,2025-01-05,抖音店C,广东,310.0,8.0,已付款,315.0,3.0,微信,0.0,315.0,0.0,正常
+""",
+    "daily_finance": """
+order_date,shop,gmv,order_cnt,refund,fee,received,net_income
+2025-01-01,淘宝店A,1200.0,1,0.0,20.0,1190.0,1170.0
+2025-01-01,拼多多店B,350.5,1,0.0,18.0,340.5,322.5
+2025-01-02,抖音店C,89.0,1,50.0,3.0,95.0,42.0
+2025-01-02,淘宝店A,2000.0,1,0.0,25.0,1990.0,1965.0
+2025-01-02,拼多多店B,580.0,1,0.0,0.0,0.0,0.0
+2025-01-03,抖音店C,260.0,1,0.0,18.0,250.0,232.0
+2025-01-03,淘宝店A,180.0,1,0.0,6.0,180.0,174.0
+2025-01-03,拼多多店B,420.0,1,0.0,15.0,415.0,400.0
+2025-01-04,抖音店C,150.0,1,0.0,8.0,148.0,140.0
+2025-01-04,淘宝店A,980.0,1,0.0,30.0,950.0,920.0
+2025-01-05,拼多多店B,75.0,1,75.0,2.0,80.0,3.0
+2025-01-05,抖音店C,310.0,1,0.0,3.0,315.0,312.0
+""",
+    "alerts": """
+order_id,order_date,shop,province,amount,freight,status,received,fee,channel,refund,receivable,difference,reason
+YW20250101003,2025-01-02,抖音店C,广东,89.0,6.0,已退款,95.0,3.0,支付宝,50.0,42.0,-53.0,金额不一致
+YW20250101005,2025-01-02,拼多多店B,江苏,580.0,12.0,已取消,0.0,0.0,,0.0,592.0,592.0,金额不一致
+YW20250101010,2025-01-04,淘宝店A,浙江,980.0,20.0,已付款,950.0,30.0,银行卡,0.0,970.0,20.0,金额不一致
+YW20250101011,2025-01-05,拼多多店B,浙江,75.0,5.0,已退款,80.0,2.0,支付宝,75.0,3.0,-77.0,金额不一致
 """,
 }

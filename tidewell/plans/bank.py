@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.exprs import any_of, capped, hour_start, label, money_avg, money_sum, round_n, safe_ratio
 from tidewell.operators.ranking import latest_per_key, mode_per_key
 from tidewell.operators.relational import scalar, since
+from tidewell.session import materialize
 
 
 def with_customer(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -162,19 +163,25 @@ class AbnormalRule:
 def abnormal_transactions(transactions: DataFrame, accounts: DataFrame, rule: AbnormalRule = AbnormalRule(), credit: DataFrame | None = None) -> DataFrame:
     """Transactions far above the customer's habit, with reason and severity.
 
-    The customer's baseline and usual channel are attached to the small (customer, hour) count table; the
-    facts are then joined once, on (customer, hour), which also spreads a dominant customer over its hours.
+    One reduction of the facts to (customer, hour, channel), written once, gives the mean amount, the usual channel and
+    the hourly count; the facts are then joined once, on (customer, hour), which also spreads a dominant customer over its hours.
     With `rule.stack_utilization` set and credit given, large transactions of customers above that credit
     utilisation are reported as `risk_stack`.
     """
     no_time = F.lit("1900-01-01").cast("timestamp_ntz")  # transactions without a time share one group, as in a window
+    recent = F.col("txn_time") >= scalar(transactions, F.max("txn_time")) - F.make_dt_interval(F.lit(30))
     facts = with_customer(transactions, accounts).withColumn("txn_hour", F.coalesce(hour_start("txn_time"), no_time))
-    habits = transaction_baseline(transactions, accounts).select("customer_id", "avg_amount_30d").join(
-        most_used_channel(transactions, accounts).select("customer_id", "most_used_channel"), "customer_id", "full_outer"
+    reduced = facts.groupBy("customer_id", "txn_hour", "channel").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(recent, F.col("amount").cast("decimal(18,2)"))).alias("amount"), F.count(F.when(recent, F.col("amount"))).alias("n_amount")
     )
+    reduced = materialize(reduced, "hourly-habits")
+    means = reduced.groupBy("customer_id").agg(round_n(F.try_divide(F.sum("amount").cast("double"), F.sum("n_amount").cast("double")), 2).alias("avg_amount_30d"))
+    channels = reduced.groupBy("customer_id", "channel").agg(F.sum("n").alias("n"))
+    usual_channels = channels.groupBy("customer_id").agg(F.min(F.struct((-F.col("n")).alias("less"), "channel"))["channel"].alias("most_used_channel"))
+    habits = means.join(usual_channels, "customer_id", "left")
     if rule.stack_utilization is not None and credit is not None:
         habits = habits.join(latest_credit(credit).select("customer_id", "utilization_rate"), "customer_id", "left")
-    hourly = facts.groupBy("customer_id", "txn_hour").agg(F.count(F.lit(1)).alias("hourly_txn_cnt")).join(habits, "customer_id", "left")
+    hourly = reduced.groupBy("customer_id", "txn_hour").agg(F.sum("n").alias("hourly_txn_cnt")).join(habits, "customer_id", "left")
     t = facts.join(hourly, ["customer_id", "txn_hour"])
 
     amount, hits = F.col("amount"), F.col("hourly_txn_cnt")

@@ -19,5 +19,5 @@ def test_matches_sql(spark, small, con, name):
 
 
 def test_only_known_queries_lack_sql():
-    # Sequential splitting, banded similarity and back-references cannot be written in the check engine.
-    assert set(QUERIES) - set(ORACLES) == {"chunk_documents", "template_similarity", "answer_normalize", "answer_quality_flag"}
+    # Sequential splitting and the replacement of back-references cannot be written in the check engine.
+    assert set(QUERIES) - set(ORACLES) == {"chunk_documents", "answer_normalize"}

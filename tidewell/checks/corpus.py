@@ -355,7 +355,20 @@ def _(s: Star):
     return s.qa_audit().select("request_id", tx.fit_answer("answer").alias("answer"))
 
 
-@query("answer_quality_flag")
+# Repetition without back-references: a piece equals what follows it, looked for at every place and length.
+AGAIN = "len(list_filter(range(1, length(compact)::BIGINT + 1), lambda i: len(list_filter(range(4, 13), lambda n: i + 2 * n - 1 <= length(compact) AND substr(compact, i, n) = substr(compact, i + n, n))) > 0)) > 0"
+DAYS = (
+    f"len(list_filter(range(1, length(a)::BIGINT + 1), lambda i: len(list_filter(range(2, 13), lambda n: regexp_full_match(substr(a, i, n), '[0-9]+[{WS}]*天')"
+    " AND len(list_filter(range(0, 7), lambda g: substr(a, i + n + g, n) = substr(a, i, n))) > 0)) > 0)) > 0"
+)
+
+
+@query("answer_quality_flag", sql(f"""
+SELECT request_id, a = '' OR (regexp_matches('问题 ' || question, '[{tx.HAN}]') AND (
+       compact = '' OR length(regexp_replace(compact, '[^A-Za-z]', '', 'g')) > 0.30::DOUBLE * length(compact) OR (contains(a, '天') AND {DAYS}) OR regexp_matches(a, '[0-9]{{3}}')
+       OR contains(a, '助手') OR contains(lower(a), 'assistant') OR regexp_matches(a, '[0-9][{WS}]*,[{WS}]*[0-9]') OR {AGAIN})) AS low_quality
+FROM (SELECT request_id, question, COALESCE(answer, '') AS a, {re_all("COALESCE(answer, '')", f'[{WS}]+', '')} AS compact FROM qa_audit)
+"""))
 def _(s: Star):
     return s.qa_audit().select("request_id", tx.low_quality_answer(F.concat(F.lit("问题 "), "question"), "answer").alias("low_quality"))
 

@@ -134,7 +134,19 @@ def _(s: Star):
     return graph.member_components(edges, "user_id", "k")
 
 
-@query("template_similarity")
+# All pairs of texts that share a trigram are counted; the smallest reachable text names the group.
+@query("template_similarity", r"""
+WITH RECURSIVE contents AS (SELECT lower(regexp_replace(text, '[0-9]+', '<num>', 'g')) AS content, MIN(doc_id) AS doc_id, COUNT(*) AS copies FROM documents GROUP BY 1),
+grams AS (SELECT DISTINCT doc_id, substr(padded, place, 3) AS gram
+          FROM (SELECT doc_id, rpad(content, greatest(3, length(content))::INT, ' ') AS padded, unnest(range(1, greatest(3, length(content)) - 1)) AS place FROM contents)),
+sizes AS (SELECT doc_id, COUNT(*) AS n FROM grams GROUP BY 1),
+shared AS (SELECT a.doc_id AS one, b.doc_id AS other, COUNT(*) AS n FROM grams a JOIN grams b USING (gram) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+pairs AS (SELECT one, other FROM shared s JOIN sizes x ON x.doc_id = one JOIN sizes y ON y.doc_id = other WHERE s.n * 1.8::DOUBLE >= (x.n + y.n) * 0.8::DOUBLE),
+links AS (SELECT one, other FROM pairs UNION ALL SELECT other, one FROM pairs),
+reach(doc_id, seen) AS (SELECT doc_id, doc_id FROM contents UNION SELECT r.doc_id, l.other FROM reach r JOIN links l ON l.one = r.seen),
+grouped AS (SELECT doc_id, MIN(seen) AS "group" FROM reach GROUP BY 1)
+SELECT "group", COUNT(*) AS template_cnt, SUM(copies)::BIGINT AS text_cnt FROM grouped JOIN contents USING (doc_id) GROUP BY 1
+""")
 def _(s: Star):
     texts = s.texts("documents").groupBy(live.normalized_content("text").alias("content")).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     groups = similarity.similar_groups(texts, "doc_id", "content")

@@ -180,3 +180,11 @@ def test_groups_are_searched_to_the_end(spark):
     rows = [(i, f"text number {i // 2} " + "common words that all share " * 3 + "abcdefgh"[i // 2] * 60) for i in range(16)]
     got = {r["id"]: r["group"] for r in similarity.similar_groups(spark.createDataFrame(rows, "id long, t string"), "id", "t", 0.95, bands=40, rows=1).collect()}
     assert all(got[i] == got[i + 1] for i in range(0, 16, 2)) and len(set(got.values())) == 8
+
+
+def test_default_focus_terms(spark):
+    from tidewell.plans import retrieval
+
+    rows = [(1, "年假有几天", "a", "annual leave and paid leave"), (1, "年假有几天", "b", "something else"), (2, "其他", "c", "something else")]
+    df = spark.createDataFrame([(*r, 0.5, 1) for r in rows], "query_id long, question string, chunk_id string, text string, score double, rank_no long")
+    assert {r["chunk_id"] for r in retrieval.focus_filter(df).collect()} == {"a", "c"}

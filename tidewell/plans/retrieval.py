@@ -23,6 +23,14 @@ INTENT_HINTS: Hints = (
     (("考核", "绩效", "评估"), ("performance review", "review", "twice per year")),
 )
 
+# Terms of which a chunk must mention enough when the question names an intent.
+INTENT_FOCUS: Hints = (
+    (("年假", "带薪假", "假期"), ("annual leave", "paid leave", "vacation", "carry", "next year")),
+    (("工作时间", "上班时间", "工时"), ("working hours", "monday to friday", "09:00", "18:00")),
+    (("报销", "差旅", "发票"), ("reimbursement", "travel", "receipt", "finance")),
+    (("采购", "采购资金", "采购审批"), ("procurement", "quotation", "approval", "purchase request")),
+)
+
 
 def _contains_any(text: Column, terms: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [text.contains(t) for t in terms], F.lit(False))
@@ -97,7 +105,7 @@ def threshold_relax(results: DataFrame, min_score: float, relax_by: float = 0.12
     return results.withColumn("_limit", limit).where(F.col("score") >= F.col("_limit")).drop("_limit")
 
 
-def focus_filter(results: DataFrame, focus: Hints) -> DataFrame:
+def focus_filter(results: DataFrame, focus: Hints = INTENT_FOCUS) -> DataFrame:
     """Keep chunks that mention enough terms of the first intent the question names.
 
     Two terms are enough, or one where the intent lists fewer than six. When no intent is named, or no chunk

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.session import materialize
@@ -11,18 +11,25 @@ from tidewell.session import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 #: Most rows of a small side that may be broadcast; larger sides are joined by a shuffle.
 BROADCAST_ROWS = 50_000
+#: Most bytes of a small side whose rows carry lists.
+BROADCAST_BYTES = 64_000_000
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner", rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with a written side: broadcast it when its counted rows stay within the bound, else shuffle both.
+def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner", rows: int = BROADCAST_ROWS, row_bytes: Column | None = None) -> DataFrame:
+    """Join with a written side: broadcast it when its counted size stays within the bound, else shuffle both.
 
-    `right` must be cheap to count (a materialised table). Beyond the bound adaptive execution splits hot keys.
+    `right` must be cheap to count (a materialised table). Sides of short rows are bounded by their number; where rows carry lists,
+    `row_bytes` is summed and bounded instead. Beyond the bound adaptive execution splits hot keys.
     """
-    return left.join(F.broadcast(right) if right.count() <= rows else right, on, how)
+    if row_bytes is None:
+        small = right.count() <= rows
+    else:
+        small = (right.agg(F.sum(row_bytes)).first()[0] or 0) <= BROADCAST_BYTES
+    return left.join(F.broadcast(right) if small else right, on, how)
 
 
 def running_offsets(counts: DataFrame, key: str, size: str) -> DataFrame:
@@ -33,4 +40,4 @@ def running_offsets(counts: DataFrame, key: str, size: str) -> DataFrame:
     return counts.select(key, F.coalesce(F.sum(size).over(order), F.lit(0)).alias("offset"))
 
 
-__all__ = ["BROADCAST_ROWS", "WORD", "join_small", "materialize", "running_offsets", "table"]
+__all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "WORD", "join_small", "materialize", "running_offsets", "table"]

@@ -74,7 +74,8 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     whole = met.where(F.col("bits") == F.expr("shiftleft(1, need) - 1")).select("mark", "start", "id")
     spans = join_small(whole, windows.select("id", "len", "window"), "id")
     candidates = materialize(spans.groupBy("mark").agg(F.collect_list(F.struct("start", "len", "window")).alias("spans")), "item-candidates")
-    suspects = join_small(base.select("mark", "body"), candidates, "mark")
+    weight = F.aggregate("spans", F.lit(0), lambda total, x: total + F.octet_length(x["window"]) + 24)
+    suspects = join_small(base.select("mark", "body"), candidates, "mark", row_bytes=weight)
     true = let(words_of(F.col("body")), lambda w: F.filter("spans", lambda x: F.concat_ws(" ", F.slice(w, x["start"] + 1, x["len"])) == x["window"]))
     verified = suspects.select("mark", true.alias("spans")).where(F.size("spans") > 0).groupBy("mark").agg(F.first("spans").alias("spans"))
     verified = materialize(verified, "item-hits")
@@ -82,7 +83,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     owners = join_small(found, owned.select("item", "window"), "window").groupBy("mark").agg(F.count_distinct("item").alias("n_items"), F.array_sort(F.collect_set("item")).alias("items"))
     hits = materialize(verified.select("mark", covered(F.col("spans")).alias("n_hit")).join(owners, "mark", "left"), "documents-hit")
     n_words = F.coalesce(F.regexp_count(F.col("body"), F.lit(INSIDE)), F.lit(0)).cast("long")
-    out = join_small(base.select("key", "mark", n_words.alias("n_words")), hits, "mark", "left")
+    out = join_small(base.select("key", "mark", n_words.alias("n_words")), hits, "mark", "left", row_bytes=F.size(F.coalesce("items", F.array().cast("array<string>"))) * 24 + 64)
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
     return out.select(
         F.col("key").alias(key), "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),

@@ -21,22 +21,22 @@ def when(condition: str, value: str) -> str:
     return f"CASE WHEN {condition} THEN {value} END"
 
 
-# Each transaction with its owner and the marks that all habits are counted from.
-cte("txn_customer", """
-SELECT t.*, owner.customer_id, t.txn_time >= (SELECT MAX(txn_time) FROM fact_transaction) - INTERVAL 30 DAY AS recent,
-       hour(t.txn_time) < 6 AS night, t.txn_time::DATE AS day
-FROM fact_transaction t JOIN dim_account owner USING (account_id)
+cte("txn_customer", "SELECT t.*, owner.customer_id FROM fact_transaction t JOIN dim_account owner USING (account_id)")
+# The same with the marks that all habits are counted from.
+cte("txn_marked", """
+SELECT *, txn_time >= (SELECT MAX(txn_time) FROM fact_transaction) - INTERVAL 30 DAY AS recent, hour(txn_time) < 6 AS night, txn_time::DATE AS day
+FROM txn_customer
 """)
 cte("habit_layer", f"""
 SELECT customer_id, COUNT(*) FILTER (recent) AS n, {money(when('recent', 'amount'))} AS total, COUNT(amount) FILTER (recent) AS paid,
        STDDEV_SAMP(amount) FILTER (recent) AS deviation, COUNT(DISTINCT day) FILTER (recent) AS days,
        COUNT(*) FILTER (recent AND night) AS nights, COUNT(*) FILTER (recent AND txn_status = 'FAILED') AS failures, MAX(day) FILTER (recent) AS last_day
-FROM txn_customer GROUP BY ALL HAVING bool_or(recent)
+FROM txn_marked GROUP BY ALL HAVING bool_or(recent)
 """)
 cte("txn_baseline_layer", f"SELECT customer_id, {rnd('total / paid', 2)} AS avg_amount_30d, IFNULL({rnd('deviation', 2)}, 0) AS std_amount_30d, n AS txn_cnt_30d FROM habit_layer")
 cte("channel_layer", """
 SELECT customer_id, best.channel AS most_used_channel, -best.less AS channel_cnt
-FROM (SELECT customer_id, MIN({'less': -n, 'channel': channel}) AS best FROM (SELECT customer_id, channel, COUNT(*) AS n FROM txn_customer GROUP BY ALL) GROUP BY ALL)
+FROM (SELECT customer_id, MIN({'less': -n, 'channel': channel}) AS best FROM (SELECT customer_id, channel, COUNT(*) AS n FROM txn_marked GROUP BY ALL) GROUP BY ALL)
 """)
 cte("behavior_layer", f"""
 SELECT customer_id, n AS txn_cnt_30d, {rnd('total', 2)} AS txn_amount_30d, {rnd('total / paid', 2)} AS avg_txn_amount_30d, days AS active_days_30d,
@@ -87,8 +87,8 @@ SEGMENTS = [
 cte("segment_layer", f"SELECT *, {by_rule(SEGMENTS, repr('general_customer'))} AS customer_segment FROM segment_base")
 cte("abnormal_enriched", """
 SELECT t.* EXCLUDE (night), t.night IS TRUE AS night, IFNULL(b.avg_amount_30d, t.amount) AS mean, t.channel <> IFNULL(m.most_used_channel, t.channel) AS unusual, t.txn_status = 'FAILED' AS failed,
-       (SELECT COUNT(*) FROM txn_customer o WHERE o.customer_id = t.customer_id AND date_trunc('hour', o.txn_time) IS NOT DISTINCT FROM date_trunc('hour', t.txn_time)) AS hits
-FROM txn_customer t LEFT JOIN txn_baseline_layer b USING (customer_id) LEFT JOIN channel_layer m USING (customer_id)
+       (SELECT COUNT(*) FROM txn_marked o WHERE o.customer_id = t.customer_id AND date_trunc('hour', o.txn_time) IS NOT DISTINCT FROM date_trunc('hour', t.txn_time)) AS hits
+FROM txn_marked t LEFT JOIN txn_baseline_layer b USING (customer_id) LEFT JOIN channel_layer m USING (customer_id)
 """)
 REASONS = [
     ("amount_spike", "amount > mean * 3"), ("high_frequency", "hits >= 3"), ("night_large_txn", "night AND amount > mean * 2"), ("unusual_channel", "unusual AND amount > mean * 1.5::DOUBLE"),

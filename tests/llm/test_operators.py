@@ -371,6 +371,17 @@ def test_repeated_runs_are_removed(spark):
     assert html_text.extract_text(pages, block_chars=50).count() == len(rows) and html_text.extract_text(pages.limit(0)).count() == 0
 
 
+def test_parts_of_a_host_count_together(spark):
+    """A notice on fewer than three pages of every part goes as it does in one block; one on two pages of the host stays."""
+    notice, rare = "this long notice stands on a few pages of the host", "only two pages of this host carry the other notice"
+    rows = [(i, f"http://h.org/{i}", f"<div>{notice if i % 10 == 0 else f'page {i} has its own words here and {i * 7} no more'}</div><p>unique text number {i} of page {i * 3} is kept</p>") for i in range(60)]
+    rows += [(i, f"http://h.org/{i}", f"<p>{rare}</p>") for i in (60, 61)] + [(62, "http://h.org/62", None), (63, "http://h.org/63", PAGE)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole, dealt = ({r["page_id"]: r["text"] for r in html_text.extract_text(pages, block_chars=size).collect()} for size in (10**9, 150))
+    assert dealt == whole and len(dealt) == len(rows)
+    assert dealt[10] == "unique text number 10 of page 30 is kept" and dealt[60] == rare
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.lists(st.sampled_from("abc"), max_size=12), min_size=1, max_size=5), st.integers(1, 5), st.integers(1, 3))
 def test_cover_equals_plain_version(streams, length, pages):

@@ -182,6 +182,33 @@ def test_groups_are_searched_to_the_end(spark):
     assert all(got[i] == got[i + 1] for i in range(0, 16, 2)) and len(set(got.values())) == 8
 
 
+def test_links_beside_a_leader_are_found(spark, monkeypatch):
+    """Variants of a template and texts near single variants: the groups that comparing all pairs of each bucket makes."""
+    rng = random.Random(4)
+
+    def change(text, spots):
+        return "".join(rng.choice("uvwxyz") if at % 12 == 0 and at // 12 in spots else c for at, c in enumerate(text))
+
+    texts = {}
+    for n in range(20):  # a leader, texts like it, and texts that are only like one of those
+        base = "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(120))
+        like = [change(base, rng.sample(range(5), 4)) for _ in range(3)]
+        texts |= {n * 10 + i: t for i, t in enumerate([base, *like, *(change(t, range(6, 10)) for t in like)])}
+    df = spark.createDataFrame(list(texts.items()), "id long, t string")
+    signed = {r["id"]: (set(r["s"]["sh"]), set(r["s"]["bands"])) for r in df.select("id", similarity.signature_udf(2, 1)("t").alias("s")).collect()}
+    root = {i: i for i in texts}
+    for a in texts:
+        for b in (b for b in texts if b < a):
+            (x, p), (y, q) = signed[a], signed[b]
+            if p & q and len(x & y) * 1.8 >= (len(x) + len(y)) * 0.8 and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    compare = similarity.compare_cells
+    for cell in (256, 2):
+        monkeypatch.setattr(similarity, "compare_cells", lambda entries, sets, threshold, cell=cell: compare(entries, sets, threshold, cell))
+        assert {r["id"]: r["group"] for r in similarity.similar_groups(df, "id", "t", bands=2, rows=1).collect()} == root
+
+
 def test_default_focus_terms(spark):
     from tidewell.plans import retrieval
 

@@ -286,6 +286,14 @@ def test_links_equal_plain_version(frame, monkeypatch, cell):
     assert sorted(kept) == sorted(min(i for i, t in enumerate(texts) if parts[t] == g) for g in set(parts.values()))
 
 
+@pytest.mark.parametrize("copies", [2, 5])
+def test_links_of_few_long_copies(frame, monkeypatch, copies):
+    """Groups of more blocks than texts: a cell of two blocks, one of them empty, counts nothing again."""
+    monkeypatch.setattr(jaccard_join, "CELL", 25)
+    rows = [(g * 10 + i, " ".join(f"g{g}w{n}" for n in range(100)) + f" end{i}", None, None) for g in range(8) for i in range(copies)]
+    assert {r["links"] for r in jaccard_join.near_duplicates(frame(rows)).collect()} == {copies - 1}
+
+
 def test_join_edges(odd):
     rows = jaccard_join.near_duplicates(odd).collect()
     assert len(rows) == odd.count()

@@ -80,8 +80,8 @@ def forest(rows: DataFrame, size: int, trees: int, depth: int, prefix: int) -> D
     return rows.select("mark", "body").mapInArrow(sign, "mark binary, keys array<bigint>")
 
 
-def cell_links(sets: list[np.ndarray], sides: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(number of links, root) of each set: links are pairs at the threshold, between the two sides if there are two.
+def cell_links(sets: list[np.ndarray], sides: np.ndarray, threshold: float, two: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(number of links, root) of each set: links are pairs at the threshold, between the sides in a cell of `two` blocks, one of which may be empty.
 
     Postings of every shingle are laid out once; a set counts its intersections with all others by one bincount, so no
     pair is ever written down. Roots are the smallest numbers of connected sets.
@@ -94,7 +94,6 @@ def cell_links(sets: list[np.ndarray], sides: np.ndarray, threshold: float) -> t
     posting = owner[order]
     starts = np.concatenate(([0], np.cumsum(np.bincount(ids)))) if len(ids) else np.zeros(1, dtype=np.int64)
     bounds = np.concatenate(([0], np.cumsum(sizes)))
-    two = len(np.unique(sides)) > 1
     links, label = np.zeros(len(sets), dtype=np.int64), np.arange(len(sets))
     for a in range(len(sets)):
         mine = ids[bounds[a] : bounds[a + 1]]
@@ -155,7 +154,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         order = sorted(range(len(marks)), key=marks.__getitem__)
         lists = rows.column("shingles").combine_chunks()
         found = [np.asarray(lists[i].values).view(np.uint64) for i in order]
-        links, root = cell_links(found, rows.column("block").to_numpy()[order], threshold)
+        two = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
+        links, root = cell_links(found, rows.column("block").to_numpy()[order], threshold, two)
         hit = np.flatnonzero(links)
         return pa.table([pa.array([marks[order[i]] for i in hit], pa.binary()), pa.array(links[hit]), pa.array([marks[order[root[i]]] for i in hit], pa.binary())], names=["mark", "links", "root"])
 

@@ -159,6 +159,23 @@ def test_structural_secrets(frame, odd):
     assert secret_scan.scan_secrets(odd.limit(0)).count() == 0
 
 
+def test_secrets_beside_other_text():
+    """Keys after an equals sign or a separator, tokens after other dotted parts, headers with white space."""
+    rng = random.Random(2)
+    key = b64(der(0x30, der(2, b"\0") + der(2, rng.randbytes(129)) + der(2, b"\1\0\1") + der(2, rng.randbytes(128))))
+    ssh = b64(b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + rng.randbytes(60))
+    token = ".".join((b64(b'{"alg":"HS256"}', True), b64(b'{"sub":"1"}', True), b64(rng.randbytes(32), True)))
+    for before in ("PRIVATE_KEY=", "key: ", "x==", "keys/", "my-old_", "a+bc/d-", "a/M/MA/MIIE/", ""):
+        for secret, kind in ((key, 5), (ssh, 6)):
+            assert secret_scan.structural_spans(f"é {before}{secret} end") == [(2 + len(before), kind, 2 + len(before) + len(secret))], before
+    for before in ("response.body.", "aaaaaaaaaa.bbbbbbbb.", "x=", ""):
+        assert secret_scan.structural_spans(f"é {before}{token} end") == [(2 + len(before), 3, 2 + len(before) + len(token))], before
+    for head in (b'{\n "alg": "HS256"}', b'{\t"alg": "HS256"}', b'{\r\n"alg":"HS256"}', b' {"alg":"HS256"}'):
+        other = b64(head, True) + token[token.index(".") :]
+        assert secret_scan.structural_spans(other) == [(0, 3, len(other))], head
+    assert secret_scan.structural_spans("long.dotted.names.everywhere.are.not.tokens.atall " + "MIIE/" * 40 + "x" * 50) == []
+
+
 def test_short_values_still_consume():
     assert secret_scan.base_spans("password: token: abcdefgh") == []
     assert secret_scan.render(secret_scan.base_spans("ToKeN='abc123'")) == "assign:0:13"

@@ -13,7 +13,7 @@ from tidewell.llm.decontaminate import clean_documents
 from tidewell.llm.jaccard_join import keep_one
 from tidewell.llm.language_id import held_out, keep_identified
 from tidewell.llm.mixing import mix_sources
-from tidewell.llm.token_output import training_order
+from tidewell.llm.token_output import written_order
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +37,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences in training order, one fixed-stride record per row."""
-    return training_order(docs)
+    """Token sequences in training order, written to shards; one fixed-stride record per row, read back from them."""
+    return written_order(docs)
 
 
 STAGES = [("language_id", identify), ("jaccard_join", near_duplicates), ("decontamination", decontaminate), ("mix_sources", mix), ("training_order", order)]

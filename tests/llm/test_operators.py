@@ -450,3 +450,21 @@ def test_shards(odd, tmp_path):
         assert decode(ids[:-1]) == text
     assert {r["doc_id"] for r in rows} == {None, 3, 4, 5, 6, 7, 8}
     assert token_output.training_order(odd.limit(0)).count() == 0
+
+
+def test_written_shards_hold_the_order(spark, odd, tmp_path):
+    """The stage's rows point into files that exist, and hold what those files hold."""
+    import hashlib
+
+    import corpus_pipeline
+
+    rows = corpus_pipeline.order(spark, odd, "").collect()
+    plain = token_output.training_order(odd).collect()
+    assert [r["slot"] for r in rows] == [r["slot"] for r in plain] == list(range(len(rows)))
+    for r in rows:
+        with open(r["file"].removeprefix("file:"), "rb") as file:
+            data = file.read()
+        assert data[r["byte_offset"] :][:1024] == bytes(r["tokens"]) and r["sha256"] == hashlib.sha256(data).hexdigest()
+    some = token_output.written_order(odd, length=16, per_shard=500, folder=str(tmp_path / "out")).collect()
+    assert [r["slot"] for r in some] == list(range(len(some))) and len({r["file"] for r in some}) == len(os.listdir(tmp_path / "out")) == -(-len(some) // 500)
+    assert token_output.written_order(odd.limit(0)).count() == 0

@@ -14,7 +14,7 @@ from tidewell.llm.language_id import held_out, identify_languages
 from tidewell.llm.mixing import repetitions
 from tidewell.llm.secret_scan import scan_secrets
 from tidewell.llm.substring_dedup import remove_repeats
-from tidewell.llm.token_output import training_order
+from tidewell.llm.token_output import written_order
 from tidewell.llm.url_filter import filter_urls
 
 
@@ -64,7 +64,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order(table(spark, sf_dir, "documents"))
+    return written_order(table(spark, sf_dir, "documents"))
 
 
 #: Fixed values of the mix are stated again here on purpose: the statement is independent of the operator.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import posixpath
 from collections.abc import Iterator
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import join_small, materialize, running_offsets
+from tidewell.session import scratch_path
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how the public vocabulary splits a text before merging.
@@ -109,6 +111,35 @@ def tokenize(docs: DataFrame, key: str, text: str, length: int, vocabulary: str)
     return rows.mapInArrow(cut, f"piece int, at long, key {kind}, part long, n_tokens int, tokens binary")
 
 
+def place_sequences(docs: DataFrame, key: str, text: str, length: int, per_shard: int, seed: int, vocabulary: str) -> tuple[DataFrame, DataFrame, int]:
+    """(slot, shard, row, byte_offset, key, part, n_tokens, tokens) in no order, over a written token table; the same without tokens; the number of shards."""
+    written = materialize(tokenize(docs, key, text, length, vocabulary), "token-sequences")
+    sizes = materialize(written.groupBy("piece").agg(F.count("*").alias("n")), "sequence-counts")
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    offsets = materialize(running_offsets(sizes, "piece", "n"), "sequence-offsets")
+    numbered = join_small(written, offsets, "piece").withColumn("index", F.col("offset") + F.col("at"))
+    stride = length * (2 if END < 2**16 else 4)
+
+    kind = docs.schema[key].dataType.simpleString()
+    shards = max(1, -(-total // per_shard))
+
+    def placed(columns: list[str], types: str) -> DataFrame:
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                slot = permute(batch.column(0).to_numpy(zero_copy_only=False), total, seed).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), *batch.columns[1:]], names=["slot", *columns])
+
+        found = numbered.select("index", *columns).mapInArrow(place, f"slot long, {types}").withColumn("shard", F.floor(F.col("slot") / per_shard)).withColumn("row", F.col("slot") % per_shard)
+        return found.select("slot", "shard", "row", (F.col("row") * stride).alias("byte_offset"), F.col("key").alias(key), *columns[1:])
+
+    lean = f"key {kind}, part long, n_tokens int"
+    return placed(["key", "part", "n_tokens", "tokens"], f"{lean}, tokens binary"), placed(["key", "part", "n_tokens"], lean), shards
+
+
+def in_slot_order(placed: DataFrame, shards: int) -> DataFrame:
+    return placed.repartitionByRange(shards, "shard").sortWithinPartitions("slot")
+
+
 def training_order(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 512, per_shard: int = 8_192, seed: int = 11, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row per sequence: slot, shard, row (its place in the shard), byte_offset, key, part, n_tokens, tokens.
 
@@ -120,28 +151,19 @@ def training_order(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
     NULL and empty texts have no sequence; NULL and repeated keys are kept; other columns are ignored.
     """
-    written = materialize(tokenize(docs, key, text, length, vocabulary), "token-sequences")
-    sizes = materialize(written.groupBy("piece").agg(F.count("*").alias("n")), "sequence-counts")
-    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    offsets = materialize(running_offsets(sizes, "piece", "n"), "sequence-offsets")
-    numbered = join_small(written, offsets, "piece").withColumn("index", F.col("offset") + F.col("at"))
-    stride = length * (2 if END < 2**16 else 4)
+    placed, _, shards = place_sequences(docs, key, text, length, per_shard, seed, vocabulary)
+    return in_slot_order(placed, shards)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = permute(batch.column(0).to_numpy(zero_copy_only=False), total, seed).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), *batch.columns[1:]], names=["slot", "key", "part", "n_tokens", "tokens"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    placed = numbered.select("index", "key", "part", "n_tokens", "tokens").mapInArrow(place, f"slot long, key {kind}, part long, n_tokens int, tokens binary")
-    shards = max(1, -(-total // per_shard))
-    placed = placed.withColumn("shard", F.floor(F.col("slot") / per_shard)).withColumn("row", F.col("slot") % per_shard)
-    ordered = placed.repartitionByRange(shards, "shard").sortWithinPartitions("slot")
-    return ordered.select("slot", "shard", "row", (F.col("row") * stride).alias("byte_offset"), F.col("key").alias(key), "part", "n_tokens", "tokens")
+def store_of(folder: str):
+    """The pyarrow file system of a location and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
 
 
 def write_shards(ordered: DataFrame, folder: str) -> DataFrame:
-    """Write `shard-<number>.bin` files of records without headers; (shard, rows, bytes, file) of each file, written eagerly.
+    """Write `shard-<number>.bin` files of records without headers; (shard, rows, bytes, file, sha256) of each file, written eagerly.
 
     `ordered` is the result of training_order. `folder` is any location that the installed pyarrow file systems reach (a
     path, file:, hdfs:, s3:); it must be shared. A shard is written under a name of its attempt and then moved, so repeated
@@ -149,12 +171,11 @@ def write_shards(ordered: DataFrame, folder: str) -> DataFrame:
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store, root = store_of(folder)
         store.create_dir(root, recursive=True)
         attempt, shard, rows, stream = TaskContext.get().taskAttemptId(), None, 0, None
-        done: list[tuple[int, int, int, str]] = []
+        done: list[tuple[int, int, int, str, str]] = []
+        digest = hashlib.sha256()
 
         def close() -> None:
             if stream is not None:
@@ -162,17 +183,56 @@ def write_shards(ordered: DataFrame, folder: str) -> DataFrame:
                 stream.close()
                 name = posixpath.join(root, f"shard-{shard:08d}.bin")
                 store.move(posixpath.join(root, f"_{shard:08d}-{attempt}"), name)
-                done.append((shard, rows, size, name))
+                done.append((shard, rows, size, name, digest.hexdigest()))
 
         for batch in batches:
             for number, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if number != shard:
                     close()
-                    shard, rows = number, 0
+                    shard, rows, digest = number, 0, hashlib.sha256()
                     stream = store.open_output_stream(posixpath.join(root, f"_{shard:08d}-{attempt}"))
                 stream.write(tokens)
+                digest.update(tokens)
                 rows += 1
         close()
-        yield pa.RecordBatch.from_pylist([dict(zip(("shard", "rows", "bytes", "file"), d)) for d in done], schema=pa.schema([("shard", pa.int64()), ("rows", pa.int64()), ("bytes", pa.int64()), ("file", pa.string())]))
+        yield pa.RecordBatch.from_pylist([dict(zip(("shard", "rows", "bytes", "file", "sha256"), d)) for d in done], schema=pa.schema([("shard", pa.int64()), ("rows", pa.int64()), ("bytes", pa.int64()), ("file", pa.string()), ("sha256", pa.string())]))
 
-    return materialize(ordered.select("shard", "tokens").mapInArrow(write, "shard long, rows long, bytes long, file string"), "shard-manifest")
+    return materialize(ordered.select("shard", "tokens").mapInArrow(write, "shard long, rows long, bytes long, file string, sha256 string"), "shard-manifest")
+
+
+def written_order(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 512, per_shard: int = 8_192, seed: int = 11, vocabulary: str = VOCABULARY, folder: str | None = None) -> DataFrame:
+    """The rows of training_order from its written shards: the files are written now, and tokens are read back from them.
+
+    Shards go to `folder`, by default a fresh one below the shared folder. Further columns are `file` and `sha256`, the digest of the
+    file as it is read. A file whose digest is not that of the bytes handed to it fails the read, as does a place beyond its end.
+    """
+    folder = folder or scratch_path(docs.sparkSession, "shards")
+    placed, places, shards = place_sequences(docs, key, text, length, per_shard, seed, vocabulary)
+    manifest = write_shards(in_slot_order(placed, shards), folder)
+    kind = docs.schema[key].dataType.simpleString()
+    stride = length * (2 if END < 2**16 else 4)
+    index = join_small(places.withColumnRenamed(key, "key"), manifest.select("shard", "file", F.col("sha256").alias("handed")), "shard")
+    names = ["slot", "shard", "row", "byte_offset", "key", "part", "n_tokens"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = store_of(folder)
+        at, data, digest = None, b"", ""
+        for batch in batches:
+            tokens, digests = [], []
+            for file, handed, offset in zip(batch.column(7).to_pylist(), batch.column(8).to_pylist(), batch.column(3).to_pylist()):
+                if file != at:
+                    with store.open_input_stream(file) as stream:
+                        at, data = file, stream.read()
+                    digest = hashlib.sha256(data).hexdigest()
+                    if digest != handed:
+                        raise ValueError(f"{file} does not hold the bytes that were written")
+                record = data[offset : offset + stride]
+                if len(record) != stride:
+                    raise ValueError(f"{file} ends before {offset + stride}")
+                tokens.append(record)
+                digests.append(digest)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:7], pa.array(tokens, pa.binary()), batch.column(7), pa.array(digests, pa.string())], names=[*names, "tokens", "file", "sha256"])
+
+    ordered = in_slot_order(index.select(*names, "file", "handed"), shards)
+    out = ordered.mapInArrow(read, f"slot long, shard long, row long, byte_offset long, key {kind}, part long, n_tokens int, tokens binary, file string, sha256 string")
+    return out.withColumnRenamed("key", key)

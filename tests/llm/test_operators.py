@@ -432,6 +432,20 @@ def test_permutation(total, key):
     assert (token_output.permute(slots, total, key, inverse=True) == index.astype(np.uint64)).all()
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="ab1'st .\n\t\u00a0\u3000é漢\x1f", max_size=80), st.integers(1, 12))
+def test_pieces_have_the_ids_of_the_whole_text(text, most):
+    whole = token_output.encoder(token_output.VOCABULARY).encode_ordinary(text)
+    assert token_output.token_ids(text, token_output.VOCABULARY, most) == whole
+
+
+def test_long_texts_are_not_cut_inside_words():
+    for text in ("internationalization, " * 12_000, "x" * 250_000 + " end", "word " * 41_000 + "\n" * 300):
+        assert token_output.token_ids(text, token_output.VOCABULARY) == token_output.encoder(token_output.VOCABULARY).encode_ordinary(text)
+    blank = "a" + " " * 1_000_000 + "b"  # more than the tokenizer takes in one piece
+    assert token_output.encoder(token_output.VOCABULARY).decode(token_output.token_ids(blank, token_output.VOCABULARY)) == blank
+
+
 def test_shards(odd, tmp_path):
     """Records at fixed offsets: reading on from any slot gives the same sequences."""
     ordered = token_output.training_order(odd, length=16, per_shard=500)

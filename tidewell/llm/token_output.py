@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import posixpath
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,9 @@ from tidewell.session import scratch_path
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how the public vocabulary splits a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The pattern's white space, and a place where it ends a token whatever follows.
+WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+CUT = re.compile(r"(?<=\S)[ \t\n\r]")
 END = 50_256
 ROUNDS = 6
 _ENCODERS: dict[str, object] = {}
@@ -36,11 +40,33 @@ def encoder(vocabulary: str):
 
 
 def token_ids(text: str, vocabulary: str, most: int = 200_000) -> list[int]:
-    """Ids of a whole text; longer texts are encoded in pieces, which join to the same bytes."""
-    encode = encoder(vocabulary).encode_ordinary
+    """Ids of a whole text. Longer texts are encoded in pieces that end where the split pattern ends a token whatever follows: before
+    white space after other text, so the ids are those of the text in one piece. A piece without such a place is as long as it must be.
+
+    Runs of `most` white space characters or more overflow the tokenizer's pattern: the pattern makes one token of all but the last
+    of a run (of all at the end of the text), which is encoded directly.
+    """
+    tokenizer = encoder(vocabulary)
+    if len(text) <= most:
+        return tokenizer.encode_ordinary(text)
+    ids: list[int] = []
+    at = 0
+    for run in re.finditer(f"{WHITE}{{{most},}}", text):
+        ids += pieces_ids(tokenizer, text[at : run.start()], most)
+        at = run.end() if run.end() == len(text) else run.end() - 1
+        if at > run.start():
+            ids += tokenizer._encode_single_piece(text[run.start() : at])
+    return ids + pieces_ids(tokenizer, text[at:], most)
+
+
+def pieces_ids(tokenizer, text: str, most: int) -> list[int]:
     ids: list[int] = []
-    for at in range(0, len(text), most):
-        ids += encode(text[at : at + most])
+    at = 0
+    while at < len(text):
+        cut = CUT.search(text, at + most)
+        end = cut.start() if cut else len(text)
+        ids += tokenizer.encode_ordinary(text[at:end])
+        at = end
     return ids
 
 

@@ -1,4 +1,4 @@
-"""Near duplicates by word shingles: a MinHash forest proposes, exact Jaccard similarity decides."""
+"""Near duplicates by word shingles: banded MinHash proposes, exact Jaccard similarity decides."""
 
 from __future__ import annotations
 
@@ -20,8 +20,8 @@ LISTED = 200_000
 
 
 def prefix_depth(trees: int, depth: int, threshold: float, recall: float) -> int:
-    """The forest's tries are read from their full depth; the common prefix asked for is shortened level by level until
-    a pair at the threshold meets in one of the trees with the target probability."""
+    """The longest common prefix with which a pair at the threshold meets in one of the trees with the target probability. It is
+    fixed before any data is read: a tree is one band, its bucket key the prefix, and deeper values are not used."""
     while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
         depth -= 1
     return depth

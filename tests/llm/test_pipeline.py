@@ -3,7 +3,7 @@
 import re
 
 import corpus_pipeline
-from test_operators import plain_links
+from test_llm_operators import plain_links
 
 from tidewell.llm.common import materialize, table
 

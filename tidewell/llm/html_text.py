@@ -140,9 +140,10 @@ def repeated_cover(streams: list[list[str]], length: int, pages: int) -> list[np
         first = np.ones(len(order), dtype=bool)
         first[1:] = (names[order][1:] != names[order][:-1]) | (owner[order][1:] != owner[order][:-1])
         spread = np.bincount(names[order][first])
-        starts = np.flatnonzero(spread[names] >= pages)
+        inside = np.arange(len(names)) + length < np.array(bounds)[owner[: len(names)] + 1]  # a window ends before its page's separator
+        starts = np.flatnonzero((spread[names] >= pages) & inside)
         np.add.at(covered, starts, 1)
-        np.add.at(covered, np.minimum(starts + length, len(stream)), -1)
+        np.add.at(covered, starts + length, -1)
     mask = np.cumsum(covered)[:-1] > 0
     return [mask[a : b - 1] for a, b in zip(bounds, bounds[1:])]
 

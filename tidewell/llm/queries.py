@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.llm.collocations import collocations
 from tidewell.llm.common import table
 from tidewell.llm.decontaminate import contamination
 from tidewell.llm.exact_dedup import exact_duplicates
@@ -67,6 +68,10 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written_order(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 #: Fixed values of the mix are stated again here on purpose: the statement is independent of the operator.
 OP3_SQL = r"""
 WITH RECURSIVE docs AS (
@@ -141,6 +146,26 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+#: All n-grams of whole pieces are written out and counted, without chunks.
+OP13_SQL = r"""
+WITH docs AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(p) AS piece FROM docs)),
+grams AS (
+  SELECT lang, k, array_to_string(w[s : s + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM pieces, (VALUES (1), (2), (3)) sizes(k) WHERE len(w) >= k) GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.size, c.a, c.k, x.f AS l, y.f AS r, 1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[: c.k], ' ') JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1 :], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, array_to_string(w[s : s + 1], ' ') AS phrase, max(a) AS longer FROM (SELECT lang, w, a, unnest([1, 2]) AS s FROM candidates WHERE size = 3) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inside i USING (lang, phrase) WHERE i.longer IS NULL OR 100 * i.longer < 50 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_language_id": op2_language_id,
@@ -152,5 +177,6 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_training_order": op10_training_order,
+    "op13_collocations": op13_collocations,
 }
-ORACLES = {"op3_mix_sources": OP3_SQL, "op5_substring_dedup": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op7_decontaminate": OP7_SQL, "op9_exact_dedup": OP9_SQL}
+ORACLES = {"op3_mix_sources": OP3_SQL, "op5_substring_dedup": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op7_decontaminate": OP7_SQL, "op9_exact_dedup": OP9_SQL, "op13_collocations": OP13_SQL}

@@ -482,3 +482,65 @@ def test_written_shards_hold_the_order(spark, odd, tmp_path):
     some = token_output.written_order(odd, length=16, per_shard=500, folder=str(tmp_path / "out")).collect()
     assert [r["slot"] for r in some] == list(range(len(some))) and len({r["file"] for r in some}) == len(os.listdir(tmp_path / "out")) == -(-len(some) // 500)
     assert token_output.written_order(odd.limit(0)).count() == 0
+
+
+# collocations
+
+
+def plain_collocations(rows, longest=3, least=10, covered=50, top=2000):
+    pieces, freq, total = [], {}, {}
+    for lang, text in rows:
+        low = "".join(c.lower() if c.isascii() else c for c in text or "")
+        pieces += [(lang or "und", re.findall(r"[^\x20\x09]+", p)) for p in re.split(r"[.,;:!?\x0A-\x0D]", low)]
+    for lang, w in pieces:
+        total[lang] = total.get(lang, 0) + len(w)
+        for size in range(1, longest + 1):
+            for s in range(len(w) - size + 1):
+                freq[lang, tuple(w[s : s + size])] = freq.get((lang, tuple(w[s : s + size])), 0) + 1
+    found = {k: a for k, a in freq.items() if len(k[1]) > 1 and a >= least}
+    out = {}
+    for (lang, w), a in found.items():
+        score, k = min((1000000 * a * a // (freq[lang, w[:k]] * freq[lang, w[k:]]), k) for k in range(1, len(w)))
+        inside = [b for (other, x), b in found.items() if other == lang and len(x) > len(w) and any(x[i : i + len(w)] == w for i in range(len(x)))]
+        if not any(100 * b >= covered * a for b in inside):
+            out.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), a, freq[lang, w[:k]], freq[lang, w[k:]]))
+    return sorted((lang, rank, p.decode(), a, l, r, total[lang], -score) for lang, v in out.items() for rank, (score, _, p, a, l, r) in enumerate(sorted(v)[:top], 1))
+
+
+@pytest.mark.parametrize("options", [{}, {"longest": 4, "least": 3, "top": 7}, {"longest": 2, "modulus": 1}, {"least": 2, "covered": 101, "modulus": 2}])
+def test_collocations_equal_plain_version(frame, options):
+    from tidewell.llm.collocations import collocations
+
+    rng = random.Random(4)
+    words = ["a", "b", "Cd", "é", "x\x1cy", "İ", "d", "und"]
+    texts = [("".join(rng.choice(words) + rng.choice([" ", " ", " ", "\t", "  ", ". ", "\n", ",", "\x0b"]) for _ in range(rng.randrange(60))), rng.choice(["en", "en", "fr", None, "und"])) for _ in range(120)]
+    rows = [(n, t, lang, None) for n, (t, lang) in enumerate(texts)] + [(1, None, "en", None), (1, "", "xx", None), (2, " ... ", None, None), *[(3, "same words here " * 40, "en", None)] * 9]
+    plain = {k: v for k, v in options.items() if k != "modulus"}
+    got = [tuple(r) for r in collocations(frame(rows), **options).collect()]
+    assert sorted(got) == plain_collocations([(r[2], r[1]) for r in rows], **plain)
+    assert collocations(frame([]), **options).collect() == []
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet="ab .\t\nB", max_size=40), max_size=5), st.integers(1, 3), st.integers(1, 4))
+def test_chunks_put_together_are_the_pieces(texts, overlap, modulus):
+    """Without the overlaps, the chunks of a text give its pieces word by word; every chunk but a last one ends in its overlap."""
+    from tidewell.llm.collocations import parse
+
+    chunks, last, owner = parse([t.encode() for t in texts], overlap, modulus)
+    for n, text in enumerate(texts):
+        mine = []
+        for chunk, end, own in zip(chunks, last, owner):
+            if own == n:
+                w = chunk.decode().split()
+                mine += w if end else w[: len(w) - overlap]
+        assert mine == text.lower().replace(".", " ").split()
+
+
+def test_large_collocation_products(frame):
+    """Counts whose products pass 64 bits."""
+    from tidewell.llm.collocations import score
+
+    a, l, r = 3_000_000_000_000, 5_000_000_000_001, 4_000_000_000_003
+    found = frame([]).sparkSession.range(1).select(F.lit(a).alias("a"), F.lit(l).alias("l"), F.lit(r).alias("r"))
+    assert found.select(score()).first()[0] == 1_000_000 * a * a // (l * r)

@@ -9,7 +9,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import join_small, materialize
@@ -20,9 +20,11 @@ from tidewell.operators.ranking import top_n
 ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _TO = bytes(10 if c in ENDS else 32 if c in BLANKS else c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Bytes of text parsed and words counted at a time: bounds the memory of a task, not what it covers.
-PARSED, COUNTED = 4_000_000, 1_000_000
+PARSED, COUNTED = 2_000_000, 700_000
 #: Bits of the filter that is broadcast between two lengths, and bytes of the slices it is put together from.
 BITS, SLICE = 1 << 26, 1 << 16
+#: A language's candidates are ranked in so many shares first, so that its last task gets SHARES * top rows at most.
+SHARES = 16
 UNKNOWN = "und"
 
 
@@ -184,6 +186,12 @@ def phrase_filter(found: DataFrame, size: int):
     return found.sparkSession.sparkContext.broadcast(bytes(out))
 
 
+def score() -> Column:
+    """floor(1000000 * a * a / (l * r)), exact for counts below 10^15."""
+    a, l, r = (f"cast({c} as decimal(15,0))" for c in "alr")
+    return F.expr(f"(cast(1000000 as decimal(7,0)) * ({a} * {a})) div ({l} * {r})").cast("long")
+
+
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = 3, least: int = 10, covered: int = 50, top: int = 2_000, modulus: int = 6) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the best phrases of 2 to `longest` words of each language.
 
@@ -220,15 +228,15 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", longes
 
     cuts = candidates.select("lang", "phrase", "size", "a", "w", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
     cuts = cuts.select("lang", "phrase", "size", "a", "k", joined(F.lit(1), F.col("k")).alias("head"), joined(F.col("k") + 1, F.col("size") - F.col("k")).alias("tail"))
-    width = F.octet_length("phrase") + F.octet_length("lang") + 24
     for part, name in (("head", "l"), ("tail", "r")):
-        cuts = join_small(cuts, parts.select("lang", F.col("phrase").alias(part), F.col("n").alias(name)), ["lang", part], row_bytes=F.octet_length(part) + F.octet_length("lang") + 24)
-    score = F.expr("(cast(1000000 as decimal(7,0)) * (cast(a as decimal(15,0)) * cast(a as decimal(15,0)))) div (cast(l as decimal(15,0)) * cast(r as decimal(15,0)))")
-    best = cuts.withColumn("score", score.cast("long")).groupBy("lang", "phrase", "size", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
+        cuts = cuts.join(parts.select("lang", F.col("phrase").alias(part), F.col("n").alias(name)), ["lang", part])
+    best = cuts.withColumn("score", score()).groupBy("lang", "phrase", "size", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     inner = candidates.where("size > 2").select("lang", "a", "w", "size", F.explode(F.sequence(F.lit(2), F.col("size") - 1)).alias("length"))
     inner = inner.select("lang", "a", "w", "length", F.explode(F.sequence(F.lit(1), F.col("size") - F.col("length") + 1)).alias("start"))
-    inner = materialize(inner.select("lang", joined(F.col("start"), F.col("length")).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer")), "longer-phrases")
-    free = join_small(best, inner, ["lang", "phrase"], "left", row_bytes=width).where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * covered))
+    inner = inner.select("lang", joined(F.col("start"), F.col("length")).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
+    free = best.join(inner, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * covered))
     flat = free.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    ranked = top_n(flat, ["lang"], [F.desc("score"), F.desc("a"), F.asc("phrase")], top, "rank")
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    dealt = top_n(flat.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES))), ["lang", "share"], order, top, "rank")
+    ranked = top_n(dealt.drop("rank", "share"), ["lang"], order, top, "rank")
     return join_small(ranked, totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", F.col("total").alias("n"), "score")

@@ -13,10 +13,12 @@ from tidewell.llm.html_text import extract_text
 from tidewell.llm.jaccard_join import near_duplicates
 from tidewell.llm.language_id import held_out, identify_languages
 from tidewell.llm.mixing import repetitions
+from tidewell.llm.ranked_search import ranked_search
 from tidewell.llm.secret_scan import scan_secrets
 from tidewell.llm.substring_dedup import remove_repeats
 from tidewell.llm.token_output import written_order
 from tidewell.llm.url_filter import filter_urls
+from tidewell.llm.vector_search import search_vectors
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +70,14 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written_order(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -146,6 +156,33 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+#: Every document that shares a term with an item is scored.
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+filled AS (SELECT r, doc_id, len(w) AS n, w FROM docs WHERE len(w) > 0),
+stats AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM filled),
+tfs AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM filled) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM tfs, stats GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * nn) // ll)))))::BIGINT AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN filled USING (r), stats GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
+#: All pairs of queries and rows, in doubles that are exact for these vectors.
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM pairs QUALIFY rank <= 5
+"""
+
 #: All n-grams of whole pieces are written out and counted, without chunks.
 OP13_SQL = r"""
 WITH docs AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p FROM documents),
@@ -177,6 +214,8 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_training_order": op10_training_order,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_vector_search": op12_vector_search,
     "op13_collocations": op13_collocations,
 }
-ORACLES = {"op3_mix_sources": OP3_SQL, "op5_substring_dedup": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op7_decontaminate": OP7_SQL, "op9_exact_dedup": OP9_SQL, "op13_collocations": OP13_SQL}
+ORACLES = {"op3_mix_sources": OP3_SQL, "op5_substring_dedup": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op7_decontaminate": OP7_SQL, "op9_exact_dedup": OP9_SQL, "op11_ranked_search": OP11_SQL, "op12_vector_search": OP12_SQL, "op13_collocations": OP13_SQL}

@@ -2,6 +2,7 @@
 
 import base64
 import json
+import math
 import os
 import random
 import re
@@ -544,3 +545,138 @@ def test_large_collocation_products(frame):
     a, l, r = 3_000_000_000_000, 5_000_000_000_001, 4_000_000_000_003
     found = frame([]).sparkSession.range(1).select(F.lit(a).alias("a"), F.lit(l).alias("l"), F.lit(r).alias("r"))
     assert found.select(score()).first()[0] == 1_000_000 * a * a // (l * r)
+
+
+# exact vector search
+
+
+def plain_neighbours(rows, k, every=50):
+    ok = {}
+    for key, v in rows:
+        if key is not None and v and all(x is not None and math.isfinite(x) for x in v):
+            v = [math.floor(256 * float(x)) for x in v]
+            ok[key] = min(v, ok.get(key, v))
+    out = []
+    for q, a in ok.items():
+        if q % every == 0:
+            found = sorted((-sum(x * y for x, y in zip(a, b)), key) for key, b in ok.items() if key != q and len(a) == len(b))
+            out += [(q, rank, key, -score) for rank, (score, key) in enumerate(found[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bits", [1, 6])
+def test_vector_search_equals_brute_force(spark, monkeypatch, bits):
+    """Several small blocks, a hot vector, ties, keys below zero, vectors of two lengths, large numbers, and rows that take no part."""
+    from tidewell.llm import vector_search
+
+    monkeypatch.setattr(vector_search, "VECTORS", 60)
+    monkeypatch.setattr(vector_search, "QUERIES", 4)
+    rng = random.Random(9)
+    rows = [(n, [rng.gauss(0, 0.3) for _ in range(6)]) for n in range(-100, 260)]
+    rows += [(n, [0.9, 0.1, 0.0, 0.0, 0.0, 0.2]) for n in range(300, 460)]
+    rows += [(n, [rng.choice([-1e6, 3e6, 0.5]) for _ in range(3)]) for n in range(500, 560)]
+    rows += [(600, None), (601, []), (602, [math.nan] * 6), (650, [math.inf] + [0.0] * 5), (604, [None] * 6), (None, [0.1] * 6), (50, [0.0] * 6), (50, [0.0] * 6), (700, [1.0])]
+    table = spark.createDataFrame([(key, v, 1, "z", 0.5) for key, v in rows], "vec_id long, embedding array<double>, score int, v string, query double")
+    got = vector_search.search_vectors(table, bits=bits)
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    assert sorted(map(tuple, got.collect())) == plain_neighbours(rows, 5)
+    assert vector_search.search_vectors(table.limit(0)).collect() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 8), st.integers(1, 30), st.integers(1, 5), st.integers(0, 2**32), st.sampled_from([3, 300, 2**25, 2**40]))
+def test_bounds_hold(bits, n, dim, seed, most):
+    from tidewell.llm.vector_search import bounds, quantise
+
+    rng = np.random.default_rng(seed)
+    v, q = rng.integers(-most, most + 1, (n, dim)), rng.integers(-most, most + 1, (3, dim))
+    cells, low, high = quantise(v, bits)
+    across = np.arange(dim)
+    assert (low[cells, across] <= v).all() and (v <= high[cells, across]).all() and cells.max() < 2**bits
+    lower, upper = bounds(q, cells, low, high)
+    for i in range(3):
+        for j in range(n):
+            true = sum(int(a) * int(b) for a, b in zip(q[i], v[j]))
+            assert lower[i, j] <= true <= upper[i, j]
+
+
+def test_few_vectors_are_read(spark, small, tmp_path):
+    """Bounds leave out most vectors: the candidates of a query are a small part of all, exact reads still fewer."""
+    from tidewell.llm import vector_search
+    from tidewell.llm.common import table
+
+    vectors = table(spark, small.replace("sf0.001", "sf0.1"), "embeddings")
+    whole = vector_search.whole_vectors(vectors, "vec_id", "embedding", 256)
+    found = vector_search.equal_classes(whole, 5).cache()
+    queries = found.where("least % 50 = 0")
+    one = F.lit(1).cast("long")
+    file = vector_search.approximation_file(found, one, 6)
+    near = vector_search.scan(queries, file, one, one, 6)
+    assert near.count() < 0.1 * queries.count() * found.count()
+
+
+# ranked lexical search
+
+
+def plain_ranking(docs, items, k):
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
+    texts = [(key, split(t)) for key, t in docs if split(t)]
+    total, words, df = len(texts), sum(len(w) for _, w in texts), {}
+    for _, w in texts:
+        for t in set(w):
+            df[t] = df.get(t, 0) + 1
+    asked = {}
+    for item, t in items:
+        asked.setdefault(item, set()).update(split(t))
+    out = []
+    for item, terms in asked.items():
+        found = []
+        for key, w in texts:
+            m = 50 + 50 * len(w) * total // words
+            score = sum(math.floor(1000 * math.log((2 * total + 2) / (2 * df[t] + 1))) * (10**9 * w.count(t) // (1000 * w.count(t) + 20 * m)) for t in terms if t in w)
+            if score > 0:
+                found.append((-score, key is None, key or 0, key))
+        out += [(item, rank, key, -score) for rank, (score, _, _, key) in enumerate(sorted(found)[:k], 1)]
+    return out
+
+
+@pytest.mark.parametrize("options", [{"k": 5}, {"k": 50, "block": 1, "postings_per_task": 300}, {"k": 3, "block": 7, "postings_per_task": 50}])
+def test_ranked_search_equals_plain_version(frame, spark, monkeypatch, options):
+    from tidewell.llm import ranked_search
+
+    monkeypatch.setattr(ranked_search, "ASKED", 12)  # several blocks of items
+    rng = random.Random(2)
+    words = ["The", "the", "é", "x1", "a-b", "İ", "of", "cat", "sat", "naïve", "q_r"]
+    docs = [(n, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 30))), "en", None) for n in range(150)]
+    docs += [(n, "the cat sat of copies", None, None) for n in range(200, 260)] + [(None, "the cat sat of copies", "en", None)] * 2 + [(7, "the cat", "en", None)] * 2 + [(1, None, None, None), (2, "", None, None), (3, "... --", "en", None)]
+    docs += [(300, "cat " * 50_000 + "sat", "en", None)]
+    items = [("b", "The cat"), ("a", "é x1 x1 unknown"), (None, "sat of"), ("b", "naïve"), ("e", ""), ("n", None), ("z", "nowhere")]
+    table = spark.createDataFrame([(i, t, 1, "s") for i, t in items], "item_id string, text string, score int, item string")
+    got = ranked_search.ranked_search(frame(docs), table, **options)
+    key = lambda r: (str(r[0]), r[1])
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(plain_ranking([(d[0], d[1]) for d in docs], items, options["k"]), key=key)
+    assert ranked_search.ranked_search(frame([]), table).collect() == []
+    assert ranked_search.ranked_search(frame(docs), table.limit(0)).collect() == []
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 40), st.integers(1, 12), st.integers(1, 9), st.integers(0, 2**32), st.integers(1, 6))
+def test_blocks_skip_no_result(n, size, block, seed, k):
+    """For any shard, level and block size, the search finds exactly the documents that reach the level, and stored summaries read back."""
+    from tidewell.llm.ranked_search import Asked, Shard
+
+    rng = np.random.default_rng(seed)
+    rows = [np.flatnonzero(rng.random(size) < 0.4) for _ in range(n)]
+    asked = Asked([np.flatnonzero(rng.random(size) < 0.5) for _ in range(3)], size)
+    bounds, terms = np.cumsum([0, *map(len, rows)]), np.concatenate(rows).astype(np.int64)
+    impacts = rng.integers(1, 50, len(terms))
+    made = Shard(bounds, terms, impacts, asked, block)
+    again = Shard(bounds, terms, impacts, asked, block, made.stored())
+    for item in range(3):
+        every = made.scores(item, np.arange(n))
+        pilot = made.pilot(item, k)
+        assert set(pilot) <= set(every) and len(pilot) <= k
+        for level in (1, 30, int(pilot[-1]) if len(pilot) else 2):
+            docs, scores, looked = again.search(item, level)
+            assert docs.tolist() == np.flatnonzero(every >= level).tolist() and scores.tolist() == every[docs].tolist() and looked <= n

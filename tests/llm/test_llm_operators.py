@@ -680,3 +680,29 @@ def test_blocks_skip_no_result(n, size, block, seed, k):
         for level in (1, 30, int(pilot[-1]) if len(pilot) else 2):
             docs, scores, looked = again.search(item, level)
             assert docs.tolist() == np.flatnonzero(every >= level).tolist() and scores.tolist() == every[docs].tolist() and looked <= n
+
+
+def test_reading_resumes_at_any_slot(odd, tmp_path):
+    """What is read from a slot on equals the rest of a whole reading; a changed file fails."""
+    whole = token_output.written_order(odd, length=16, per_shard=500, folder=str(tmp_path / "a")).collect()
+    for start in (0, 1, 499, 500, len(whole) - 1, len(whole)):
+        rest = token_output.written_order(odd, length=16, per_shard=500, folder=str(tmp_path / f"b{start}"), start=start)
+        assert [(r["slot"], bytes(r["tokens"])) for r in rest.collect()] == [(r["slot"], bytes(r["tokens"])) for r in whole[start:]]
+
+
+def test_folders_without_a_scheme_belong_to_the_default_file_system(spark):
+    assert token_output.shared_folder(spark, "/some/folder") == "file:/some/folder"
+    assert token_output.shared_folder(spark, "file:/some/folder") == "file:/some/folder"
+
+
+def test_only_unmoved_files_are_read_twice(spark, small, monkeypatch):
+    """Rows whose partitions could differ from one reading to the next are written before they are numbered."""
+    from tidewell.llm.common import table
+
+    written = []
+    monkeypatch.setattr(token_output, "materialize", lambda df, name: written.append(name) or df)
+    docs = table(spark, small, "documents")
+    token_output.fixed_texts(docs.where("lang = 'en'"), "doc_id", "text")
+    assert written == []
+    token_output.fixed_texts(docs.repartition(3), "doc_id", "text")
+    assert written == ["texts"]

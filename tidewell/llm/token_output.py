@@ -6,15 +6,16 @@ import base64
 import hashlib
 import posixpath
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import join_small, materialize, running_offsets
+from tidewell.llm.common import materialize
 from tidewell.session import scratch_path
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -25,7 +26,12 @@ WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 CUT = re.compile(r"(?<=\S)[ \t\n\r]")
 END = 50_256
 ROUNDS = 6
+#: Words whose ids a process keeps.
+KEPT = 500_000
+#: Most partitions that shards are written from; each writes a range of shards.
+PARTITIONS = 20_000
 _ENCODERS: dict[str, object] = {}
+_WORDS: dict[str, dict[str, list[int]]] = {}
 
 
 def encoder(vocabulary: str):
@@ -39,8 +45,32 @@ def encoder(vocabulary: str):
     return _ENCODERS[vocabulary]
 
 
+def word_pattern(below: int = 0x250) -> tuple[re.Pattern, re.Pattern]:
+    """(the split pattern for texts of code points under `below`, a pattern that finds any other): classes are spelled out from their categories."""
+    of = lambda kind: "".join(re.escape(chr(c)) for c in range(below) if unicodedata.category(chr(c))[0] == kind)
+    letters, numbers, white = of("L"), of("N"), WHITE[1:-1]
+    split = f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{white}{letters}{numbers}]+|[{white}]+(?![^{white}])|[{white}]+"
+    return re.compile(split), re.compile(f"[^\x00-{chr(below - 1)}]")
+
+
 def token_ids(text: str, vocabulary: str, most: int = 200_000) -> list[int]:
-    """Ids of a whole text. Longer texts are encoded in pieces that end where the split pattern ends a token whatever follows: before
+    """Ids of a whole text: Latin texts word by word, as a word's ids are the same wherever it stands and are kept; others by the tokenizer."""
+    if LATIN[1].search(text):
+        return whole_ids(text, vocabulary, most)
+    tokenizer, kept = encoder(vocabulary), _WORDS.setdefault(vocabulary, {})
+    ids: list[int] = []
+    for word in LATIN[0].findall(text):
+        own = kept.get(word)
+        if own is None:
+            own = tokenizer._encode_single_piece(word)
+            if len(word) <= 64 and len(kept) < KEPT:
+                kept[word] = own
+        ids += own
+    return ids
+
+
+def whole_ids(text: str, vocabulary: str, most: int = 200_000) -> list[int]:
+    """Ids of a whole text by the tokenizer. Longer texts are encoded in pieces that end where the split pattern ends a token whatever follows: before
     white space after other text, so the ids are those of the text in one piece. A piece without such a place is as long as it must be.
 
     Runs of `most` white space characters or more overflow the tokenizer's pattern: the pattern makes one token of all but the last
@@ -70,6 +100,9 @@ def pieces_ids(tokenizer, text: str, most: int) -> list[int]:
     return ids
 
 
+LATIN = word_pattern()
+
+
 def half_bits(total: int) -> int:
     """Bits of each half: the smallest domain of two equal halves that holds `total` numbers."""
     return max(1, (max(total - 1, 1).bit_length() + 1) // 2)
@@ -108,146 +141,176 @@ def permute(values: np.ndarray, total: int, key: int, inverse: bool = False) ->
     return out
 
 
-def tokenize(docs: DataFrame, key: str, text: str, length: int, vocabulary: str) -> DataFrame:
-    """(piece, at, key, part, n_tokens, tokens): fixed-stride sequences, numbered from 0 within each written partition."""
+def fixed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, body) whose partitions hold the same rows in the same order whenever they are read: files are, anything that was shuffled is written first."""
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body"))
+    steps = re.findall(r"^[\s:+\-|*()0-9]*([A-Za-z]+)", rows._jdf.queryExecution().executedPlan().toString(), re.M)
+    return rows if set(steps) <= {"Project", "Filter", "ColumnarToRow", "FileScan", "LocalTableScan"} else materialize(rows, "texts")
+
+
+def count_sequences(rows: DataFrame, length: int, vocabulary: str) -> tuple[dict[int, tuple[int, int]], int]:
+    """({partition: (number of its first sequence, count)}, total): one pair per input partition."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n += sum(-(-(len(token_ids(body, vocabulary)) + 1) // length) for body in batch.column(0).to_pylist() if body)
+        yield pa.RecordBatch.from_pydict({"piece": pa.array([piece], pa.int32()), "n": pa.array([n], pa.int64())})
+
+    first, total = {}, 0
+    for piece, n in sorted(map(tuple, rows.select("body").mapInArrow(count, "piece int, n long").collect())):
+        first[piece] = (total, n)
+        total += n
+    return first, total
+
+
+def place_sequences(docs: DataFrame, key: str, text: str, length: int, per_shard: int, seed: int, vocabulary: str) -> tuple[DataFrame, int]:
+    """(slot, key, part, n_tokens, tokens) in no order, and how many there are. Texts are tokenized twice, first to count: no token is stored on the way."""
+    rows = fixed_texts(docs, key, text)
     kind = docs.schema[key].dataType.simpleString()
     width = "<u2" if END < 2**16 else "<u4"
+    firsts, total = count_sequences(rows, length, vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(firsts)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, at = TaskContext.get().partitionId(), 0
+        first, n = shared.value.get(TaskContext.get().partitionId(), (0, 0))
+        at = first
         for batch in batches:
             owner, part, sizes, blobs = [], [], [], []
             for row, body in enumerate(batch.column(1).to_pylist()):
                 if not body:
                     continue
                 ids = np.array([*token_ids(body, vocabulary), END], dtype=width)
-                for n, first in enumerate(range(0, len(ids), length)):
-                    some = ids[first : first + length]
+                for number, start in enumerate(range(0, len(ids), length)):
+                    some = ids[start : start + length]
                     owner.append(row)
-                    part.append(n)
+                    part.append(number)
                     sizes.append(len(some))
                     blobs.append(some.tobytes() if len(some) == length else np.pad(some, (0, length - len(some)), constant_values=END).tobytes())
-            numbers = pa.array(range(at, at + len(owner)), pa.int64())
+            if at + len(owner) > first + n:
+                raise ValueError("the texts of a partition are not those that were counted")
+            slots = permute(np.arange(at, at + len(owner)), total, seed).astype(np.int64)
             at += len(owner)
             keys = batch.column(0).take(pa.array(owner, pa.int64()))
-            columns = [pa.array([piece] * len(owner), pa.int32()), numbers, keys, pa.array(part, pa.int64()), pa.array(sizes, pa.int32()), pa.array(blobs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["piece", "at", "key", "part", "n_tokens", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(slots), keys, pa.array(part, pa.int64()), pa.array(sizes, pa.int32()), pa.array(blobs, pa.binary())], names=["slot", "key", "part", "n_tokens", "tokens"])
+        if at != first + n:
+            raise ValueError("the texts of a partition are not those that were counted")
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body"))
-    return rows.mapInArrow(cut, f"piece int, at long, key {kind}, part long, n_tokens int, tokens binary")
+    return rows.mapInArrow(cut, f"slot long, key {kind}, part long, n_tokens int, tokens binary"), total
 
 
-def place_sequences(docs: DataFrame, key: str, text: str, length: int, per_shard: int, seed: int, vocabulary: str) -> tuple[DataFrame, DataFrame, int]:
-    """(slot, shard, row, byte_offset, key, part, n_tokens, tokens) in no order, over a written token table; the same without tokens; the number of shards."""
-    written = materialize(tokenize(docs, key, text, length, vocabulary), "token-sequences")
-    sizes = materialize(written.groupBy("piece").agg(F.count("*").alias("n")), "sequence-counts")
-    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    offsets = materialize(running_offsets(sizes, "piece", "n"), "sequence-offsets")
-    numbered = join_small(written, offsets, "piece").withColumn("index", F.col("offset") + F.col("at"))
-    stride = length * (2 if END < 2**16 else 4)
-
-    kind = docs.schema[key].dataType.simpleString()
+def in_slot_order(placed: DataFrame, total: int, per_shard: int) -> DataFrame:
+    """Ranges of whole shards as partitions, sorted within: a sequence's partition follows from its slot."""
     shards = max(1, -(-total // per_shard))
-
-    def placed(columns: list[str], types: str) -> DataFrame:
-        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                slot = permute(batch.column(0).to_numpy(zero_copy_only=False), total, seed).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), *batch.columns[1:]], names=["slot", *columns])
-
-        found = numbered.select("index", *columns).mapInArrow(place, f"slot long, {types}").withColumn("shard", F.floor(F.col("slot") / per_shard)).withColumn("row", F.col("slot") % per_shard)
-        return found.select("slot", "shard", "row", (F.col("row") * stride).alias("byte_offset"), F.col("key").alias(key), *columns[1:])
-
-    lean = f"key {kind}, part long, n_tokens int"
-    return placed(["key", "part", "n_tokens", "tokens"], f"{lean}, tokens binary"), placed(["key", "part", "n_tokens"], lean), shards
+    ranges = min(shards, PARTITIONS)
+    width = -(-shards // ranges) * per_shard
+    return placed.repartitionById(ranges, F.floor(F.col("slot") / width).cast("int")).sortWithinPartitions("slot")
 
 
-def in_slot_order(placed: DataFrame, shards: int) -> DataFrame:
-    return placed.repartitionByRange(shards, "shard").sortWithinPartitions("slot")
+def addressed(ordered: DataFrame, key: str, length: int, per_shard: int) -> DataFrame:
+    """slot, shard, row, byte_offset, key, and the other columns."""
+    stride = length * (2 if END < 2**16 else 4)
+    row = F.col("slot") % per_shard
+    return ordered.select("slot", F.floor(F.col("slot") / per_shard).alias("shard"), row.alias("row"), (row * stride).alias("byte_offset"), F.col("key").alias(key), "part", "n_tokens", "tokens")
 
 
 def training_order(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 512, per_shard: int = 8_192, seed: int = 11, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row per sequence: slot, shard, row (its place in the shard), byte_offset, key, part, n_tokens, tokens.
 
     A document's token ids, closed by the end token, are cut into sequences of `length`; the last is padded with the end
-    token, so each record has the same stride (little-endian 16-bit ids). Sequences are numbered densely: the sizes of the written
-    partitions give each an offset. The keyed permutation turns the number into the global slot; shard = slot / per_shard.
-    Rows come in slot order: ranges of shards form the partitions, sorted within, so a partition writes whole shards one after
-    the other. The written token table fixes the numbering: a lost executor repeats tasks, not the order.
+    token, so each record has the same stride (little-endian 16-bit ids). A first pass counts the sequences of each input partition, which numbers
+    them densely; the keyed permutation turns the number into the global slot; shard = slot / per_shard. Rows come in slot order: ranges of
+    shards form the partitions, sorted within, so a partition writes whole shards one after the other. The texts must come from files or are
+    written first: a lost executor repeats tasks, not the order. A task that meets other texts than were counted fails.
 
     NULL and empty texts have no sequence; NULL and repeated keys are kept; other columns are ignored.
     """
-    placed, _, shards = place_sequences(docs, key, text, length, per_shard, seed, vocabulary)
-    return in_slot_order(placed, shards)
+    placed, total = place_sequences(docs, key, text, length, per_shard, seed, vocabulary)
+    return addressed(in_slot_order(placed, total, per_shard), key, length, per_shard)
+
+
+def shared_folder(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme: a path without one belongs to Spark's default file system, not to an executor's disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def store_of(folder: str):
     """The pyarrow file system of a location and the path in it."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", folder))
 
 
-def write_shards(ordered: DataFrame, folder: str) -> DataFrame:
-    """Write `shard-<number>.bin` files of records without headers; (shard, rows, bytes, file, sha256) of each file, written eagerly.
+def written_records(ordered: DataFrame, folder: str, lead: list[str]) -> DataFrame:
+    """Write the shards now; (lead columns, shard, row, bytes, file, sha256) of each record, from a written table.
 
-    `ordered` is the result of training_order. `folder` is any location that the installed pyarrow file systems reach (a
-    path, file:, hdfs:, s3:); it must be shared. A shard is written under a name of its attempt and then moved, so repeated
-    attempts replace it by the same bytes.
+    A shard is written under a name of its attempt and then moved, so repeated attempts replace it by the same bytes.
     """
+    folder = shared_folder(ordered.sparkSession, folder)
+    kinds = ", ".join(f"`{name}` {ordered.schema[name].dataType.simpleString()}" for name in lead)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = store_of(folder)
         store.create_dir(root, recursive=True)
         attempt, shard, rows, stream = TaskContext.get().taskAttemptId(), None, 0, None
-        done: list[tuple[int, int, int, str, str]] = []
+        held: list[pa.RecordBatch] = []
         digest = hashlib.sha256()
 
-        def close() -> None:
+        def close() -> Iterator[pa.RecordBatch]:
             if stream is not None:
                 size = stream.tell()
                 stream.close()
-                name = posixpath.join(root, f"shard-{shard:08d}.bin")
-                store.move(posixpath.join(root, f"_{shard:08d}-{attempt}"), name)
-                done.append((shard, rows, size, name, digest.hexdigest()))
+                name = f"shard-{shard:08d}.bin"
+                store.move(posixpath.join(root, f"_{shard:08d}-{attempt}"), posixpath.join(root, name))
+                whole = pa.Table.from_batches(held).combine_chunks()
+                at = pa.array(np.arange(rows), pa.int64())
+                ends = [pa.array([x] * rows, kind) for x, kind in ((size, pa.int64()), (f"{folder.rstrip('/')}/{name}", pa.string()), (digest.hexdigest(), pa.string()))]
+                yield from pa.Table.from_arrays([*whole.columns, pa.array([shard] * rows, pa.int64()), at, *ends], names=[*lead, "shard", "row", "bytes", "file", "sha256"]).to_batches()
 
         for batch in batches:
-            for number, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if number != shard:
-                    close()
-                    shard, rows, digest = number, 0, hashlib.sha256()
+            numbers, tokens = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(numbers)) + 1, [len(numbers)]))
+            for a, b in zip(edges.tolist(), edges[1:].tolist()):
+                if b > a and numbers[a] != shard:
+                    yield from close()
+                    shard, rows, held, digest = int(numbers[a]), 0, [], hashlib.sha256()
                     stream = store.open_output_stream(posixpath.join(root, f"_{shard:08d}-{attempt}"))
-                stream.write(tokens)
-                digest.update(tokens)
-                rows += 1
-        close()
-        yield pa.RecordBatch.from_pylist([dict(zip(("shard", "rows", "bytes", "file", "sha256"), d)) for d in done], schema=pa.schema([("shard", pa.int64()), ("rows", pa.int64()), ("bytes", pa.int64()), ("file", pa.string()), ("sha256", pa.string())]))
+                for record in tokens[a:b]:
+                    stream.write(record)
+                    digest.update(record)
+                rows += b - a
+                held.append(pa.RecordBatch.from_arrays([c.slice(a, b - a) for c in batch.columns[2:]], names=lead))
+        yield from close()
 
-    return materialize(ordered.select("shard", "tokens").mapInArrow(write, "shard long, rows long, bytes long, file string, sha256 string"), "shard-manifest")
+    return materialize(ordered.select(F.col("shard").alias("tw_shard"), "tokens", *lead).mapInArrow(write, f"{kinds}, shard long, row long, bytes long, file string, sha256 string"), "shard-records")
 
 
-def written_order(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 512, per_shard: int = 8_192, seed: int = 11, vocabulary: str = VOCABULARY, folder: str | None = None) -> DataFrame:
-    """The rows of training_order from its written shards: the files are written now, and tokens are read back from them.
+def write_shards(ordered: DataFrame, folder: str) -> DataFrame:
+    """Write `shard-<number>.bin` files of records without headers; (shard, rows, bytes, file, sha256) of each file, written eagerly.
 
-    Shards go to `folder`, by default a fresh one below the shared folder. Further columns are `file` and `sha256`, the digest of the
-    file as it is read. A file whose digest is not that of the bytes handed to it fails the read, as does a place beyond its end.
+    `ordered` is the result of training_order. `folder` is any location that the installed pyarrow file systems reach (a
+    path of Spark's default file system, file:, hdfs:, s3:, s3a:); it must be shared.
+    """
+    return written_records(ordered, folder, ["slot"]).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.first("bytes").alias("bytes"), F.first("file").alias("file"), F.first("sha256").alias("sha256"))
+
+
+def read_from(records: DataFrame, slot: int, length: int = 512) -> DataFrame:
+    """The records (columns slot, shard, byte_offset, file, handed and more) from a slot on, in slot order, with `tokens` and `sha256` as read from the files.
+
+    A file whose digest is not that of the bytes handed to it fails the read, as does a place beyond its end.
     """
-    folder = folder or scratch_path(docs.sparkSession, "shards")
-    placed, places, shards = place_sequences(docs, key, text, length, per_shard, seed, vocabulary)
-    manifest = write_shards(in_slot_order(placed, shards), folder)
-    kind = docs.schema[key].dataType.simpleString()
     stride = length * (2 if END < 2**16 else 4)
-    index = join_small(places.withColumnRenamed(key, "key"), manifest.select("shard", "file", F.col("sha256").alias("handed")), "shard")
-    names = ["slot", "shard", "row", "byte_offset", "key", "part", "n_tokens"]
+    names = [c for c in records.columns if c not in ("handed", "file")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = store_of(folder)
         at, data, digest = None, b"", ""
         for batch in batches:
             tokens, digests = [], []
-            for file, handed, offset in zip(batch.column(7).to_pylist(), batch.column(8).to_pylist(), batch.column(3).to_pylist()):
+            for file, handed, offset in zip(*(batch.column(c).to_pylist() for c in ("file", "handed", "byte_offset"))):
                 if file != at:
-                    with store.open_input_stream(file) as stream:
+                    store, path = store_of(file)
+                    with store.open_input_stream(path) as stream:
                         at, data = file, stream.read()
                     digest = hashlib.sha256(data).hexdigest()
                     if digest != handed:
@@ -257,8 +320,25 @@ def written_order(docs: DataFrame, key: str = "doc_id", text: str = "text", leng
                     raise ValueError(f"{file} ends before {offset + stride}")
                 tokens.append(record)
                 digests.append(digest)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:7], pa.array(tokens, pa.binary()), batch.column(7), pa.array(digests, pa.string())], names=[*names, "tokens", "file", "sha256"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(tokens, pa.binary()), batch.column("file"), pa.array(digests, pa.string())], names=[*names, "tokens", "file", "sha256"])
+
+    kinds = ", ".join(f"`{name}` {records.schema[name].dataType.simpleString()}" for name in names)
+    shards = records.where(F.col("slot") >= slot)
+    spread = max(1, shards.select("shard").distinct().count())
+    return shards.repartitionByRange(min(spread, PARTITIONS), "shard").sortWithinPartitions("slot").mapInArrow(read, f"{kinds}, tokens binary, file string, sha256 string")
 
-    ordered = in_slot_order(index.select(*names, "file", "handed"), shards)
-    out = ordered.mapInArrow(read, f"slot long, shard long, row long, byte_offset long, key {kind}, part long, n_tokens int, tokens binary, file string, sha256 string")
-    return out.withColumnRenamed("key", key)
+
+def written_order(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 512, per_shard: int = 8_192, seed: int = 11, vocabulary: str = VOCABULARY, folder: str | None = None, start: int = 0
+) -> DataFrame:
+    """The rows of training_order from its written shards: the files are written now, and tokens are read back from them, from slot `start` on.
+
+    Shards go to `folder`, by default a fresh one below the shared folder. Further columns are `file` and `sha256`, the digest of the
+    file as it is read.
+    """
+    folder = folder or scratch_path(docs.sparkSession, "shards")
+    placed, total = place_sequences(docs, key, text, length, per_shard, seed, vocabulary)
+    ordered = addressed(in_slot_order(placed, total, per_shard), "key", length, per_shard)
+    records = written_records(ordered, folder, ["slot", "byte_offset", "key", "part", "n_tokens"])
+    found = records.select("slot", "shard", "row", "byte_offset", "key", "part", "n_tokens", "file", F.col("sha256").alias("handed"))
+    return read_from(found, start, length).withColumnRenamed("key", key)

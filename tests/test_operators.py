@@ -215,3 +215,76 @@ def test_default_focus_terms(spark):
     rows = [(1, "年假有几天", "a", "annual leave and paid leave"), (1, "年假有几天", "b", "something else"), (2, "其他", "c", "something else")]
     df = spark.createDataFrame([(*r, 0.5, 1) for r in rows], "query_id long, question string, chunk_id string, text string, score double, rank_no long")
     assert {r["chunk_id"] for r in retrieval.focus_filter(df).collect()} == {"a", "c"}
+
+
+def plain_reached(events, steps):
+    """Steps taken by each user: at every instant, in time order, further steps are taken while one of their events is there."""
+    by_user = {}
+    for user, at, kind in events:
+        if user is not None and at is not None:
+            by_user.setdefault(user, {}).setdefault(at, set()).add(kind)
+    out = {}
+    for user, instants in by_user.items():
+        state = 0
+        for at in sorted(instants):
+            while state < len(steps) and steps[state] in instants[at]:
+                state += 1
+        out[user] = state
+    return out
+
+
+def test_funnel_follows_the_order_of_events(spark, rng):
+    """Repeated steps, ties, rows out of order, users without a first step, and a hot user over many days."""
+    t0 = dt.datetime(2024, 1, 1)
+    kinds = ["click", "view", "click", "purchase"]
+    events = [(1, t0 + dt.timedelta(hours=h), kind) for h, kind in enumerate(kinds)]  # a click before and after the view
+    events += [(2, t0, "purchase"), (2, t0, "click"), (2, t0, "view"), (3, t0, "purchase"), (None, t0, "view"), (4, None, "view"), (5, t0, "other")]
+    events += [(6, t0 + dt.timedelta(minutes=rng.randrange(60 * 24 * 40)), rng.choice(["view", "other"])) for _ in range(3000)]
+    events += [(6, t0 + dt.timedelta(days=20), "click"), (6, t0 + dt.timedelta(days=20, hours=1), "purchase")]
+    events += [(10 + rng.randrange(40), t0 + dt.timedelta(hours=rng.randrange(90)), rng.choice([*kinds, "other", None])) for _ in range(400)]
+    rng.shuffle(events)
+    df = spark.createDataFrame(events, "u long, t timestamp_ntz, kind string")
+    steps = ["view", "click", "purchase"]
+    conds = [(s, F.col("kind") == s) for s in steps]
+    for part in ("day", "hour", "month"):
+        got = {r.u: r.reached for r in metrics.steps_reached(df, "u", "t", conds, part).collect()}
+        want = plain_reached(events, steps)
+        assert got == {u: want[u] for u in got} and all(want[u] == 0 for u in want.keys() - got.keys())
+    assert (got[1], got[2], got[3], got[6]) == (3, 3, 0, 3)
+    rows = metrics.conversion_funnel(df, "u", "t", conds).orderBy("step_no").collect()
+    assert [r.user_cnt for r in rows] == [sum(v > i for v in want.values()) for i in range(3)]
+    empty = metrics.conversion_funnel(df.limit(0), "u", "t", conds).orderBy("step_no").collect()
+    assert [(r.user_cnt, r.step_rate) for r in empty] == [(0, None)] * 3
+
+
+def test_sketches_of_days_give_periods(spark):
+    """Periods read sketches only, days without events included; estimates are within four standard errors."""
+    t0 = dt.datetime(2024, 1, 1)
+    days = [d for d in range(45) if d % 9]
+    rows = spark.createDataFrame([(d,) for d in days], "d int").withColumn("u", F.explode(F.sequence(F.col("d") * 300, F.col("d") * 300 + 2999)))
+    events = rows.select((F.lit(t0) + F.make_dt_interval(F.col("d"))).alias("t"), "u")
+    sketches = metrics.daily_sketches(events, "t", "u")
+    assert sketches.count() == len(days)
+    for length in (1, 7, 30):
+        got = {(r.day - t0.date()).days: r.distinct_cnt for r in metrics.period_distinct(sketches, length).collect()}
+        assert sorted(got) == days
+        for d in days:
+            exact = len({u for x in days if d - length < x <= d for u in range(x * 300, x * 300 + 3000)})
+            assert abs(got[d] - exact) <= 4 * 1.04 / 64 * exact
+    assert metrics.period_distinct(metrics.daily_sketches(events.limit(0), "t", "u"), 7).count() == 0
+
+
+def test_contraction_reads_less_every_round(spark, rng):
+    """A long chain, a hot key, a tree and lone members: as the plain version, and settled edges are not read again."""
+    edges = [(i, f"e{i}") for i in range(400)] + [(i + 1, f"e{i}") for i in range(400)]
+    edges += [(1000 + i, "hot") for i in range(300)] + [(2000, "alone"), (2001, None), (None, "hot")]
+    edges += [(3000 + i, f"t{i}") for i in range(1, 120)] + [(3000 + (i - 1) // 2, f"t{i}") for i in range(1, 120)]
+    edges += [(5000 + rng.randrange(200), f"r{rng.randrange(150)}") for _ in range(260)]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "m long, k string")
+    trace = []
+    got = {r.m: r.component for r in graph.contracted_components(df, "m", "k", trace).collect()}
+    assert got == {r.m: r.component for r in graph.member_components(df, "m", "k").collect()}
+    assert {got[i] for i in range(401)} == {0} and {got[1000 + i] for i in range(300)} == {1000} and got[2000] == 2000 and {got[3000 + i] for i in range(120)} == {3000}
+    assert all(b < a for a, b in zip(trace, trace[1:])) and len(trace) < 15
+    assert graph.contracted_components(df.limit(0), "m", "k").count() == 0

@@ -45,3 +45,36 @@ def test_late_and_replayed_events(spark, folder, tmp_path):
     assert run().count() == 121
     write(spark, [(600, 1, 5.0, minutes(-600), "SUCCESS")], folder)  # older than the watermark
     assert run().count() == 121
+
+
+EVENTS = "event_id long, user_id long, event_type string, ts timestamp_ntz"
+
+
+def test_chains_follow_order_whatever_the_batches(spark, tmp_path):
+    """Events out of order over several batches, two sessions of a user, ties, a chain in the wrong order, and an event that comes too late."""
+    folder = tmp_path / "in"
+
+    def put(rows):
+        spark.createDataFrame([(n, u, kind, minutes(m)) for n, (u, kind, m) in enumerate(rows)], EVENTS).coalesce(1).write.mode("append").parquet(str(folder))
+
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+
+    def run():
+        return {(r.user_id, r.window_start): r for r in jobs.run_to_table(jobs.behaviour_chains(jobs.file_stream(spark, str(folder), EVENTS), "user_id", "ts"), "c", out, progress).collect()}
+
+    put([(1, "click", 10), (1, "purchase", 25), (2, "purchase", 0), (2, "click", 1), (2, "view", 2), (None, "view", 3)])
+    assert run() == {}
+    put([(1, "view", 5), (1, "view", 70), (1, "purchase", 70), (1, "click", 70), (3, "view", 60), (3, "click", 85), (3, "view", 100)])  # user 1's chain begins in the second batch
+    assert set(run()) == {(2, minutes(0))}  # the watermark is at 40 minutes, the session's end at 32
+    put([(9, "view", 400)])
+    done = run()
+    assert set(done) == {(1, minutes(5)), (1, minutes(70)), (2, minutes(0)), (3, minutes(60))}
+    assert [(r.event_cnt, r.chain_steps, r.chain_end) for r in (done[1, minutes(5)], done[1, minutes(70)], done[2, minutes(0)], done[3, minutes(60)])] == [
+        (3, 3, minutes(25)), (3, 3, minutes(70)), (3, 1, None), (3, 2, None)
+    ]
+    assert done[3, minutes(60)].window_end == minutes(130) and done[1, minutes(5)].private_cnt == 1
+    put([(1, "view", 300), (4, "view", 401), (9, "click", 410)])  # older than the watermark: never seen
+    put([(9, "purchase", 900)])
+    done = run()
+    assert set(done) == {(1, minutes(5)), (1, minutes(70)), (2, minutes(0)), (3, minutes(60)), (4, minutes(401)), (9, minutes(400))}
+    assert done[9, minutes(400)].chain_steps == 2

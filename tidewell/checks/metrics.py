@@ -12,6 +12,7 @@ from tidewell.functions.pii import PATTERNS, mask_pii, pii_counts
 from tidewell.operators import graph, similarity, snapshots
 from tidewell.operators.relational import scalar
 from tidewell.plans import game, live, metrics
+from tidewell.session import materialize
 from tidewell.sources.star import Star
 
 cte("user_day_layer", """
@@ -131,7 +132,7 @@ SELECT a AS user_id, MIN(b) AS component FROM reach GROUP BY 1
 def _(s: Star):
     a = s.account_behavior()
     edges = a.select("user_id", F.col("device_id").alias("k")).union(a.select("user_id", F.col("ip")))
-    return graph.member_components(edges, "user_id", "k")
+    return graph.contracted_components(edges, "user_id", "k")
 
 
 # All pairs of texts that share a trigram are counted; the smallest reachable text names the group.
@@ -177,18 +178,43 @@ def _(s: Star):
     return metrics.activation_rate(m, "unit_id", ["match_id", "player_id"], m)
 
 
-@query("conversion_funnel", sql("""
-WITH f AS (SELECT user_id, MIN(ts) FILTER (WHERE event_type = 'view') AS a, MIN(ts) FILTER (WHERE event_type = 'click') AS b, MIN(ts) FILTER (WHERE event_type = 'purchase') AS c FROM events GROUP BY 1),
-n AS (SELECT COUNT(a) AS n0, COUNT(*) FILTER (WHERE b >= a) AS n1, COUNT(*) FILTER (WHERE b >= a AND c >= b) AS n2 FROM f)
-SELECT 1::BIGINT AS step_no, 'view' AS step, n0 AS user_cnt, CAST(n0 AS DOUBLE) / NULLIF(n0, 0) AS step_rate FROM n
-UNION ALL SELECT 2, 'private_message', n1, CAST(n1 AS DOUBLE) / NULLIF(n0, 0) FROM n UNION ALL SELECT 3, 'payment', n2, CAST(n2 AS DOUBLE) / NULLIF(n1, 0) FROM n
-"""))
+@query("conversion_funnel", """
+WITH RECURSIVE walk AS (
+  SELECT user_id, 1 AS step_no, MIN(ts) AS at FROM events WHERE event_type = 'view' GROUP BY 1
+  UNION ALL
+  SELECT w.user_id, w.step_no + 1, MIN(e.ts) FROM walk w JOIN events e ON e.user_id = w.user_id AND e.ts >= w.at AND e.event_type = CASE w.step_no WHEN 1 THEN 'click' WHEN 2 THEN 'purchase' END
+  GROUP BY w.user_id, w.step_no),
+n AS (SELECT s.step_no, s.step, COUNT(w.user_id) AS user_cnt FROM (VALUES (1::BIGINT, 'view'), (2, 'private_message'), (3, 'payment')) s(step_no, step) LEFT JOIN walk w USING (step_no) GROUP BY ALL)
+SELECT step_no, step, user_cnt, CAST(user_cnt AS DOUBLE) / NULLIF(COALESCE(LAG(user_cnt) OVER (ORDER BY step_no), user_cnt), 0) AS step_rate FROM n
+""")
 def _(s: Star):
     kind = F.col("event_type")
     steps = [("view", kind == "view"), ("private_message", kind == "click"), ("payment", kind == "purchase")]
     return metrics.conversion_funnel(s.table("events"), "user_id", "ts", steps)
 
 
+# Estimates cannot be stated in SQL: the statement has the exact counts, and that every estimate is within four standard errors (or 2) of them.
+@query("count_distinct_approx", """
+WITH seen AS (SELECT DISTINCT ts::DATE AS day, user_id FROM events),
+days AS (SELECT DISTINCT day FROM seen),
+counts AS (
+  SELECT d.day, COUNT(DISTINCT s.user_id) FILTER (WHERE s.day > d.day - 7) AS users_7d, COUNT(DISTINCT s.user_id) AS users_30d
+  FROM days d JOIN seen s ON s.day <= d.day AND s.day > d.day - 30 GROUP BY d.day)
+SELECT day, users_7d, users_30d, TRUE AS close_7d, TRUE AS close_30d FROM counts
+""")
+def _(s: Star):
+    events = s.table("events")
+    sketches = materialize(metrics.daily_sketches(events, "ts", "user_id"), "daily-sketches")
+    seen = events.select(F.col("ts").cast("date").alias("day"), "user_id").distinct()
+    out = seen.select("day").distinct()
+    for days in (7, 30):
+        exact = seen.select(F.explode(F.sequence("day", F.date_add("day", days - 1))).alias("day"), "user_id").distinct().groupBy("day").agg(F.count("user_id").alias(f"users_{days}d"))
+        out = out.join(exact, "day").join(metrics.period_distinct(sketches, days).withColumnRenamed("distinct_cnt", f"near_{days}d"), "day")
+        near = F.abs(F.col(f"near_{days}d") - F.col(f"users_{days}d")) <= F.greatest(F.lit(2.0), F.col(f"users_{days}d") * (4 * 1.04 / 64))
+        out = out.withColumn(f"close_{days}d", near)
+    return out.select("day", "users_7d", "users_30d", "close_7d", "close_30d")
+
+
 def pii_sql() -> str:
     text, parts = "text", []
     for name, pattern, replacement in PATTERNS:

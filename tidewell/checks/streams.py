@@ -73,14 +73,20 @@ def _(s: Star):
 
 
 @query("stream_session", sql(f"""
-SELECT MIN(ts) AS window_start, MAX(ts) + INTERVAL 30 MINUTE AS window_end, user_id, COUNT(*) AS event_cnt, COUNT(*) FILTER (WHERE event_type = 'view') AS message_cnt,
-       COUNT(*) FILTER (WHERE event_type = 'click') AS private_cnt, COUNT(*) FILTER (WHERE event_type = 'purchase') AS payment_cnt
-FROM (SELECT *, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session_no FROM (
-  SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events))
-GROUP BY user_id, session_no HAVING {closed('ts', 'events', 'MAX(ts) + INTERVAL 30 MINUTE')}
+WITH numbered AS (SELECT *, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session_no FROM (
+  SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events)),
+one AS (SELECT user_id, session_no, MIN(ts) AS t1 FROM numbered WHERE event_type = 'view' GROUP BY 1, 2),
+two AS (SELECT user_id, session_no, t1, MIN(ts) AS t2 FROM one JOIN numbered USING (user_id, session_no) WHERE event_type = 'click' AND ts >= t1 GROUP BY 1, 2, 3),
+three AS (SELECT user_id, session_no, MIN(ts) AS t3 FROM two JOIN numbered USING (user_id, session_no) WHERE event_type = 'purchase' AND ts >= t2 GROUP BY 1, 2),
+counted AS (
+  SELECT MIN(ts) AS window_start, MAX(ts) + INTERVAL 30 MINUTE AS window_end, user_id, session_no, COUNT(*) AS event_cnt, COUNT(*) FILTER (WHERE event_type = 'view') AS message_cnt,
+         COUNT(*) FILTER (WHERE event_type = 'click') AS private_cnt, COUNT(*) FILTER (WHERE event_type = 'purchase') AS payment_cnt
+  FROM numbered GROUP BY user_id, session_no HAVING {closed('ts', 'events', 'MAX(ts) + INTERVAL 30 MINUTE')})
+SELECT window_start, window_end, user_id, event_cnt, message_cnt, private_cnt, payment_cnt, (one.t1 IS NOT NULL)::INT + (t2 IS NOT NULL)::INT + (t3 IS NOT NULL)::INT AS chain_steps, t3 AS chain_end
+FROM counted LEFT JOIN one USING (user_id, session_no) LEFT JOIN two USING (user_id, session_no) LEFT JOIN three USING (user_id, session_no)
 """))
 def _(s: Star):
-    return jobs.run_to_table(jobs.sessions(StreamedStar(s, "events").table("events"), "user_id", "ts"), "sessions")
+    return jobs.run_to_table(jobs.behaviour_chains(StreamedStar(s, "events").table("events"), "user_id", "ts"), "behaviour-chains")
 
 
 @query("stream_dq", sql("""

@@ -7,11 +7,13 @@ ids are dropped once the event time has passed them by the allowed lateness.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidewell.session import scratch_path
 
@@ -100,6 +102,95 @@ def sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", lat
     ).select(*_bounds(), user, "event_cnt", "message_cnt", "private_cnt", "payment_cnt")
 
 
+#: Kinds of a behaviour chain in the order of its steps.
+CHAIN = ("view", "click", "purchase")
+CHAIN_COLUMNS = "window_start timestamp, window_end timestamp, user_id long, event_cnt long, message_cnt long, private_cnt long, payment_cnt long, chain_steps int, chain_end timestamp"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def chain_of(events: list[tuple[int, str]], steps: Sequence[str] = CHAIN) -> tuple[int, int | None]:
+    """(steps taken, time of the last step if all were): the events, sorted by time, read by an automaton; those of one instant count in any order."""
+    taken, i = 0, 0
+    while i < len(events) and taken < len(steps):
+        at, kinds = events[i][0], set()
+        while i < len(events) and events[i][0] == at:
+            kinds.add(events[i][1])
+            i += 1
+        while taken < len(steps) and steps[taken] in kinds:
+            taken += 1
+        if taken == len(steps):
+            return taken, at
+    return taken, None
+
+
+def split_sessions(events: list[tuple[int, str]], gap: int) -> list[list[tuple[int, str]]]:
+    """Sessions of sorted events: a pause of `gap` microseconds or more ends one."""
+    out: list[list[tuple[int, str]]] = []
+    for event in events:
+        if not out or event[0] - out[-1][-1][0] >= gap:
+            out.append([])
+        out[-1].append(event)
+    return out
+
+
+class ChainProcessor(StatefulProcessor):
+    """Keeps a user's open events and a timer per possible end of a session; a session leaves when the watermark has passed its end."""
+
+    def __init__(self, gap: int):
+        self.gap = gap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.events = handle.getListState("events", "at long, kind string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        floor = timerValues.getCurrentWatermarkInMs() * 1000
+        fresh = []
+        for frame in rows:
+            fresh += [(at, kind) for at, kind in zip(frame["at"].tolist(), frame["event_type"].tolist()) if at >= floor]
+        if fresh:
+            self.events.appendList(fresh)
+            for session in split_sessions(sorted(fresh, key=lambda e: e[0]), self.gap):
+                self.handle.registerTimer(-(-(session[-1][0] + self.gap) // 1000))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        floor = timerValues.getCurrentWatermarkInMs() * 1000
+        events = sorted(((at, kind) for at, kind in self.events.get()), key=lambda e: e[0])
+        left, rows = [], []
+        for session in split_sessions(events, self.gap):
+            end = session[-1][0] + self.gap
+            if end > floor:
+                left += session
+                continue
+            steps, done = chain_of(session)
+            counts = [sum(kind == k for _, kind in session) for k in CHAIN]
+            rows.append((session[0][0], end, key[0], len(session), *counts, steps, done))
+        if rows:
+            self.events.put(left) if left else self.events.clear()
+            out = pd.DataFrame(rows, columns=["window_start", "window_end", "user_id", "event_cnt", "message_cnt", "private_cnt", "payment_cnt", "chain_steps", "chain_end"])
+            for name in ("window_start", "window_end", "chain_end"):
+                out[name] = pd.to_datetime(out[name], unit="us")
+            out["chain_steps"] = out["chain_steps"].astype("int32")
+            yield out
+
+    def close(self) -> None:
+        pass
+
+
+def behaviour_chains(events: DataFrame, user: str, ts: str, gap_minutes: int = 30, lateness: str = LATENESS) -> DataFrame:
+    """Sessions of a user with their counts and the ordered chain message -> private message -> payment: `chain_steps` steps were taken, the last at `chain_end`.
+
+    Events may arrive in any order within the allowed lateness: a user's open events are kept as state (RocksDB, so state beyond memory is fine) and
+    timers in event time close a session once no event can join it any more; its events then leave the state. Older events than the
+    watermark are dropped, as are rows without user or time. The result does not depend on how events are dealt into batches.
+    """
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    timed = _timed(events.where(F.col(user).isNotNull()), ts, lateness).select(F.col(user).cast("long").alias("user_id"), ts, F.unix_micros(ts).alias("at"), "event_type")
+    out = timed.groupBy("user_id").transformWithStateInPandas(ChainProcessor(gap_minutes * 60_000_000), T._parse_datatype_string(CHAIN_COLUMNS), "Append", "EventTime")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end", "chain_end")}).withColumnRenamed("user_id", user)
+
+
 def _bounds() -> list[Column]:
     return [F.col(f"window.{edge}").cast("timestamp_ntz").alias(f"window_{edge}") for edge in ("start", "end")]
 

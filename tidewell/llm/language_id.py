@@ -22,6 +22,14 @@ STORE = 300_000
 LONGEST_STORED = 48
 
 
+def words_of(text: str) -> list[str]:
+    """The runs of letters in lower case. The pattern lets other number characters pass (fractions, superscripts); they are cut out."""
+    found = LETTERS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [part for word in found for part in "".join(c if c.isalpha() else " " for c in word).split()]
+
+
 def automaton(text: str) -> list[dict[str, int]]:
     """Transitions of the suffix automaton of a text: state 0 accepts exactly its substrings."""
     steps: list[dict[str, int]] = [{}]
@@ -89,7 +97,7 @@ class Parser:
 
     def bits(self, text: str) -> tuple[np.ndarray | None, int]:
         """Normalised phrases per letter for each language, and the number of letters."""
-        words = LETTERS.findall(text.lower())
+        words = words_of(text)
         if not words:
             return None, 0
         total = np.zeros(len(self.languages), dtype=np.int64)
@@ -151,7 +159,7 @@ def training_samples(labelled: DataFrame, key: str, text: str, lang: str, sample
     bounded = picked.withColumn("before", F.coalesce(F.sum(F.length("piece")).over(order), F.lit(0))).where(F.col("before") < sample_chars)
     for row in bounded.select("lang", "piece", "before").orderBy("lang", "before", "piece").collect():
         by_lang.setdefault(row["lang"], []).append(row["piece"])
-    return [(name, " ".join(["", *LETTERS.findall(" ".join(by_lang[name]).lower())])[:sample_chars] + " ") for name in sorted(by_lang)]
+    return [(name, " ".join(["", *words_of(" ".join(by_lang[name]))])[:sample_chars] + " ") for name in sorted(by_lang)]
 
 
 def identify_languages(docs: DataFrame, labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_chars: int = 40_000, doc_chars: int = 4_000, label_text: str | None = None) -> DataFrame:

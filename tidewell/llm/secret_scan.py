@@ -19,10 +19,15 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "signed_token", "pem_key", "der_key", "ssh_key")
 #: Any dotted part that two others follow; matches overlap.
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{8,}+)\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+))")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
-#: Where a key can begin in a candidate: at its start or after a separator, with the first bytes of a sequence or of the ssh magic.
-KEY_START = re.compile(r"(?:^|(?<=[+/_-]))(?=M[A-P]|b3BlbnNzaC1rZXktdjEA)")
+#: An armoured key; its lines may be escaped, quoted, indented or marked as a comment.
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s>\"',;#*|]++|\\+[nrt])++)-----END \1-----")
+MARKS = re.compile(r"\\+[nrt]|[^A-Za-z0-9+/=]+")
+BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}+={0,2}")
+#: Lines that carry a candidate on: a line break, written out or escaped, quote or indent marks, more base64.
+MORE_LINES = re.compile(r"(?:(?:\\+[rn]|[\r\n])++[\x20\t>]*+[A-Za-z0-9+/]++)++={0,2}")
+LINE_END = re.compile(r"(?:\\+[rn]|[\r\n])+[\x20\t>]*")
+#: Where a key can begin in a candidate: the first bytes of a sequence, of the ssh magic, or of an armoured key.
+KEY_START = re.compile(r"(?=M[A-P]|b3BlbnNzaC1rZXktdjEA|LS0tLS1CRUdJTi)")
 HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{80,}")
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -88,28 +93,72 @@ def is_signed_token(head: str, body: str) -> bool:
         return False
 
 
-def key_in(candidate: str) -> tuple[int, int] | None:
-    """(place, kind number) of the first key that a base64 candidate ends with. Text before it may have joined the candidate with a
-    separator, so each separator is tried; the candidate is decoded once for each of the four alignments."""
+def key_in(candidate: str) -> tuple[int, int, int] | None:
+    """(start, end, kind number) of the first key inside a base64 candidate. Text before or after it may have joined the candidate, so
+    every place with a key's first bytes is tried, and a key ends where its own length says; the candidate is decoded
+    once for each of the four alignments."""
     decoded: dict[int, bytes | None] = {}
-    size = len(candidate.rstrip("="))
-    for found in KEY_START.finditer(candidate):
+    body = candidate.rstrip("=")
+    for found in KEY_START.finditer(body):
         at = found.start()
-        if size - at < 40:
+        if len(body) - at < 40:
             break
         shift = at % 4
         if shift not in decoded:
-            decoded[shift] = decode64(candidate[shift:])
+            whole = len(body) - (len(body) - shift) % 4
+            decoded[shift] = decode64(body[shift:] if (len(body) - shift) % 4 != 1 else body[shift:whole])
         if not decoded[shift]:
             continue
         data = memoryview(decoded[shift])[(at - shift) // 4 * 3 :]
-        if is_der_key(data):
-            return at, 5
-        if is_ssh_key(data):
-            return at, 6
+        size, kind = key_size(data)
+        if size:
+            end = at + (4 * size + 2) // 3
+            while end < len(candidate) and candidate[end] == "=":
+                end += 1
+            return at, end, kind
     return None
 
 
+def key_size(data: memoryview) -> tuple[int, int]:
+    """(bytes, kind number) of the key that the bytes start with; no bytes if there is none."""
+    outer = der_element(data, 0, len(data))
+    if outer and outer[0] == 0x30 and is_der_key(data[: outer[2]]):
+        return outer[2], 5
+    if is_ssh_key(data):
+        return len(data), 6
+    if data[:10] == b"-----BEGIN":
+        inner = PEM.match(bytes(data).decode("latin-1"))
+        if inner and is_pem_key(inner[2]):
+            return inner.end(), 4
+    return 0, 0
+
+
+def is_pem_key(body: str) -> bool:
+    data = decode64(MARKS.sub("", body))
+    return bool(data) and (is_der_key(data) or is_ssh_key(data))
+
+
+def wrapped_key(text: str, start: int, end: int) -> tuple[int, int, int] | None:
+    """The same for a candidate over several lines, with places in the text."""
+    lines, at = [], start
+    for cut in LINE_END.finditer(text, start, end):
+        lines.append((at, cut.start()))
+        at = cut.end()
+    lines.append((at, end))
+    found = key_in("".join(text[a:b] for a, b in lines))
+    if not found:
+        return None
+    places, passed = [], 0
+    for wanted in (found[0], found[1] - 1):
+        passed = 0
+        for a, b in lines:
+            if wanted < passed + b - a:
+                places.append(a + wanted - passed)
+                break
+            passed += b - a
+    return places[0], places[1] + 1, found[2]
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the base patterns."""
     found = []
@@ -128,14 +177,23 @@ def structural_spans(text: str) -> list[tuple[int, int, int]]:
     if "." in text:
         found += [(m.start(), 3, m.end(3)) for m in SIGNED.finditer(text) if is_signed_token(m[1], m[2])]
     if "-----BEGIN" in text:
-        for m in PEM.finditer(text):
-            data = decode64(m[2])
-            if data and (is_der_key(data) or is_ssh_key(data)):
-                found.append((m.start(), 4, m.end()))
+        found += [(m.start(), 4, m.end()) for m in PEM.finditer(text) if is_pem_key(m[2])]
+    armour = [(start, end) for start, kind, end in reversed(found) if kind == 4]  # the next one last
+    joined = reported = 0  # ends of the last candidate of several lines, and of the last key
     for m in BASE64.finditer(text):
+        while armour and armour[-1][0] <= m.start():
+            reported = max(reported, armour.pop()[1])
+        if m.start() < reported:
+            continue
+        more = MORE_LINES.match(text, m.end()) if m.start() >= joined and m.end() < len(text) and text[m.end()] in "\\\r\n" else None
         key = key_in(m[0])
+        key = (m.start() + key[0], m.start() + key[1], key[2]) if key else None
+        if more:
+            joined = more.end()
+            key = key or wrapped_key(text, m.start(), joined)
         if key:
-            found.append((m.start() + key[0], key[1], m.end()))
+            found.append((key[0], key[2], key[1]))
+            reported = key[1]
     for m in HEX_ANY.finditer(text):
         if len(m[0]) % 2 == 0 and m[0].startswith("30") and is_der_key(bytes.fromhex(m[0])):
             found.append((m.start(), 5, m.end()))
@@ -149,7 +207,8 @@ def render(spans: list[tuple[int, int, int]]) -> str:
 def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row: key, spans array<struct<kind,start,end>> (code points, end exclusive), base_spans and all_spans strings, counts.
 
-    Row by row on Arrow batches, nothing is shuffled and the whole text is scanned; a candidate is decoded at most four times. NULL text
+    Row by row on Arrow batches, nothing is shuffled and the whole text is scanned; a candidate is decoded at most four times, and once more
+    with the lines that continue it. NULL text
     is empty and has no span; NULL and repeated keys pass through; other columns are ignored.
     """
     kind = docs.schema[key].dataType.simpleString()

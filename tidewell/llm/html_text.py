@@ -22,15 +22,32 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre"
     " search section summary table tbody td tfoot th thead tr ul".split()
 )
-CLOSED_BY_P = frozenset({"p"})
+VOID = frozenset({"hr"})
 DROPPED = frozenset("nav footer aside form menu head button select dialog search fieldset object video audio canvas".split())
 CORE = frozenset({"article", "main"})
 CONTAINERS = frozenset("article main nav footer aside form menu head button select dialog search fieldset object video audio canvas header div section ul ol dl table figure details span".split())
-#: Words of class, id or role that mark blocks outside the main text.
+#: Names of class, id or role that mark blocks outside the main text.
 HINT = re.compile(
-    r"(?<![a-z0-9])(ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent\w*|gdpr|notice\w*|alert|popup\w*|modal\w*|overlay|side-?bar\w*|menu\w*|nav|navbar|navigation|bread-?crumbs?|footer\w*"
-    r"|site-?header|page-?header|masthead|comments?|comment-?list|commentlist|disqus\w*|replies|respond|related\w*|share\w*|sharing|social\w*|newsletter\w*|subscribe\w*|login|search\w*|contentinfo|complementary|form)(?![a-z0-9])"
+    r"ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|alerts?|popup\w*|modal\w*|overlay|side-?bar\w*|menu\w*|nav|navbar|navigation|bread-?crumbs?|footer\w*"
+    r"|site-?header|page-?header|masthead|comments?|comment-?list|commentlist|disqus\w*|replies|respond|related\w*|share|sharing|social\w*|newsletter\w*|subscribe\w*|login|search\w*|contentinfo|complementary|form"
 )
+#: Parts that a longer name may have beside such a word; any other part (related-work, notice-period) makes it a name of content.
+BESIDE = re.compile(
+    r"[0-9x]*|area|articles?|author|bar|block|body|bottom|box|btn|button|buttons|container|content|entry|footer|global|google|group|head|header|holder|icons?|inline|inner|items?|js|label|large|law|left|links?|list"
+    r"|main|media|mobile|module|outer|page|panel|posts?|primary|reader|reply|right|row|secondary|section|signup|site|slot|small|sticky|stories|story|text|thread|title|tools?|top|unit|user|widgets?|wrap|wrapper|js|c|u|m"
+)
+#: Elements that an opening tag closes without an end tag, and those that keep it from doing so.
+IMPLIED = {
+    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"}),
+}
+
+
+def marks_boilerplate(name: str) -> bool:
+    """Whether a name is such a word, or is made of nothing but such words and parts beside them."""
+    if HINT.fullmatch(name):
+        return True
+    parts = name.split("-")
+    return len(parts) > 1 and any(HINT.fullmatch(p) for p in parts) and all(HINT.fullmatch(p) or BESIDE.fullmatch(p) for p in parts)
 
 
 def unwanted(tag: str, attributes: str, in_core: bool) -> bool:
@@ -40,11 +57,28 @@ def unwanted(tag: str, attributes: str, in_core: bool) -> bool:
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         name = name.lower()
-        if name == "hidden" or name in ("class", "id", "role") and HINT.search(value.strip("\"'").lower().replace("_", "-")):
+        if name == "hidden" or name in ("class", "id", "role") and any(map(marks_boilerplate, value.strip("\"'").lower().replace("_", "-").split())):
             return True
     return False
 
 
+def closes(stack: list[tuple[str, bool]], tag: str) -> int:
+    """How many open elements an opening tag closes: a paragraph before any block, list items, cells and rows before the next one."""
+    for n, (open_tag, _) in enumerate(reversed(stack), 1):
+        if open_tag == "p":
+            return n
+        if open_tag != "span":
+            break
+    if tag in IMPLIED:
+        same, limits = IMPLIED[tag]
+        for n, (open_tag, _) in enumerate(reversed(stack), 1):
+            if open_tag in same:
+                return n
+            if open_tag in limits or open_tag in CORE:
+                break
+    return 0
+
+
 def blocks_of(page: str | None) -> list[tuple[str, bool]]:
     """(text, inside an article) of the visible blocks in page order, without structurally marked boilerplate."""
     page = page or ""
@@ -88,9 +122,14 @@ def blocks_of(page: str | None) -> list[tuple[str, bool]]:
             close = RAW[tag].search(page, at)
             at = size if not close else close.end()
             continue
-        if tag not in CONTAINERS:
+        if tag not in CONTAINERS and tag not in BLOCKS or tag in VOID:
             continue
         if opening:
+            if tag in BLOCKS:
+                for _ in range(closes(stack, tag)):
+                    top, drop = stack.pop()
+                    dropped -= drop
+                    core -= top in CORE
             if found[3].endswith("/"):
                 continue
             drop = unwanted(tag, found[3], core > 0)

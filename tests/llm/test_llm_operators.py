@@ -128,6 +128,15 @@ def test_language_edges(odd, frame):
     assert language_id.keep_identified(odd, taught.limit(0)).count() == 8
 
 
+def test_numbers_are_no_letters(frame):
+    """Fractions, superscripts, circled and Roman numbers, digits of other scripts; words around them count without them."""
+    taught = frame([(1, "the cat and the dog went home", "en", None), (2, "der hund und die katze gehen heim", "de", None)])
+    texts = ["½ ²", "①②", "Ⅷ ⅷ", "٣٤", "12_34", "der² hund½und", "ª"]
+    rows = {r["doc_id"]: r["lang_pred"] for r in language_id.identify_languages(frame([(n, t, None, None) for n, t in enumerate(texts)]), taught).collect()}
+    assert [rows[n] for n in range(6)] == ["und"] * 5 + ["de"] and rows[6] != "und"
+    assert language_id.words_of("Ein² x½y 3D") == ["ein", "x", "y", "d"]
+
+
 # secrets
 
 
@@ -177,6 +186,34 @@ def test_secrets_beside_other_text():
     assert secret_scan.structural_spans("long.dotted.names.everywhere.are.not.tokens.atall " + "MIIE/" * 40 + "x" * 50) == []
 
 
+def test_wrapped_and_nested_keys():
+    """Keys in escaped, quoted and indented armour, over several lines without armour, after letters, before other text, and an armoured key in base64."""
+    rng = random.Random(3)
+    rsa = der(0x30, der(2, b"\0") + der(2, rng.randbytes(129)) + der(2, b"\1\0\1") + der(2, rng.randbytes(128)))
+    pkcs8 = der(0x30, der(2, b"\0") + der(0x30, der(6, bytes.fromhex("2a864886f70d010101")) + der(5, b"")) + der(4, rsa))
+    for key in (rsa, pkcs8):
+        plain = b64(key)
+        lines = [plain[i : i + 64] for i in range(0, len(plain), 64)]
+        head, tail = "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+        for glue in ("\n", "\r\n", "\\n", "\\\\n", "\n> ", "\n    ", '",\n  "', "\n# "):
+            armoured = glue.join([head, *lines, tail])
+            assert secret_scan.structural_spans(f"é {armoured} end") == [(2, 4, 2 + len(armoured))], glue
+            assert secret_scan.structural_spans(f"é {armoured[:200]}{armoured[205:]} end") == [], glue
+        for glue in ("\n", "\r\n", "\\n", "\n> ", "\n\t"):
+            wrapped = glue.join(lines)
+            for before, after in (("", ""), ("key:\n", "\nThe next line goes on"), ("\\n", "\\nThe"), ("KEY=", " end")):
+                found = secret_scan.structural_spans(f"é {before}{wrapped}{after}")
+                assert found == [(2 + len(before), 5, 2 + len(before) + len(wrapped))], (glue, before)
+            assert secret_scan.structural_spans(wrapped[: len(wrapped) // 2]) == []
+        for before in ("\\n", "key", "rsaMA"):
+            assert secret_scan.structural_spans(f"{before}{plain}") == [(len(before), 5, len(before) + len(plain))]
+        nested = b64("\n".join([head, *lines, tail]).encode())
+        assert secret_scan.structural_spans(f"DATA={nested} x") == [(5, 4, 5 + len(nested))]
+        assert secret_scan.structural_spans("\n".join([plain, plain])) == [(0, 5, len(plain)), (len(plain) + 1, 5, 2 * len(plain) + 1)]
+    blob = b64(rng.randbytes(60_000))
+    assert secret_scan.structural_spans("\n".join(blob[i : i + 76] for i in range(0, len(blob), 76))) == []
+
+
 def test_short_values_still_consume():
     assert secret_scan.base_spans("password: token: abcdefgh") == []
     assert secret_scan.render(secret_scan.base_spans("ToKeN='abc123'")) == "assign:0:13"
@@ -384,6 +421,28 @@ def test_blocks():
     assert html_text.blocks_of("<p title='a>b'>x</p>") == [("x", False)]
 
 
+@pytest.mark.parametrize(
+    "inside, expected",
+    [
+        ('<p class="ad">Buy</p><p>kept</p>', ["kept"]),
+        ('<p class="cookie-notice">We use<p>kept', ["kept"]),
+        ('<ul><li class="comment">First <b>one</b><ul><li>reply</li></ul>more</li><li>kept</li></ul>', ["kept"]),
+        ('<ul><li class="ad">x<li>kept</ul>', ["kept"]),
+        ('<h2 class="related">See also</h2><p>kept', ["kept"]),
+        ('<blockquote class="newsletter-signup"><p>Join</p><p>us</p></blockquote>kept', ["kept"]),
+        ('<table><tr class="advert"><td>x<td>y<tr><td>kept</table>', ["kept"]),
+        ('<dl><dt>kept<dd class="share-buttons">x<dt>too</dl>', ["kept", "too"]),
+        ('<div class="related-work"><p>kept</p></div>', ["kept"]),
+        ('<p class="notice-period">kept</p><section id="form-of-government">too</section>', ["kept", "too"]),
+        ('<div class="ad_slot-2"><p>x</div><div id="user-comments"><p>y</p></div><p class="text">kept', ["kept"]),
+        ('<p>one<span class="ad">x</span> two<hr>three</p>', ["one two", "three"]),
+    ],
+)
+def test_names_on_any_block(inside, expected):
+    """Whole names judge, on every block element, with the end tags that HTML lets out."""
+    assert [t for t, core in html_text.blocks_of(f"<body><nav>menu</nav><article>{inside}</article><p>after") if core] == expected
+
+
 def test_repeated_runs_are_removed(spark):
     """Without an article, what three pages of a host repeat goes and what is unique stays."""
     notice = "this long notice stands on every single page of the host"

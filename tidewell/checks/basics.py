@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from tidewell.checks.catalog import query
 from tidewell.checks.ctes import K, cents_text, cte, money, ratio, rnd, sql
 from tidewell.functions import exprs as x
 from tidewell.functions import text as tx
+from tidewell.operators import layout
 from tidewell.operators import ranking as rk
 from tidewell.operators import relational as rel
 from tidewell.plans import bank, charging, game, live
@@ -162,6 +165,21 @@ def _(s: Star):
     return rel.since(s.fact_transaction(), "txn_time", 20).select("txn_id", "txn_time")
 
 
+@query("retention_by_day", sql("""
+SELECT txn_id, txn_time, account_id, CASE WHEN txn_time::DATE > newest::DATE - 3 THEN amount + 1 ELSE amount END AS amount
+FROM fact_transaction, (SELECT MAX(txn_time) AS newest FROM fact_transaction) WHERE txn_time >= newest - INTERVAL 20 DAY
+"""))
+def _(s: Star):
+    # All days are loaded, the last three again with corrected amounts, and days out of retention are dropped.
+    facts = s.fact_transaction().select("txn_id", "txn_time", "account_id", "amount")
+    path, schema = scratch_path(s.spark, "facts-by-day"), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in facts.schema)
+    layout.write_days(facts, "txn_time", path)
+    newest = max(layout.stored_days(s.spark, path), default=dt.date.min)
+    layout.write_days(facts.where(F.col("txn_time").cast("date") > F.date_sub(F.lit(newest), 3)).withColumn("amount", F.col("amount") + 1), "txn_time", path)
+    layout.drop_days_before(s.spark, path, newest - dt.timedelta(days=20) if newest > dt.date.min else newest)
+    return layout.recent_facts(s.spark, path, schema, "txn_time", 20).drop(layout.DAY)
+
+
 # --- joins ----------------------------------------------------------------------------------------------
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.checks import game as _game_checks  # noqa: F401  registers the comp layers
@@ -12,7 +15,7 @@ from tidewell.functions.pii import PATTERNS, mask_pii, pii_counts
 from tidewell.operators import graph, similarity, snapshots
 from tidewell.operators.relational import scalar
 from tidewell.plans import game, live, metrics
-from tidewell.session import materialize
+from tidewell.session import materialize, scratch_path
 from tidewell.sources.star import Star
 
 cte("user_day_layer", """
@@ -236,3 +239,30 @@ def _(s: Star):
     docs, labels = s.table("documents").select("doc_id", "text"), s.table("labels")
     old = docs.join(labels, "doc_id").select("doc_id", F.when(F.col("quality") == 0, F.concat("text", F.lit(" (old)"))).otherwise(F.col("text")).alias("text"))
     return snapshots.changed_rows(docs, snapshots.content_hashes(old, "doc_id", ["text"]), "doc_id", ["text"]).select("doc_id", "content_hash")
+
+
+@query("snapshot_versions", sql("""
+WITH v1 AS (SELECT d.doc_id, CASE WHEN quality = 0 THEN text || ' (old)' ELSE text END AS text, lang FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+v2 AS (SELECT doc_id, text, lang FROM documents),
+v3 AS (SELECT d.doc_id, CASE WHEN quality = 1 THEN text || ' (checked)' ELSE text END AS text, lang FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE toxic IS DISTINCT FROM 1),
+steps AS (
+  SELECT 1 AS version, doc_id, NULL AS old_text, NULL AS old_lang, FALSE AS old, text, lang, TRUE AS fresh FROM v1
+  UNION ALL SELECT 2, COALESCE(a.doc_id, b.doc_id), a.text, a.lang, a.doc_id IS NOT NULL, b.text, b.lang, b.doc_id IS NOT NULL FROM v1 a FULL JOIN v2 b ON a.doc_id = b.doc_id
+  UNION ALL SELECT 3, COALESCE(a.doc_id, b.doc_id), a.text, a.lang, a.doc_id IS NOT NULL, b.text, b.lang, b.doc_id IS NOT NULL FROM v2 a FULL JOIN v3 b ON a.doc_id = b.doc_id)
+SELECT version, doc_id, CASE WHEN NOT old THEN 'added' WHEN NOT fresh THEN 'removed' ELSE 'changed' END AS change, sha256(text) AS text_sha256 FROM steps
+WHERE NOT old OR NOT fresh OR text IS DISTINCT FROM old_text OR lang IS DISTINCT FROM old_lang
+"""))
+def _(s: Star):
+    # Three versions of the documents: the labelled ones, those of low quality with another text; all; the ones that are not toxic, those of high quality marked.
+    docs, labels = s.table("documents").select("doc_id", "text", "lang"), s.table("labels").select("doc_id", "quality", "toxic")
+    labelled, quality = docs.join(labels, "doc_id", "left"), F.col("quality")
+    old = F.when(quality == 0, F.concat("text", F.lit(" (old)"))).otherwise(F.col("text"))
+    checked = F.when(quality == 1, F.concat("text", F.lit(" (checked)"))).otherwise(F.col("text"))
+    store = snapshots.SnapshotStore(s.spark, scratch_path(s.spark, "document-versions"), "doc_id")
+    versions = [docs.join(labels, "doc_id").select("doc_id", old.alias("text"), "lang"), docs, labelled.where(~F.col("toxic").eqNullSafe(1)).select("doc_id", checked.alias("text"), "lang")]
+    listed = []
+    for number, rows in enumerate(versions, 1):
+        store.commit(rows, number)
+        stored = store.read(number).select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+        listed.append(store.changes(number).join(stored, "doc_id", "left").select(F.lit(number).alias("version"), "doc_id", "change", "text_sha256"))
+    return reduce(DataFrame.unionAll, listed)

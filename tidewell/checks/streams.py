@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tidewell.checks.catalog import query
 from tidewell.checks.ctes import cte, money, sql
 from tidewell.operators import quality as dq
+from tidewell.operators import snapshots
+from tidewell.session import scratch_path
 from tidewell.sources.star import Star
 from tidewell.streaming import jobs
 
@@ -72,6 +74,23 @@ def _(s: Star):
     return jobs.run_to_table(jobs.enriched(StreamedStar(s, "events").fact_transaction(), accounts, "account_id"), "enriched")
 
 
+@query("stream_versioned_enrich", sql("""
+SELECT t.txn_id, t.txn_time, t.account_id, a.customer_id, CASE WHEN EXTRACT(DAY FROM t.txn_time) <= 15 THEN a.status || ' (old)' ELSE a.status END AS status,
+       CASE WHEN EXTRACT(DAY FROM t.txn_time) <= 15 THEN 1 ELSE 2 END AS dim_version
+FROM fact_transaction t LEFT JOIN dim_account a ON t.account_id = a.account_id
+"""))
+def _(s: Star):
+    # The transactions of the first half of the months arrive before the accounts change, the others after it.
+    facts, accounts = s.fact_transaction().select("txn_id", "txn_time", "account_id"), s.dim_account().select("account_id", "customer_id", "status")
+    arrived, out, progress = (scratch_path(s.spark, f"arrivals-{part}") for part in ("in", "out", "progress"))
+    store, early = snapshots.SnapshotStore(s.spark, scratch_path(s.spark, "account-versions"), "account_id"), F.dayofmonth("txn_time") <= 15
+    for dimension, rows in ((accounts.withColumn("status", F.concat("status", F.lit(" (old)"))), facts.where(early)), (accounts, facts.where(~early))):
+        store.commit(dimension)
+        rows.write.mode("append").parquet(arrived)
+        joined = jobs.enriched_by_version(jobs.file_stream(s.spark, arrived, facts.schema), store, "account_id", "versioned", out, progress)
+    return joined.drop("batch_id")
+
+
 @query("stream_session", sql(f"""
 WITH numbered AS (SELECT *, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session_no FROM (
   SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events)),

@@ -8,6 +8,7 @@ ids are dropped once the event time has passed them by the allowed lateness.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidewell.operators.layout import is_complete
+from tidewell.operators.snapshots import SnapshotStore
 from tidewell.session import scratch_path
 
 LATENESS = "1 hour"
@@ -92,6 +95,35 @@ def enriched(events: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return events.join(dimension, key, "left")
 
 
+def batch_version(store: SnapshotStore, progress: str, batch_id: int) -> int:
+    """The dimension's version for a micro-batch: the newest when it runs first, noted beside the progress, and the same whenever it is run again."""
+    place = f"{progress}-dimension/batch_id={batch_id}"
+    if not is_complete(store.spark, place):
+        store.spark.createDataFrame([(store.versions()[-1],)], "version int").coalesce(1).write.mode("overwrite").parquet(place)
+    return store.spark.read.schema("version int").parquet(place).first()[0]
+
+
+def enriched_by_version(stream: DataFrame, store: SnapshotStore, key: str, name: str, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Attach a dimension that may change while the stream runs: every micro-batch reads it again, as of one version.
+
+    Events without a match stay; `dim_version` says which version they met. A batch that is run again after a failure meets the same
+    version and overwrites its own rows. At least one version must exist; it keeps the versions that open batches have noted.
+    """
+    fields = [f for f in store.read().schema if f.name != key]
+    clash = {f.name for f in fields} & {*stream.columns, "dim_version", "batch_id"}
+    if clash:
+        raise ValueError(f"columns of the events and the dimension clash: {sorted(clash)}")
+    progress = checkpoint or scratch_path(stream.sparkSession, f"{name}-progress")
+
+    def work(batch: DataFrame, batch_id: int) -> DataFrame:
+        here = replace(store, spark=batch.sparkSession)
+        version = batch_version(here, progress, batch_id)
+        return batch.join(here.read(version), key, "left").select(*stream.columns, *[f.name for f in fields], F.lit(version).alias("dim_version"))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*stream.schema, *fields])
+    return run_per_batch(stream, name, work, f"{schema}, dim_version int", path, progress)
+
+
 def sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", lateness: str = LATENESS) -> DataFrame:
     """Behaviour chains: message, private message and payment counts per user session."""
     kind = F.col("event_type")

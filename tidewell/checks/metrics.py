@@ -255,11 +255,12 @@ WHERE NOT old OR NOT fresh OR text IS DISTINCT FROM old_text OR lang IS DISTINCT
 def _(s: Star):
     # Three versions of the documents: the labelled ones, those of low quality with another text; all; the ones that are not toxic, those of high quality marked.
     docs, labels = s.table("documents").select("doc_id", "text", "lang"), s.table("labels").select("doc_id", "quality", "toxic")
-    labelled, quality = docs.join(labels, "doc_id", "left"), F.col("quality")
+    marked = labels.withColumn("labelled", F.lit(True))
+    labelled, quality = materialize(docs.join(marked, "doc_id", "left"), "labelled-documents"), F.col("quality")
     old = F.when(quality == 0, F.concat("text", F.lit(" (old)"))).otherwise(F.col("text"))
     checked = F.when(quality == 1, F.concat("text", F.lit(" (checked)"))).otherwise(F.col("text"))
     store = snapshots.SnapshotStore(s.spark, scratch_path(s.spark, "document-versions"), "doc_id")
-    versions = [docs.join(labels, "doc_id").select("doc_id", old.alias("text"), "lang"), docs, labelled.where(~F.col("toxic").eqNullSafe(1)).select("doc_id", checked.alias("text"), "lang")]
+    versions = [labelled.where("labelled").select("doc_id", old.alias("text"), "lang"), docs, labelled.where(~F.col("toxic").eqNullSafe(1)).select("doc_id", checked.alias("text"), "lang")]
     listed = []
     for number, rows in enumerate(versions, 1):
         store.commit(rows, number)

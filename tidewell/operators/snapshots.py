@@ -45,6 +45,7 @@ class SnapshotStore:
     exist, and its next run overwrites what is left of it. Unchanged buckets are not written again. Only manifests reach the
     driver: one number per bucket. Choose `buckets` so that one is a few files.
 
+    A table is read twice, for its hashes and for the changed buckets: write it first if it comes from a join of long rows.
     Keys must be unique, a repeated key fails the commit; a NULL key is a key. All versions have the columns of the first.
     """
 
@@ -109,7 +110,7 @@ class SnapshotStore:
         touched = sorted(r[0] for r in self.spark.read.schema("tw_bucket int").parquet(listed).distinct().collect())
         if touched:
             rows = marked.where(F.col("tw_bucket").isin(touched)).hint("rebalance", "tw_bucket")
-            rows.write.mode("overwrite").partitionBy("tw_bucket").parquet(f"{self.path}/data/tw_version={version}")
+            rows.write.mode("overwrite").option("compression", "zstd").partitionBy("tw_bucket").parquet(f"{self.path}/data/tw_version={version}")
         held = held | dict.fromkeys(touched, version)
         lines = [(b, v, None) for b, v in held.items()] + [(None, None, fields.json())]
         self.spark.createDataFrame(lines, "bucket int, held int, fields string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")

@@ -11,10 +11,14 @@ from tidewell.plans import bank
 from tidewell.session import materialize
 from tidewell.sources.star import Star
 
-def by_rule(rules: list[tuple[str, str]], otherwise: str) -> str:
+
+def first_rule(rules: list[tuple[str, str]], otherwise: str) -> str:
     """The name of the first rule that holds, from a list of (name, condition)."""
-    listed = ", ".join(f"{{'name': '{name}', 'holds': {condition}}}" for name, condition in rules)
-    return f"COALESCE(list_filter([{listed}], lambda r: r.holds)[1].name, {otherwise})"
+    return "CASE " + " ".join(f"WHEN {condition} THEN '{name}'" for name, condition in rules) + f" ELSE '{otherwise}' END"
+
+
+def any_of(conditions: list[str]) -> str:
+    return " OR ".join(f"({condition})" for condition in conditions)
 
 
 def when(condition: str, value: str) -> str:
@@ -33,7 +37,7 @@ SELECT customer_id, COUNT(*) FILTER (recent) AS n, {money(when('recent', 'amount
        COUNT(*) FILTER (recent AND night) AS nights, COUNT(*) FILTER (recent AND txn_status = 'FAILED') AS failures, MAX(day) FILTER (recent) AS last_day
 FROM txn_marked GROUP BY ALL HAVING bool_or(recent)
 """)
-cte("txn_baseline_layer", f"SELECT customer_id, {rnd('total / paid', 2)} AS avg_amount_30d, IFNULL({rnd('deviation', 2)}, 0) AS std_amount_30d, n AS txn_cnt_30d FROM habit_layer")
+cte("txn_baseline_layer", f"SELECT customer_id, {rnd('total / paid', 2)} AS avg_amount_30d, COALESCE({rnd('deviation', 2)}, 0) AS std_amount_30d, n AS txn_cnt_30d FROM habit_layer")
 cte("channel_layer", """
 SELECT customer_id, best.channel AS most_used_channel, -best.less AS channel_cnt
 FROM (SELECT customer_id, MIN({'less': -n, 'channel': channel}) AS best FROM (SELECT customer_id, channel, COUNT(*) AS n FROM txn_marked GROUP BY ALL) GROUP BY ALL)
@@ -47,61 +51,59 @@ cte("latest_credit_layer", """
 SELECT f.* FROM fact_credit_snapshot f
 WHERE NOT EXISTS (SELECT 1 FROM fact_credit_snapshot g WHERE g.customer_id = f.customer_id AND (g.snapshot_date, g.credit_id) > (f.snapshot_date, f.credit_id))
 """)
-# All risk signals of all customers below each other; a customer's row is their pivot.
-SIGNALS = {
-    "txn_cnt_30d": "BIGINT", "txn_amount_30d": "DOUBLE", "night_txn_cnt_30d": "BIGINT", "failed_txn_cnt_30d": "BIGINT", "credit_utilization_rate": "DOUBLE",
-    "overdue_cnt_12m": "BIGINT", "max_dpd_days_12m": "BIGINT", "current_overdue_amount": "DOUBLE", "non_active_account_flag": "INTEGER",
-}
-cte("year_overdue", "SELECT * FROM fact_overdue WHERE due_date + INTERVAL 365 DAY >= (SELECT MAX(due_date) FROM fact_overdue)")
-cte("signal_rows", f"""
-FROM behavior_layer SELECT customer_id, unnest([{{'signal': 'txn_cnt_30d', 'v': txn_cnt_30d::DOUBLE}}, {{'signal': 'txn_amount_30d', 'v': txn_amount_30d}},
-  {{'signal': 'night_txn_cnt_30d', 'v': night_txn_cnt_30d::DOUBLE}}, {{'signal': 'failed_txn_cnt_30d', 'v': failed_txn_cnt_30d::DOUBLE}}]) AS item
-UNION ALL FROM latest_credit_layer SELECT customer_id, {{'signal': 'credit_utilization_rate', 'v': utilization_rate}}
-UNION ALL SELECT customer_id, {{'signal': 'overdue_cnt_12m', 'v': COUNT(*)::DOUBLE}} FROM year_overdue GROUP BY customer_id
-UNION ALL SELECT customer_id, {{'signal': 'max_dpd_days_12m', 'v': MAX(dpd_days)::DOUBLE}} FROM year_overdue GROUP BY customer_id
-UNION ALL SELECT customer_id, {{'signal': 'current_overdue_amount', 'v': {rnd(money('is_current_overdue * overdue_amount'), 2)}}} FROM year_overdue GROUP BY customer_id
-UNION ALL SELECT DISTINCT customer_id, {{'signal': 'non_active_account_flag', 'v': 1e0}} FROM dim_account WHERE status <> 'ACTIVE'
+cte("overdue_layer", f"""
+SELECT customer_id, COUNT(*) AS overdue_cnt_12m, MAX(dpd_days) AS max_dpd_days_12m, {rnd(money('is_current_overdue * overdue_amount'), 2)} AS current_overdue_amount
+FROM fact_overdue WHERE due_date >= (SELECT MAX(due_date) FROM fact_overdue) - INTERVAL 365 DAY GROUP BY customer_id
 """)
-cte("risk_feature_layer", f"""
-SELECT c.customer_id, {', '.join(f"COALESCE(MAX(item.v) FILTER (item.signal = '{name}'), 0)::{kind} AS {name}" for name, kind in SIGNALS.items())}
-FROM dim_customer c LEFT JOIN signal_rows USING (customer_id) GROUP BY c.customer_id
+cte("inactive_layer", "SELECT DISTINCT customer_id, 1 AS non_active_account_flag FROM dim_account WHERE status <> 'ACTIVE'")
+cte("risk_feature_layer", """
+SELECT customer_id, COALESCE(txn_cnt_30d, 0) AS txn_cnt_30d, COALESCE(txn_amount_30d, 0) AS txn_amount_30d, COALESCE(night_txn_cnt_30d, 0) AS night_txn_cnt_30d,
+       COALESCE(failed_txn_cnt_30d, 0) AS failed_txn_cnt_30d, COALESCE(utilization_rate, 0)::DOUBLE AS credit_utilization_rate, COALESCE(overdue_cnt_12m, 0) AS overdue_cnt_12m,
+       COALESCE(max_dpd_days_12m, 0)::BIGINT AS max_dpd_days_12m, COALESCE(current_overdue_amount, 0) AS current_overdue_amount, COALESCE(non_active_account_flag, 0) AS non_active_account_flag
+FROM (SELECT customer_id FROM dim_customer)
+LEFT JOIN (SELECT customer_id, txn_cnt_30d, txn_amount_30d, night_txn_cnt_30d, failed_txn_cnt_30d FROM behavior_layer) USING (customer_id)
+LEFT JOIN (SELECT customer_id, utilization_rate FROM latest_credit_layer) USING (customer_id)
+LEFT JOIN overdue_layer USING (customer_id) LEFT JOIN inactive_layer USING (customer_id)
 """)
-# (weight, signal, value at which it is full) of the score.
+# Fixed values: (weight, signal, value at which it is full) of the score, and the levels.
 WEIGHTS = ((35, "credit_utilization_rate", 1), (25, "max_dpd_days_12m", 30), (20, "night_txn_cnt_30d", 5), (10, "failed_txn_cnt_30d", 3), (10, "non_active_account_flag", 1))
+LEVELS = [("high", "risk_score >= 70"), ("medium", "risk_score >= 40")]
 POINTS = " + ".join(f"{weight}e0 * LEAST({name} / {full}e0, 1e0)" for weight, name, full in WEIGHTS)
 cte("risk_score_layer", f"""
-SELECT * REPLACE ({rnd('risk_score', 2)} AS risk_score), {by_rule([('high', rnd('risk_score', 2) + ' >= 70'), ('medium', rnd('risk_score', 2) + ' >= 40')], "'low'")} AS risk_level
-FROM (SELECT * EXCLUDE (txn_cnt_30d, txn_amount_30d, non_active_account_flag), {POINTS} AS risk_score FROM risk_feature_layer)
+SELECT *, {first_rule(LEVELS, 'low')} AS risk_level
+FROM (SELECT * EXCLUDE (txn_cnt_30d, txn_amount_30d, non_active_account_flag), {rnd(POINTS, 2)} AS risk_score FROM risk_feature_layer)
 """)
 cte("balance_layer", f"SELECT customer_id, {money('balance')} AS balance FROM dim_account GROUP BY ALL")
 cte("segment_base", f"""
-SELECT customer_id, IFNULL(txn_cnt_30d, 0) AS txn_cnt_30d, IFNULL(txn_amount_30d, 0) AS txn_amount_30d, IFNULL(days_since_last_txn, 999) AS days_since_last_txn, IFNULL(balance, 0) AS balance,
-       risk_score, risk_level, {rnd('LEAST(IFNULL(txn_amount_30d, 0) / 5000e0 * 1e2, 1e2)', 2)} AS value_score, {rnd('LEAST(IFNULL(txn_cnt_30d, 0) / 20e0 * 1e2, 1e2)', 2)} AS active_score
+SELECT customer_id, COALESCE(txn_cnt_30d, 0) AS txn_cnt_30d, COALESCE(txn_amount_30d, 0) AS txn_amount_30d, COALESCE(days_since_last_txn, 999) AS days_since_last_txn, COALESCE(balance, 0) AS balance,
+       risk_score, risk_level, {rnd('LEAST(COALESCE(txn_amount_30d, 0) / 5000e0 * 1e2, 1e2)', 2)} AS value_score, {rnd('LEAST(COALESCE(txn_cnt_30d, 0) / 20e0 * 1e2, 1e2)', 2)} AS active_score
 FROM (SELECT customer_id FROM dim_customer) LEFT JOIN behavior_layer USING (customer_id) LEFT JOIN balance_layer USING (customer_id)
 LEFT JOIN (SELECT customer_id, risk_score, risk_level FROM risk_score_layer) USING (customer_id)
 """)
+# The first segment that fits.
 SEGMENTS = [
     ("high_value_low_risk", "value_score >= 80 AND risk_score < 40"), ("high_value_high_risk", "value_score >= 80 AND risk_score >= 70"), ("silent_customer", "days_since_last_txn >= 30"),
     ("active_normal_customer", "active_score >= 40 AND risk_score < 70"),
 ]
-cte("segment_layer", f"SELECT *, {by_rule(SEGMENTS, repr('general_customer'))} AS customer_segment FROM segment_base")
+cte("segment_layer", f"SELECT *, {first_rule(SEGMENTS, 'general_customer')} AS customer_segment FROM segment_base")
 cte("abnormal_enriched", """
-SELECT t.* EXCLUDE (night), t.night IS TRUE AS night, IFNULL(b.avg_amount_30d, t.amount) AS mean, t.channel <> IFNULL(m.most_used_channel, t.channel) AS unusual, t.txn_status = 'FAILED' AS failed,
+SELECT t.* EXCLUDE (night), t.night IS TRUE AS night, COALESCE(b.avg_amount_30d, t.amount) AS mean, t.channel <> COALESCE(m.most_used_channel, t.channel) AS unusual, t.txn_status = 'FAILED' AS failed,
        (SELECT COUNT(*) FROM txn_marked o WHERE o.customer_id = t.customer_id AND date_trunc('hour', o.txn_time) IS NOT DISTINCT FROM date_trunc('hour', t.txn_time)) AS hits
 FROM txn_marked t LEFT JOIN txn_baseline_layer b USING (customer_id) LEFT JOIN channel_layer m USING (customer_id)
 """)
+# The first reason that holds, what is reported, and how severe it is.
 REASONS = [
-    ("amount_spike", "amount > mean * 3"), ("high_frequency", "hits >= 3"), ("night_large_txn", "night AND amount > mean * 2"), ("unusual_channel", "unusual AND amount > mean * 1.5::DOUBLE"),
+    ("amount_spike", "amount > mean * 3"), ("high_frequency", "hits >= 3"), ("night_large_txn", "night AND amount > mean * 2"), ("unusual_channel", "unusual AND amount > mean * 1.5e0"),
     ("failed_large_txn", "failed AND amount > mean"),
 ]
-KEPT = ["amount > mean * 2", "hits >= 3", "(night OR unusual) AND amount > mean * 1.5::DOUBLE", "failed AND amount > mean"]
+KEPT = ["amount > mean * 2", "hits >= 3", "(night OR unusual) AND amount > mean * 1.5e0", "failed AND amount > mean"]
 SEVERITY = [("high", "amount > mean * 3 OR hits >= 4"), ("medium", "amount > mean * 2 OR hits >= 3")]
 
 
 def abnormal_sql(source: str = "abnormal_enriched", reasons: tuple[tuple[str, str], ...] = (), kept: tuple[str, ...] = ()) -> str:
     return f"""
-SELECT txn_id, customer_id, account_id, amount, txn_time, channel, txn_type, txn_status, {by_rule([*REASONS, *reasons], repr('normal'))} AS abnormal_reason, {by_rule(SEVERITY, repr('low'))} AS severity
-FROM {source} WHERE list_contains([{', '.join([*KEPT, *kept])}], TRUE)
+SELECT txn_id, customer_id, account_id, amount, txn_time, channel, txn_type, txn_status, {first_rule([*REASONS, *reasons], 'normal')} AS abnormal_reason, {first_rule(SEVERITY, 'low')} AS severity
+FROM {source} WHERE {any_of([*KEPT, *kept])}
 """
 
 
@@ -199,7 +201,7 @@ def _(s: Star):
     return Bank(s).abnormal()
 
 
-STACKED = "utilization_rate >= 0.8::DOUBLE AND amount > mean * 1.5::DOUBLE"
+STACKED = "utilization_rate >= 0.8::DOUBLE AND amount > mean * 1.5e0"
 
 
 @query("risk_stack_rule", sql(abnormal_sql(

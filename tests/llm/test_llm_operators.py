@@ -1,6 +1,7 @@
 """Each operator on small inputs: NULLs, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import base64
+import itertools
 import json
 import math
 import os
@@ -88,6 +89,42 @@ def test_mined_url_rules(spark):
     assert url_filter.filter_urls(pages.limit(0), labels).count() == 0
 
 
+def plain_rules(baskets, support, confidence, least, longest):
+    """Every token set of every basket is counted; a class is all tokens seen in the same baskets."""
+    places = {}
+    for i, (tokens, _) in enumerate(baskets):
+        for t in set(tokens):
+            places.setdefault(t, set()).add(i)
+    classes = {}
+    for t, where in places.items():
+        if len(where) >= least:
+            classes.setdefault(frozenset(where), set()).add(t)
+    found, bad = {}, {i for i, b in enumerate(baskets) if b[1]}
+    for size in range(1, longest + 1):
+        for chosen in itertools.combinations(classes, size):
+            both = frozenset.intersection(*chosen)
+            hits = len(both & bad)
+            if both and hits >= max(least, support * len(baskets)) and hits >= confidence * len(both):
+                found[frozenset(chosen)] = hits / len(both)
+    lean = {c: sure for c, sure in found.items() if not any(d < c and found[d] >= sure for d in found)}
+    return sorted((" ".join(sorted(t for where in c for t in classes[where])), round(sure, 9)) for c, sure in lean.items())
+
+
+@pytest.mark.parametrize("least, longest", [(1, 3), (4, 2), (4, 4), (500, 4)])
+def test_rules_equal_plain_version(spark, least, longest):
+    """Rules by counting all sets, with tokens that always come together, a token of every basket and too few labels."""
+    rng = random.Random(5)
+    baskets = []
+    for _ in range(60):
+        tokens = ["host:com", *(t for t in ("a", "b", "c", "d") if rng.random() < 0.5)]
+        tokens += ["pair1", "pair2", "pair3"] if rng.random() < 0.4 else []
+        baskets.append((tokens, rng.random() < (0.9 if {"a", "b"} <= set(tokens) else 0.7 if "pair1" in tokens else 0.2)))
+    df = spark.createDataFrame([(t + [url_filter.BAD] * bad,) for t, bad in baskets], "items array<string>")
+    got = url_filter.mine_rules(df, 0.02, 0.6, least, longest).collect()
+    assert sorted((r["mined_rule"], round(r["confidence"], 9)) for r in got) == plain_rules(baskets, 0.02, 0.6, least, longest)
+    assert all(r["anchor"] in r["tokens"] for r in got) and bool(got) == (least < 500)
+
+
 @pytest.mark.parametrize("url, verdict, rule", [("http://a.com/x", "allow", "com/"), ("http://example.com/en/1", "block", "example.com/en/"), ("http://www.example.com/en/1", "allow", "www.example.com/en/"), ("http://x.net/es/", "block", "net/es/"), ("http://x.net/de/", None, None), ("http://x.com", None, None), ("http://notexample.com/en/", "allow", "com/")])
 def test_explicit_rules(spark, url, verdict, rule):
     df = spark.createDataFrame([(url,)], "url string")
@@ -401,6 +438,29 @@ def test_contamination_equals_plain_version(spark, odd):
     assert decontaminate.contamination(odd.limit(0), bench).count() == 0
 
 
+def test_many_items_shuffle_rare_words_only(spark, monkeypatch):
+    """Beyond the broadcast bound the same rows result, and only places of prefix tokens are shuffled."""
+    docs = spark.createDataFrame([(i, " ".join(f"common{j % 5}" for j in range(200)) + f" rare{i} tail{i}") for i in range(40)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"common1 common2 common3 common4 rare{i} tail{i}") for i in range(0, 40, 2)], "item_id long, text string")
+    want = lines(decontaminate.contamination(docs, items))
+    assert sum(r[2] > 0 for r in want) == 20
+    vocabulary = spark.createDataFrame([("common1",), ("rare3",), ("none",)], "word string")
+    words = docs.select(F.col("doc_id").alias("mark"), decontaminate.words_of(F.col("text")).alias("w"))
+    counts = lines(decontaminate.word_counts(words, vocabulary))
+    monkeypatch.setattr("tidewell.llm.common.BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert lines(decontaminate.contamination(docs, items)) == want
+        assert lines(decontaminate.word_counts(words, vocabulary)) == counts == [("common1", 1600), ("rare3", 1)]
+        monkeypatch.setattr(decontaminate, "fits_broadcast", lambda *a: False)
+        monkeypatch.setattr("tidewell.llm.common.BROADCAST_BYTES", 1_000)
+        prefixes = spark.createDataFrame([("rare3", 1)], "word string, off int")
+        plan = decontaminate.prefix_places(words, prefixes)._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("BroadcastHashJoin") > plan.index("Exchange hashpartitioning") and "LeftSemi" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_decontamination_stays_in_the_jvm(odd):
     plan = decontaminate.contamination(odd, odd.where("doc_id < 6").select(F.col("doc_id").alias("item_id"), "text"))._jdf.queryExecution().toString()
     plan += exact_dedup.exact_duplicates(odd)._jdf.queryExecution().toString()

@@ -19,16 +19,18 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fits_broadcast(side: DataFrame, row_bytes: Column) -> bool:
+    """Whether the summed bytes of a written side stay within the bound for a broadcast."""
+    return (side.agg(F.sum(row_bytes)).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner", rows: int = BROADCAST_ROWS, row_bytes: Column | None = None) -> DataFrame:
     """Join with a written side: broadcast it when its counted size stays within the bound, else shuffle both.
 
-    `right` must be cheap to count (a materialised table). Sides of short rows are bounded by their number; where rows carry lists,
-    `row_bytes` is summed and bounded instead. Beyond the bound adaptive execution splits hot keys.
+    `right` must be cheap to count (a materialised table). Sides of short rows are bounded by their number; where rows carry lists
+    or texts, `row_bytes` is summed and bounded instead. Beyond the bound adaptive execution splits hot keys.
     """
-    if row_bytes is None:
-        small = right.count() <= rows
-    else:
-        small = (right.agg(F.sum(row_bytes)).first()[0] or 0) <= BROADCAST_BYTES
+    small = right.count() <= rows if row_bytes is None else fits_broadcast(right, row_bytes)
     return left.join(F.broadcast(right) if small else right, on, how)
 
 
@@ -40,4 +42,4 @@ def running_offsets(counts: DataFrame, key: str, size: str) -> DataFrame:
     return counts.select(key, F.coalesce(F.sum(size).over(order), F.lit(0)).alias("offset"))
 
 
-__all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "WORD", "join_small", "materialize", "running_offsets", "table"]
+__all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "WORD", "fits_broadcast", "join_small", "materialize", "running_offsets", "table"]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.exprs import let
-from tidewell.llm.common import join_small, materialize
+from tidewell.llm.common import fits_broadcast, join_small, materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed value: what stands between words, before A-Z are lower-cased.
@@ -43,6 +43,28 @@ def covered(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), zero, add, lambda state: state["n"])
 
 
+def word_counts(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(word, n) of the vocabulary's words in the rows of `words`. A vocabulary beyond the broadcast bound meets counts, which every
+    task has combined before, never single places."""
+    spread = words.select(F.explode("w").alias("word"))
+    if fits_broadcast(vocabulary, F.octet_length("word") + 16):
+        return spread.join(F.broadcast(vocabulary), "word").groupBy("word").agg(F.count("*").alias("n"))
+    return spread.groupBy("word").agg(F.count("*").alias("n")).join(vocabulary, "word")
+
+
+def prefix_places(words: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """(mark, n, at) of every place of a prefix token, with the columns of the token.
+
+    Prefix tokens beyond the broadcast bound are met in two steps: words that are no prefix token go first, against the distinct
+    tokens alone, so that of a document only places of its rare words are shuffled.
+    """
+    spread = words.select("mark", F.size("w").alias("n"), F.posexplode("w").alias("at", "word"))
+    if fits_broadcast(prefixes, F.octet_length("word") + 48):
+        return spread.join(F.broadcast(prefixes), "word")
+    tokens = materialize(prefixes.select("word").distinct(), "prefix-words")
+    return join_small(spread, tokens, "word", "left_semi", row_bytes=F.octet_length("word") + 16).join(prefixes, "word")
+
+
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", size: int = 13) -> DataFrame:
     """One row per document: key, n_words, n_hit, n_items, items (sorted ids as strings), contaminated.
 
@@ -50,7 +72,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
        tokens (any order is right, this one meets fewest places). A window that occurs has all of them at their places.
     2. Document words are joined with the prefix tokens; length and position bounds drop places where the window
        would not fit into the document, and starts that do not meet all prefix tokens go before any text is fetched. The
-       other side is attached by broadcast within its counted bound.
+       other side is broadcast within a bound of its summed bytes; beyond it only places of prefix tokens are shuffled.
     3. Candidates, once per distinct text (so copies cost nothing more), are checked word by word against the document.
 
     A document is contaminated when it has hits and 20 * n_hit >= n_words. NULL and empty texts have no words; an item
@@ -64,15 +86,14 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     vocabulary = materialize(places.select("word").distinct(), "item-words")
     base = docs.select(F.col(key).alias("key"), F.col(text).alias("body"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("mark"))
     words = base.select("mark", words_of(F.col("body")).alias("w"))
-    counts = join_small(words.select(F.explode("w").alias("word")), vocabulary, "word").groupBy("word").agg(F.count("*").alias("n"))
+    counts = word_counts(words, vocabulary)
     known = places.join(counts, "word", "left").groupBy("id", "len").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "off"))).alias("p"))
     rarest = known.where("p[0].n > 0").select("id", "len", F.least(F.col("len"), F.lit(PREFIX)).alias("need"), F.posexplode(F.slice("p", 1, PREFIX)).alias("rank", "p"))
     prefixes = materialize(rarest.select("id", "len", "need", F.expr("shiftleft(1, rank)").alias("bit"), F.col("p.word").alias("word"), F.col("p.off").alias("off")), "item-prefixes")
-    spread = words.select("mark", "w", F.size("w").alias("n")).select("mark", "n", F.posexplode("w").alias("at", "word"))
     fits = (F.col("at") >= F.col("off")) & (F.col("at") - F.col("off") + F.col("len") <= F.col("n"))
-    met = join_small(spread, prefixes, "word").where(fits).groupBy("mark", (F.col("at") - F.col("off")).alias("start"), "id", "need").agg(F.bit_or("bit").alias("bits"))
+    met = prefix_places(words, prefixes).where(fits).groupBy("mark", (F.col("at") - F.col("off")).alias("start"), "id", "need").agg(F.bit_or("bit").alias("bits"))
     whole = met.where(F.col("bits") == F.expr("shiftleft(1, need) - 1")).select("mark", "start", "id")
-    spans = join_small(whole, windows.select("id", "len", "window"), "id")
+    spans = join_small(whole, windows.select("id", "len", "window"), "id", row_bytes=F.octet_length("window") + 32)
     candidates = materialize(spans.groupBy("mark").agg(F.collect_list(F.struct("start", "len", "window")).alias("spans")), "item-candidates")
     weight = F.aggregate("spans", F.lit(0), lambda total, x: total + F.octet_length(x["window"]) + 24)
     suspects = join_small(base.select("mark", "body"), candidates, "mark", row_bytes=weight)
@@ -80,7 +101,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     verified = suspects.select("mark", true.alias("spans")).where(F.size("spans") > 0).groupBy("mark").agg(F.first("spans").alias("spans"))
     verified = materialize(verified, "item-hits")
     found = verified.select("mark", F.explode(F.array_distinct(F.transform("spans", lambda x: x["window"]))).alias("window"))
-    owners = join_small(found, owned.select("item", "window"), "window").groupBy("mark").agg(F.count_distinct("item").alias("n_items"), F.array_sort(F.collect_set("item")).alias("items"))
+    owners = join_small(found, owned.select("item", "window"), "window", row_bytes=F.octet_length("window") + F.coalesce(F.octet_length("item"), F.lit(0)) + 32).groupBy("mark").agg(F.count_distinct("item").alias("n_items"), F.array_sort(F.collect_set("item")).alias("items"))
     hits = materialize(verified.select("mark", covered(F.col("spans")).alias("n_hit")).join(owners, "mark", "left"), "documents-hit")
     n_words = F.coalesce(F.regexp_count(F.col("body"), F.lit(INSIDE)), F.lit(0)).cast("long")
     out = join_small(base.select("key", "mark", n_words.alias("n_words")), hits, "mark", "left", row_bytes=F.size(F.coalesce("items", F.array().cast("array<string>"))) * 24 + 64)

@@ -98,7 +98,39 @@ def _(s: Star):
     return s.texts("pages").select("page_id", tx.strip_ws(tx.strip_markup(tx.unescape_html("html"))).alias("body"))
 
 
-@query("chunk_documents")
+def chunk_levels(size: int, overlap: int, separators: tuple[str, ...]) -> str:
+    """Recursive chunks as sets. A level cuts the spans that are still too long at one separator; neighbouring short pieces are a run.
+    Runs are packed by a recursion over their chunks, which reads where pieces start and end; nothing is read piece by piece."""
+    parts = ["open_0 AS (SELECT name, 0::BIGINT AS lo, length(text) AS n FROM clean_corpus)"]
+    for i, sep in enumerate(separators):
+        mark, wide = " || ".join(f"chr({ord(c)})" for c in sep), len(sep)
+        parts.append(f"""span_{i} AS (SELECT o.name, lo, n, substring(text, lo + 1, n) AS body FROM open_{i} o JOIN clean_corpus c ON c.name = o.name),
+cut_{i} AS (
+  SELECT name, lo AS span, k, CASE WHEN k > 1 THEN {wide} ELSE 0 END + length(piece) AS n FROM (
+    SELECT name, lo, unnest(string_split(body, {mark})) AS piece, unnest(range(1, len(string_split(body, {mark})) + 1)) AS k FROM span_{i} WHERE contains(body, {mark}))),
+placed_{i} AS (
+  SELECT name, span, pos, n, SUM(CASE WHEN n >= {size} THEN 1 ELSE 0 END) OVER (PARTITION BY name, span ORDER BY pos) AS run FROM (
+    SELECT name, span, n, (span + COALESCE(SUM(n) OVER (PARTITION BY name, span ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS pos FROM cut_{i})
+  WHERE n > 0),
+open_{i + 1} AS (SELECT name, pos AS lo, n FROM placed_{i} WHERE n >= {size} UNION ALL SELECT name, lo, n FROM span_{i} WHERE NOT contains(body, {mark}))""")
+    runs = " UNION ALL ".join(f"SELECT name, list(pos ORDER BY pos) AS starts, list(pos + n ORDER BY pos) AS ends FROM placed_{i} WHERE n < {size} GROUP BY name, span, run" for i in range(len(separators)))
+    step = size - overlap
+    parts.append(f"""runs AS ({runs}),
+filled AS (
+  SELECT name, starts, ends, starts[1] AS lo, list_max(list_filter(ends, lambda e: e <= starts[1] + {size})) AS hi FROM runs
+  UNION ALL
+  SELECT name, starts, ends, lo, list_max(list_filter(ends, lambda e: e <= lo + {size})) AS hi FROM (
+    SELECT name, starts, ends, list_min(list_filter(starts, lambda x: x >= hi - {overlap} AND x >= list_min(list_filter(ends, lambda e: e > hi)) - {size})) AS lo
+    FROM filled WHERE hi < list_max(ends))),
+uncut AS (
+  SELECT name, lo + {step} * unnest(range(0, GREATEST(CAST(ceil((n - {overlap}) / {step}e0) AS BIGINT), 1))) AS pos, lo + n AS hi FROM open_{len(separators)}),
+spans AS (SELECT name, lo, hi FROM filled UNION ALL SELECT name, pos, LEAST(pos + {size}, hi) FROM uncut)""")
+    body = f"SELECT c.name, owner, confidentiality, lo, {strip_ws('substring(text, lo + 1, hi - lo)')} AS content FROM spans s JOIN clean_corpus c ON c.name = s.name"
+    return "WITH " + ",\n".join(parts) + f"\nSELECT name, owner, confidentiality, row_number() OVER (PARTITION BY name ORDER BY lo) - 1 AS idx, content FROM ({body}) WHERE content <> ''"
+
+
+# Separators from coarse to fine.
+@query("chunk_documents", sql(chunk_levels(1000, 150, ("\n\n", "\n", "。", ".", " ")), recursive=True))
 def _(s: Star):
     return corpus.chunk_documents(clean(s))
 
@@ -334,7 +366,48 @@ def _(s: Star):
     return docs.select("doc_id", *[c.alias(name) for name, c in retrieval.policy_facts().items()])
 
 
-@query("answer_normalize")
+WORD_CHAR = r"[\p{L}\p{M}\p{Nd}\p{Pc}]"
+NUMBER = r"^(\p{Nd}+(?:\.\p{Nd}+)?)"
+cte("answer_flat", f"""
+SELECT request_id, flat, {squeeze(re_all(re_all('flat', r'\[C[0-9]+\]', ''), '[#*_`]+', ' '))} AS body
+FROM (SELECT request_id, {flat_sql('t')} AS flat FROM (SELECT request_id, {unescape('a')} AS t FROM (SELECT request_id, COALESCE(answer, '') AS a FROM qa_audit) CROSS JOIN entity_names))
+""")
+
+
+def folded(source: str, text: str, start: str, unit: str, gap: str) -> str:
+    """Stuttered units folded one by one from the left: `start` finds the places i of `rest` where a unit begins that comes again after
+    `gap`, `unit` gives it at place i. Each step moves all up to the end of the repeats from `rest` to `done`."""
+    length = f"(length(unit) + {len(gap)})"
+    return f"""
+SELECT request_id, 0 AS step, '' AS done, {text} AS rest FROM {source}
+UNION ALL
+SELECT request_id, step + 1, done || left(rest, i - 1) || unit,
+       substr(rest, i + length(unit) + {length} * list_max(list_filter(range(1, length(rest) // {length} + 1), lambda n: starts_with(substr(rest, i + length(unit)), repeat('{gap}' || unit, n)))))
+FROM (SELECT *, {unit.format(i='i')} AS unit FROM (SELECT *, list_min(list_filter(range(1, length(rest) + 1), lambda i: {start})) AS i FROM {{name}}) WHERE i IS NOT NULL)
+"""
+
+
+NUMBER_AT = f"regexp_extract(substr(rest, {{i}}), '{NUMBER.replace('{', '{{').replace('}', '}}')}', 1)"
+AGAIN_AT = "list_filter([6, 5, 4, 3, 2], lambda n: substr(rest, {i} + n, n) = substr(rest, {i}, n) AND regexp_full_match(substr(rest, {i}, n), '[" + tx.HAN.replace("{", "{{").replace("}", "}}") + "]+'))[1]"
+numbers = folded(
+    "answer_flat", "body",
+    f"regexp_matches(rest, '\\p{{Nd}} \\p{{Nd}}') AND regexp_matches(substr(rest, i, 1), '\\p{{Nd}}') AND NOT regexp_matches(substr(done || rest, length(done) + i - 1, 1), '{WORD_CHAR}')"
+    f" AND starts_with(substr(rest, i + length({NUMBER_AT.format(i='i')})), ' ' || {NUMBER_AT.format(i='i')})",
+    NUMBER_AT, " ",
+)
+phrases = folded("unstuttered", "body", f"regexp_matches(rest, '[{tx.HAN}]{{4}}') AND {AGAIN_AT.format(i='i')} IS NOT NULL", f"substr(rest, {{i}}, {AGAIN_AT})", "")
+cte("number_folds", numbers.replace("{name}", "number_folds"))
+cte("unstuttered", "SELECT request_id, arg_max(done || rest, step) AS body FROM number_folds GROUP BY request_id")
+cte("phrase_folds", phrases.replace("{name}", "phrase_folds"))
+MARKS = "body"
+for mark in "。！？；，":
+    MARKS = re_all(MARKS, f"{mark}+", mark)
+
+
+@query("answer_normalize", sql(f"""
+SELECT request_id, CASE WHEN flat = '' THEN '{tx.FALLBACK_ANSWER}' WHEN body = '' OR regexp_matches(body, '[。！？]$') THEN body ELSE body || '。' END AS answer
+FROM (SELECT request_id, flat FROM answer_flat) JOIN (SELECT request_id, {MARKS} AS body FROM (SELECT request_id, arg_max(done || rest, step) AS body FROM phrase_folds GROUP BY request_id)) USING (request_id)
+""", recursive=True))
 def _(s: Star):
     return s.qa_audit().select("request_id", tx.normalize_answer("answer").alias("answer"))
 

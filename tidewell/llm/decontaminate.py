@@ -11,7 +11,6 @@ from tidewell.llm.common import fits_broadcast, join_small, materialize
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed value: what stands between words, before A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-INSIDE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: Prefix tokens of a window.
 PREFIX = 2
@@ -103,7 +102,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     found = verified.select("mark", F.explode(F.array_distinct(F.transform("spans", lambda x: x["window"]))).alias("window"))
     owners = join_small(found, owned.select("item", "window"), "window", row_bytes=F.octet_length("window") + F.coalesce(F.octet_length("item"), F.lit(0)) + 32).groupBy("mark").agg(F.count_distinct("item").alias("n_items"), F.array_sort(F.collect_set("item")).alias("items"))
     hits = materialize(verified.select("mark", covered(F.col("spans")).alias("n_hit")).join(owners, "mark", "left"), "documents-hit")
-    n_words = F.coalesce(F.regexp_count(F.col("body"), F.lit(INSIDE)), F.lit(0)).cast("long")
+    n_words = F.size(F.array_remove(F.split(F.coalesce("body", F.lit("")), BETWEEN), "")).cast("long")
     out = join_small(base.select("key", "mark", n_words.alias("n_words")), hits, "mark", "left", row_bytes=F.size(F.coalesce("items", F.array().cast("array<string>"))) * 24 + 64)
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
     return out.select(

@@ -3,9 +3,12 @@
 import re
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from test_llm_operators import plain_links
 
 from tidewell.llm.common import materialize, table
+from tidewell.llm.language_id import held_out, keep_identified
+from tidewell.llm.queries import QUERIES
 
 
 def test_stages(spark, small):
@@ -23,6 +26,9 @@ def test_stages(spark, small):
         ids = [r["doc_id"] for r in after]
         if name == "language_id":
             assert sorted(ids) == sorted(r["doc_id"] for r in before if any(c.isalpha() for c in r["text"] or ""))
+            found = {r["doc_id"]: r["lang_pred"] for r in QUERIES["op2_language_id"](spark, small).collect()}
+            given = {r["doc_id"]: r["lang"] for r in before}
+            assert all(r["lang"] == (given[r["doc_id"]] or found[r["doc_id"]]) for r in after)
         elif name == "jaccard_join":
             near = plain_links([r["text"] for r in before])
             seen, want = set(), []
@@ -55,6 +61,17 @@ def test_stages(spark, small):
             assert set(ids) == {r["doc_id"] for r in before if r["text"]}
 
 
+def test_missing_languages_are_filled(spark, small):
+    """Where lang is NULL the language found stands in its place; a given one stays, right or wrong."""
+    docs = table(spark, small, "documents")
+    blank = docs.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, F.lit(None)).when(F.col("doc_id") % 3 == 1, F.lit("given")).otherwise(F.col("lang")))
+    rows = keep_identified(blank, docs.where(~held_out())).collect()
+    truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    assert all(r["lang"] == "given" for r in rows if r["doc_id"] % 3 == 1)
+    filled = [(r["lang"], truth[r["doc_id"]]) for r in rows if r["doc_id"] % 3 == 0 and truth[r["doc_id"]]]
+    assert sum(a == b for a, b in filled) >= 0.97 * len(filled) > 10
+
+
 def test_odd_rows_run_through(spark, odd, small):
     docs = odd
     for name, stage in corpus_pipeline.STAGES:

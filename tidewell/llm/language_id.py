@@ -190,14 +190,15 @@ def identify_languages(docs: DataFrame, labelled: DataFrame, key: str = "doc_id"
 
 
 def keep_identified(docs: DataFrame, labelled: DataFrame, text: str = "text", lang: str = "lang", **options) -> DataFrame:
-    """The rows of `docs` that get a language, with their columns. Texts without a letter are rejected; when no labelled
-    text exists no language can be told, and every text with a letter stays."""
+    """The rows of `docs` that get a language, with their columns; where `lang` is NULL it becomes the language found, a given
+    one stays. Texts without a letter are rejected; when no labelled text exists no language can be told, and every text
+    with a letter stays as it is. Without a column `lang` only rows are chosen."""
     taught = not labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).isEmpty()
     if not taught:
         return docs.where(F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     renamed = docs.withColumnsRenamed({c: f"tw_{c}" for c in docs.columns})
-    found = identify_languages(renamed, labelled, text=f"tw_{text}", lang=lang, label_text=text, **options)
-    return found.where(F.col("lang_pred") != UNKNOWN).select(*[F.col(f"`tw_{c}`").alias(c) for c in docs.columns])
+    found = identify_languages(renamed, labelled, text=f"tw_{text}", lang=lang, label_text=text, **options).where(F.col("lang_pred") != UNKNOWN)
+    return found.select(*[(F.coalesce(f"`tw_{c}`", "lang_pred") if c == lang else F.col(f"`tw_{c}`")).alias(c) for c in docs.columns])
 
 
 def held_out(key: str = "doc_id") -> Column:

@@ -17,7 +17,7 @@ from tidewell.llm.token_output import written_order
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents to which no language can be given: those without text or without a letter."""
+    """Give documents without a language the one found; drop those to which none can be given: without text or without a letter."""
     return keep_identified(docs, docs.where(~held_out()))
 
 

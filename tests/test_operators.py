@@ -288,3 +288,13 @@ def test_contraction_reads_less_every_round(spark, rng):
     assert {got[i] for i in range(401)} == {0} and {got[1000 + i] for i in range(300)} == {1000} and got[2000] == 2000 and {got[3000 + i] for i in range(120)} == {3000}
     assert all(b < a for a, b in zip(trace, trace[1:])) and len(trace) < 15
     assert graph.contracted_components(df.limit(0), "m", "k").count() == 0
+
+
+def test_payload_rounds_exact_sums(spark):
+    """A double of ten billion thousands keeps no fourth decimal: rounded from it, the cost would end in .13."""
+    from tidewell.plans import finance
+
+    clean = spark.createDataFrame([("N", "2024-01", 2e13, 1e13, 1e13, 1.0), ("N", "2024-01", 0.1249, 0.1249, 0.0, 1.0)], "region string, month string, sales_amount double, cost_amount double, profit double, order_count double")
+    sums = '"sales_amount":20000000000000.12,"cost_amount":10000000000000.12,"profit":10000000000000.00,"order_count":2'
+    summary = '"total_sales":20000000000000.12,"total_cost":10000000000000.12,"total_profit":10000000000000.00,"total_orders":2,"profit_margin":0.5000'
+    assert finance.json_payload(clean).first()[0] == f'{{"summary":{{{summary}}},"by_region":[{{"region":"N",{sums}}}],"by_month":[{{"month":"2024-01",{sums}}}]}}'

@@ -190,8 +190,8 @@ def template_summary(kpis: DataFrame, hints: DataFrame) -> DataFrame:
 
 
 def json_payload(clean: DataFrame) -> DataFrame:
-    """Summary, regions and months as one JSON document; both lists are bounded by regions and months."""
-    money = lambda c: F.col(c).cast("decimal(24,2)").alias(c)
+    """Summary, regions and months as one JSON document; both lists are bounded by regions and months. Amounts are exact sums, rounded once."""
+    money = lambda c, name=None: F.col(c).cast("decimal(24,2)").alias(name or c)
 
     def records(df: DataFrame, key: str, order: Sequence[str]) -> Column:
         fields = [key, money("sales_amount"), money("cost_amount"), money("profit"), "order_count"]
@@ -199,11 +199,14 @@ def json_payload(clean: DataFrame) -> DataFrame:
         return df.agg(F.transform(rows, lambda x: x["r"]).alias("rows")).scalar()
 
     clean = sales_cube(clean)
-    kpis = sales_kpis(clean)
-    summary = F.struct(money("total_sales"), money("total_cost"), money("total_profit"), "total_orders", F.col("profit_margin").cast("decimal(10,4)").alias("profit_margin"))
+    margin = sales_kpis(clean).select(F.col("profit_margin").cast("decimal(10,4)")).scalar()
+    totals = clean.agg(*_sales_sums(exact=True)).select(*[F.coalesce(c, F.lit(0)).alias(c) for c in (*SALES_MONEY, "order_count")])
+    summary = F.struct(
+        money("sales_amount", "total_sales"), money("cost_amount", "total_cost"), money("profit", "total_profit"), F.col("order_count").alias("total_orders"), margin.alias("profit_margin")
+    )
     payload = F.struct(
         summary.alias("summary"),
-        records(clean.groupBy("region").agg(*_sales_sums()), "region", ["profit", "region"]).alias("by_region"),
-        records(clean.groupBy("month").agg(*_sales_sums()), "month", ["month"]).alias("by_month"),
+        records(clean.groupBy("region").agg(*_sales_sums(exact=True)), "region", ["profit", "region"]).alias("by_region"),
+        records(clean.groupBy("month").agg(*_sales_sums(exact=True)), "month", ["month"]).alias("by_month"),
     )
-    return kpis.select(F.to_json(payload).alias("payload"))
+    return totals.select(F.to_json(payload).alias("payload"))

@@ -78,3 +78,36 @@ def test_chains_follow_order_whatever_the_batches(spark, tmp_path):
     done = run()
     assert set(done) == {(1, minutes(5)), (1, minutes(70)), (2, minutes(0)), (3, minutes(60)), (4, minutes(401)), (9, minutes(400))}
     assert done[9, minutes(400)].chain_steps == 2
+
+
+ORDERS = "station_id long, energy_kwh double, start_time timestamp_ntz"
+
+
+def test_station_windows_from_panes_equal_native_windows(spark, tmp_path):
+    """Several batches, an empty station and energy, windows of uneven slide, an end at the watermark, late orders: as native windows give over the rows in time.
+
+    A station is one state row, whatever the number of its windows.
+    """
+    folder, out, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
+    first = [(n % 3 or None, None if n % 5 == 0 else n / 4, minutes(n * 700)) for n in range(60)] + [(7, None, minutes(50)), (8, 1.0, None)]
+    late = (1, 100.0, minutes(59 * 700 - 3 * 1440))
+    batches = [first, [late, (1, 999.0, minutes(-20000))], [(9, 1.0, minutes(30 * 1440 + 60))], [(9, 1.0, minutes(90 * 1440))]]
+
+    def run(rows):
+        spark.createDataFrame(rows, ORDERS).coalesce(1).write.mode("append").parquet(folder)
+        return jobs.run_to_table(jobs.station_status(jobs.file_stream(spark, folder, ORDERS), window="7 days", slide="2 days"), "s", out, progress)
+
+    for rows in batches[:3]:
+        got = run(rows)
+    assert max(r.window_end for r in got.collect()) == minutes(30 * 1440)  # the watermark
+    got = run(batches[3])
+    in_time = spark.createDataFrame([row for rows in batches for row in rows if row[1] not in (100.0, 999.0)], ORDERS)
+    on_time = jobs.station_status(in_time, window="7 days", slide="2 days").where("window_end < timestamp_ntz'2024-03-20'")
+    key = lambda row: str(tuple(row))
+    before = sorted((tuple(r) for r in on_time.collect()), key=key)
+    watermark = minutes(59 * 700 - 60)
+    open_then = lambda row: row[2] == 1 and row[0] <= late[2] < row[1] and row[1] > watermark
+    want = [(*row[:3], row[3] + 1, (row[4] or 0) + 100.0, max(row[5], late[2])) if open_then(row) else row for row in before]
+    assert any(map(open_then, before))
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(want, key=key)
+    assert spark.read.format("statestore").option("stateVarName", "panes").load(progress).count() <= 2  # only stations with windows to come

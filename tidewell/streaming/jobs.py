@@ -7,10 +7,13 @@ ids are dropped once the event time has passed them by the allowed lateness.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import replace
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,12 +70,139 @@ def abnormal_windows(transactions: DataFrame, min_count: int = 3, lateness: str
     return counted.where(F.col("txn_cnt") >= min_count).select(*_bounds(), "account_id", "txn_cnt", "failed_cnt", "amount_sum")
 
 
+#: A pane of a station: its start, orders, orders with energy, hundredths of energy above and below 2^32, latest start of an order.
+PANE = ("pane", "n", "filled", "high", "low", "last")
+STATUS_COLUMNS = "{0}, window_end long, order_cnt long, filled long, high long, low long, last_start long"
+
+
+def combined(places: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """(place, sums of its rows, maximum of their last column) of each distinct place, in order."""
+    order = np.argsort(places, kind="stable")
+    places, rows = places[order], rows[order]
+    first = np.flatnonzero(np.diff(places, prepend=places[:1] - 1))
+    return np.column_stack([places[first], np.add.reduceat(rows[:, :-1], first, axis=0), np.maximum.reduceat(rows[:, -1], first)])
+
+
+def packed(panes: np.ndarray) -> bytes:
+    """Panes in order in a few bytes each: steps from the pane before and from the pane's start, byte by byte, compressed. State messages beyond a socket's buffer wait for it."""
+    steps = np.column_stack([np.diff(panes[:, 0], prepend=0), panes[:, 1:5], panes[:, 5] - panes[:, 0]])
+    return pa.Codec("zstd", 1).compress(np.ascontiguousarray(steps.view(np.uint8).T).tobytes(), asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros((0, len(PANE)), dtype=np.int64)
+    raw = np.frombuffer(pa.Codec("zstd").decompress(data, decompressed_size=8 * len(PANE) * n, asbytes=True), dtype=np.uint8).reshape(-1, n)
+    steps = np.ascontiguousarray(raw.T).view(np.int64)
+    place = np.cumsum(steps[:, 0])
+    return np.column_stack([place, steps[:, 1:5], steps[:, 5] + place])
+
+
+class WindowProcessor(StatefulProcessor):
+    """Keeps a key's open panes in one value and a timer for its next window to end: state grows with panes, not with the windows that share them."""
+
+    def __init__(self, window: int, slide: int, names: list[str]):
+        self.window, self.slide, self.names = window, slide, names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.panes = handle.getValueState("panes", "done long, n int, panes binary")
+
+    def _windows(self, panes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ends of the windows that hold a pane: one row per pane, and whether they do."""
+        ends = (panes[:, 0] // self.slide * self.slide + self.window)[:, None] - np.arange(-(-self.window // self.slide)) * self.slide
+        return ends, ends > panes[:, :1]
+
+    def _closed(self, key: tuple, done: int, panes: np.ndarray, floor: int) -> Iterator[pd.DataFrame]:
+        """Windows that the watermark has passed since it was at `done`."""
+        ends, holds = self._windows(panes)
+        row, at = np.nonzero(holds & (ends > done) & (ends <= floor))
+        if len(row):
+            closed = combined(ends[row, at], panes[row, 1:])
+            numbers = dict(zip(("window_end", "order_cnt", "filled", "high", "low", "last_start"), closed.T))
+            yield pd.DataFrame({**{name: [value] * len(closed) for name, value in zip(self.names, key)}, **numbers})
+
+    def _keep(self, panes: np.ndarray, floor: int) -> None:
+        """Write the panes with windows to come, and set the timer for the first of these to end."""
+        ends, holds = self._windows(panes)
+        to_come = holds & (ends > floor)
+        panes = panes[to_come.any(axis=1)]
+        if len(panes):
+            self.panes.update((floor, len(panes), packed(panes)))
+            self.handle.registerTimer(timer_at(int(ends[to_come].min())))
+        else:
+            self.panes.clear()
+
+    def _kept(self) -> tuple[int, np.ndarray]:
+        done, n, panes = self.panes.get() or (0, 0, b"")
+        return done, unpacked(panes, n)
+
+    def handleInputRows(self, key, rows, timerValues):
+        floor = timerValues.getCurrentWatermarkInMs() * 1000
+        done, panes = self._kept()
+        yield from self._closed(key, done, panes, floor)  # late rows do not enter what the watermark has passed
+        fresh = b"".join(pane for frame in rows for pane in frame["panes"])
+        every = np.concatenate([panes, np.frombuffer(fresh, dtype=np.int64).reshape(-1, len(PANE))])
+        self._keep(combined(every[:, 0], every[:, 1:]), floor)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        floor = timerValues.getCurrentWatermarkInMs() * 1000
+        done, panes = self._kept()
+        yield from self._closed(key, done, panes, floor)
+        self._keep(panes, floor)
+
+    def close(self) -> None:
+        pass
+
+
+def timer_at(end: int) -> int:
+    """The timer (ms) of an end in microseconds: timers fire once the watermark is beyond them, windows close once it is at their end."""
+    return -(-end // 1000) - 1
+
+
+def paned(orders: DataFrame, key: str, width: int) -> DataFrame:
+    """(key, panes, event_time): the rows of a pane are summed per Arrow batch, so a key that holds many rows is thinned before it moves. A pane is its numbers as bytes."""
+    cents = (F.col("energy_kwh").cast("decimal(18,2)") * 100).cast("long")
+    at = F.unix_micros("start_time")
+    zero = F.lit(0).cast("long")
+    rows = orders.where(F.col("start_time").isNotNull()).select(
+        key, (at - F.pmod(at, F.lit(width))).alias("pane"), F.lit(1).cast("long").alias("n"), F.col("energy_kwh").isNotNull().cast("long").alias("filled"),
+        F.coalesce(F.shiftright(cents, 32), zero).alias("high"), F.coalesce(cents.bitwiseAND(F.lit(2**32 - 1)), zero).alias("low"), at.alias("last"),
+    )
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = pa.Table.from_batches([batch]).group_by([key, "pane"]).aggregate([(c, "sum") for c in PANE[1:5]] + [("last", "max")]).combine_chunks()
+            numbers = np.column_stack([sums[c].to_numpy() for c in ("pane", "n_sum", "filled_sum", "high_sum", "low_sum", "last_max")])
+            panes = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * len(PANE)), len(numbers), [None, pa.py_buffer(numbers.tobytes())]).cast(pa.binary())
+            yield from pa.table([sums[key], panes, sums["last_max"]], names=[key, "panes", "last"]).to_batches()
+
+    kind = orders.schema[key].dataType.simpleString()
+    return rows.mapInArrow(reduce, f"`{key}` {kind}, panes binary, last long").withColumn("event_time", F.timestamp_micros("last"))
+
+
 def station_status(orders: DataFrame, lateness: str = LATENESS, window: str = "7 days", slide: str = "1 day") -> DataFrame:
-    """Rolling weekly orders and energy per station."""
-    windows = _timed(orders, "start_time", lateness).groupBy(F.window("start_time", window, slide), "station_id")
-    return windows.agg(
-        F.count(F.lit(1)).alias("order_cnt"), F.sum(F.col("energy_kwh").cast("decimal(18,2)")).cast("double").alias("energy_sum"), F.max("start_time").cast("timestamp_ntz").alias("last_start")
-    ).select(*_bounds(), "station_id", "order_cnt", "energy_sum", "last_start")
+    """Rolling weekly orders and energy per station.
+
+    Of a stream, a station's orders are kept as sums per pane - the widest that all windows are made of -, in one state row per station, and a
+    timer hands on the windows that the watermark has passed; a late order enters the windows that are still open. Windows start at multiples of `slide` since 1970.
+    """
+    if not orders.isStreaming:
+        windows = _timed(orders, "start_time", lateness).groupBy(F.window("start_time", window, slide), "station_id")
+        return windows.agg(
+            F.count(F.lit(1)).alias("order_cnt"), F.sum(F.col("energy_kwh").cast("decimal(18,2)")).cast("double").alias("energy_sum"), F.max("start_time").cast("timestamp_ntz").alias("last_start")
+        ).select(*_bounds(), "station_id", "order_cnt", "energy_sum", "last_start")
+    orders.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    width, step = (pd.Timedelta(x) // pd.Timedelta("1us") for x in (window, slide))
+    kind = orders.schema["station_id"].dataType.simpleString()
+    rows = paned(orders.select(F.col("start_time").cast("timestamp"), "station_id", "energy_kwh"), "station_id", math.gcd(width, step))
+    timed = rows.withWatermark("event_time", lateness).select("station_id", "panes")  # without their time no row is dropped before the processor sees it
+    closed = timed.groupBy("station_id").transformWithStateInPandas(WindowProcessor(width, step, ["station_id"]), T._parse_datatype_string(STATUS_COLUMNS.format(f"station_id {kind}")), "Append", "EventTime")
+    whole = F.col("high").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + F.col("low").cast("decimal(20,0)")
+    energy = F.when(F.col("filled") > 0, (whole * F.lit("0.01").cast("decimal(3,2)")).cast("double"))
+    ends = {"window_start": F.col("window_end") - width, "window_end": F.col("window_end"), "last_start": F.col("last_start")}
+    stamp = {name: F.timestamp_micros(micros).cast("timestamp_ntz").alias(name) for name, micros in ends.items()}
+    return closed.select(stamp["window_start"], stamp["window_end"], "station_id", "order_cnt", energy.alias("energy_sum"), stamp["last_start"])
 
 
 def risk_daily(punishments: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -166,7 +296,10 @@ def split_sessions(events: list[tuple[int, str]], gap: int) -> list[list[tuple[i
 
 
 class ChainProcessor(StatefulProcessor):
-    """Keeps a user's open events and a timer per possible end of a session; a session leaves when the watermark has passed its end."""
+    """Keeps a user's open events and a timer for the first possible end of a session; a session leaves when the watermark has passed its end.
+
+    A timer that finds nothing closed, because later events have joined the session, is set again for the first end there is then.
+    """
 
     def __init__(self, gap: int):
         self.gap = gap
@@ -182,24 +315,29 @@ class ChainProcessor(StatefulProcessor):
             fresh += [(at, kind) for at, kind in zip(frame["at"].tolist(), frame["event_type"].tolist()) if at >= floor]
         if fresh:
             self.events.appendList(fresh)
-            for session in split_sessions(sorted(fresh, key=lambda e: e[0]), self.gap):
-                self.handle.registerTimer(-(-(session[-1][0] + self.gap) // 1000))
+            self._wake(split_sessions(sorted(fresh, key=lambda e: e[0]), self.gap))
         return iter([])
 
+    def _wake(self, sessions: list[list[tuple[int, str]]]) -> None:
+        """One timer, whatever the number of sessions: each costs a message and a call."""
+        self.handle.registerTimer(timer_at(sessions[0][-1][0] + self.gap))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         floor = timerValues.getCurrentWatermarkInMs() * 1000
         events = sorted(((at, kind) for at, kind in self.events.get()), key=lambda e: e[0])
-        left, rows = [], []
+        open_sessions, rows = [], []
         for session in split_sessions(events, self.gap):
             end = session[-1][0] + self.gap
             if end > floor:
-                left += session
+                open_sessions.append(session)
                 continue
             steps, done = chain_of(session)
             counts = [sum(kind == k for _, kind in session) for k in CHAIN]
             rows.append((session[0][0], end, key[0], len(session), *counts, steps, done))
+        if open_sessions:
+            self._wake(open_sessions)
         if rows:
-            self.events.put(left) if left else self.events.clear()
+            self.events.put([event for session in open_sessions for event in session]) if open_sessions else self.events.clear()
             out = pd.DataFrame(rows, columns=["window_start", "window_end", "user_id", "event_cnt", "message_cnt", "private_cnt", "payment_cnt", "chain_steps", "chain_end"])
             for name in ("window_start", "window_end", "chain_end"):
                 out[name] = pd.to_datetime(out[name], unit="us")

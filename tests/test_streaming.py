@@ -111,3 +111,48 @@ def test_station_windows_from_panes_equal_native_windows(spark, tmp_path):
     assert any(map(open_then, before))
     assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(want, key=key)
     assert spark.read.format("statestore").option("stateVarName", "panes").load(progress).count() <= 2  # only stations with windows to come
+
+
+class Handle:
+    def __init__(self):
+        self.timers = []
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class Value:
+    kept = None
+
+    def get(self):
+        return self.kept
+
+    def update(self, value):
+        self.kept = value
+
+
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_one_timer_for_all_sessions_of_a_user(spark):
+    """A timer costs a message and a call; one per session made the stream's time grow with sessions."""
+    import pandas as pd
+
+    chains = jobs.ChainProcessor(30 * 60_000_000)
+    chains.handle, chains.events = Handle(), Value()
+    rows = pd.DataFrame({"at": [n * 3_600_000_000 for n in range(1000)], "event_type": ["view"] * 1000})
+    list(chains.handleInputRows((1,), iter([rows]), Clock(0)))
+    assert chains.handle.timers == [30 * 60_000 - 1]
+    assert len(list(chains.handleExpiredTimer((1,), Clock(30 * 60_000 - 1), None))) == 0
+    assert chains.handle.timers == [30 * 60_000 - 1] * 2
+
+
+def test_session_ends_at_the_watermark(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    spark.createDataFrame([(0, 1, "view", minutes(0)), (1, 2, "view", minutes(90))], EVENTS).coalesce(1).write.parquet(folder)
+    assert [r.user_id for r in jobs.run_to_table(jobs.behaviour_chains(jobs.file_stream(spark, folder, EVENTS), "user_id", "ts"), "e").collect()] == [1]

@@ -306,7 +306,16 @@ class ChainProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.events = handle.getListState("events", "at long, kind string")
+        self.events = handle.getValueState("events", "at binary, kind binary")
+
+    def _kept(self) -> list[tuple[int, str]]:
+        """Open events; of kinds outside the chain only their number counts."""
+        at, kinds = self.events.get() or (b"", b"")
+        return [(t, CHAIN[k] if k < len(CHAIN) else "") for t, k in zip(np.frombuffer(at, dtype=np.int64).tolist(), kinds)]
+
+    def _keep(self, events: list[tuple[int, str]]) -> None:
+        kinds = bytes(CHAIN.index(kind) if kind in CHAIN else len(CHAIN) for _, kind in events)
+        self.events.update((np.array([t for t, _ in events], dtype=np.int64).tobytes(), kinds))
 
     def handleInputRows(self, key, rows, timerValues):
         floor = timerValues.getCurrentWatermarkInMs() * 1000
@@ -314,7 +323,7 @@ class ChainProcessor(StatefulProcessor):
         for frame in rows:
             fresh += [(at, kind) for at, kind in zip(frame["at"].tolist(), frame["event_type"].tolist()) if at >= floor]
         if fresh:
-            self.events.appendList(fresh)
+            self._keep(self._kept() + fresh)
             self._wake(split_sessions(sorted(fresh, key=lambda e: e[0]), self.gap))
         return iter([])
 
@@ -324,7 +333,7 @@ class ChainProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         floor = timerValues.getCurrentWatermarkInMs() * 1000
-        events = sorted(((at, kind) for at, kind in self.events.get()), key=lambda e: e[0])
+        events = sorted(self._kept(), key=lambda e: e[0])
         open_sessions, rows = [], []
         for session in split_sessions(events, self.gap):
             end = session[-1][0] + self.gap
@@ -337,7 +346,7 @@ class ChainProcessor(StatefulProcessor):
         if open_sessions:
             self._wake(open_sessions)
         if rows:
-            self.events.put([event for session in open_sessions for event in session]) if open_sessions else self.events.clear()
+            self._keep([event for session in open_sessions for event in session]) if open_sessions else self.events.clear()
             out = pd.DataFrame(rows, columns=["window_start", "window_end", "user_id", "event_cnt", "message_cnt", "private_cnt", "payment_cnt", "chain_steps", "chain_end"])
             for name in ("window_start", "window_end", "chain_end"):
                 out[name] = pd.to_datetime(out[name], unit="us")

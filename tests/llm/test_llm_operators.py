@@ -833,3 +833,13 @@ def test_only_unmoved_files_are_read_twice(spark, small, monkeypatch):
     assert written == []
     token_output.fixed_texts(docs.repartition(3), "doc_id", "text")
     assert written == ["texts"]
+
+
+def test_ids_come_as_bytes_and_are_those_of_the_whole_pattern():
+    """Ids handed on as bytes, without Python numbers, whatever white space there is; the unused special token is ordinary text."""
+    from tidewell.llm import token_output
+
+    plain = token_output.encoder(token_output.VOCABULARY)
+    for text in ["", "a b", "a  b", "a  b", "a 　 b\n", "café  olé", "x\t\ny", "\ud800 lone", f"a {token_output.UNUSED} b", "\U0001f600 \U0001f600"]:
+        assert np.frombuffer(token_output.packed_ids(text, token_output.VOCABULARY), dtype=np.uint32).tolist() == plain.encode_ordinary(text), text
+    assert token_output.holds_run("a \tb") and token_output.holds_run("a　 b") and not token_output.holds_run("a　b é c ")

@@ -24,6 +24,11 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 CUT = re.compile(r"(?<=\S)[ \t\n\r]")
 RUN = re.compile(f"{WHITE}{{2}}")
+#: White space of one byte, by byte; and the rest of it.
+NARROW = np.isin(np.arange(256), [*range(9, 14), 32])
+WIDE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: A special token that no call asks for: with one, the tokenizer hands ids on as bytes, without looking at every character for specials.
+UNUSED = "\0\0\0 unused \0\0\0"
 END = 50_256
 ROUNDS = 6
 #: Most partitions that shards are written from; each writes a range of shards.
@@ -32,18 +37,35 @@ _ENCODERS: dict[tuple[str, str], object] = {}
 
 
 def encoder(vocabulary: str, pattern: str = PATTERN):
-    """The tokenizer of a rank file, read once per process; without special tokens, so any text is ordinary text."""
+    """The tokenizer of a rank file, read once per process; no special token is ever asked for, so any text is ordinary text."""
     if (vocabulary, pattern) not in _ENCODERS:
         import tiktoken
 
         with open(vocabulary, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-        _ENCODERS[vocabulary, pattern] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _ENCODERS[vocabulary, pattern] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={UNUSED: max(ranks.values()) + 1})
     return _ENCODERS[vocabulary, pattern]
 
 
+def holds_run(text: str) -> bool:
+    """Whether two characters of white space stand in a row. The pattern is only asked where there is wide white space: it is slow."""
+    white = NARROW[np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)]
+    return bool((white[1:] & white[:-1]).any()) or (any(c in text for c in WIDE) and RUN.search(text) is not None)
+
+
+def ordinary(tokenizer, text: str) -> bytes:
+    try:
+        return bytes(tokenizer._core_bpe.encode_to_tiktoken_buffer(text, set()))
+    except UnicodeEncodeError:  # a lone surrogate, which the library replaces
+        return np.array(tokenizer.encode_ordinary(text), dtype=np.uint32).tobytes()
+
+
 def token_ids(text: str, vocabulary: str, most: int = 200_000) -> list[int]:
-    """Ids of a whole text. Longer texts are encoded in pieces that end where the split pattern ends a token whatever follows: before
+    return np.frombuffer(packed_ids(text, vocabulary, most), dtype=np.uint32).tolist()
+
+
+def packed_ids(text: str, vocabulary: str, most: int = 200_000) -> bytes:
+    """Ids of a whole text, 4 bytes each. Longer texts are encoded in pieces that end where the split pattern ends a token whatever follows: before
     white space after other text, so the ids are those of the text in one piece. A piece without such a place is as long as it must be.
 
     Runs of `most` white space characters or more overflow the tokenizer's pattern: the pattern makes one token of all but the last
@@ -52,28 +74,28 @@ def token_ids(text: str, vocabulary: str, most: int = 200_000) -> list[int]:
     The pattern looks ahead only to leave the last character of a run of white space to what follows. Texts without two white space characters
     in a row are split alike without that, and faster.
     """
-    tokenizer = encoder(vocabulary) if RUN.search(text) else encoder(vocabulary, PATTERN.replace(r"\s+(?!\S)|", ""))
+    tokenizer = encoder(vocabulary) if holds_run(text) else encoder(vocabulary, PATTERN.replace(r"\s+(?!\S)|", ""))
     if len(text) <= most:
-        return tokenizer.encode_ordinary(text)
-    ids: list[int] = []
+        return ordinary(tokenizer, text)
+    ids: list[bytes] = []
     at = 0
     for run in re.finditer(f"{WHITE}{{{most},}}", text):
-        ids += pieces_ids(tokenizer, text[at : run.start()], most)
+        ids.append(pieces_ids(tokenizer, text[at : run.start()], most))
         at = run.end() if run.end() == len(text) else run.end() - 1
         if at > run.start():
-            ids += tokenizer._encode_single_piece(text[run.start() : at])
-    return ids + pieces_ids(tokenizer, text[at:], most)
+            ids.append(np.array(tokenizer._encode_single_piece(text[run.start() : at]), dtype=np.uint32).tobytes())
+    return b"".join([*ids, pieces_ids(tokenizer, text[at:], most)])
 
 
-def pieces_ids(tokenizer, text: str, most: int) -> list[int]:
-    ids: list[int] = []
+def pieces_ids(tokenizer, text: str, most: int) -> bytes:
+    ids: list[bytes] = []
     at = 0
     while at < len(text):
         cut = CUT.search(text, at + most)
         end = cut.start() if cut else len(text)
-        ids += tokenizer.encode_ordinary(text[at:end])
+        ids.append(ordinary(tokenizer, text[at:end]))
         at = end
-    return ids
+    return b"".join(ids)
 
 
 def half_bits(total: int) -> int:
@@ -127,7 +149,7 @@ def count_sequences(rows: DataFrame, length: int, vocabulary: str) -> tuple[dict
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece, n = TaskContext.get().partitionId(), 0
         for batch in batches:
-            n += sum(-(-(len(token_ids(body, vocabulary)) + 1) // length) for body in batch.column(0).to_pylist() if body)
+            n += sum(-(-(len(packed_ids(body, vocabulary)) // 4 + 1) // length) for body in batch.column(0).to_pylist() if body)
         yield pa.RecordBatch.from_pydict({"piece": pa.array([piece], pa.int32()), "n": pa.array([n], pa.int64())})
 
     first, total = {}, 0
@@ -153,7 +175,7 @@ def place_sequences(docs: DataFrame, key: str, text: str, length: int, per_shard
             for row, body in enumerate(batch.column(1).to_pylist()):
                 if not body:
                     continue
-                ids = np.array([*token_ids(body, vocabulary), END], dtype=width)
+                ids = np.append(np.frombuffer(packed_ids(body, vocabulary), dtype=np.uint32).astype(width), np.array(END, dtype=width))
                 for number, start in enumerate(range(0, len(ids), length)):
                     some = ids[start : start + length]
                     owner.append(row)

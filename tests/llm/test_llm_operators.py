@@ -9,12 +9,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidewell.llm import decontaminate, exact_dedup, html_text, jaccard_join, language_id, mixing, secret_scan, substring_dedup, token_output, url_filter, words
+from tidewell.llm.common import PIECE_BYTES, PIECE_ROWS, pieces
 
 
 def lines(df):
@@ -397,6 +399,26 @@ def test_join_edges(odd):
     assert jaccard_join.near_duplicates(odd.limit(0)).count() == 0 and jaccard_join.keep_one(odd.limit(0)).count() == 0
 
 
+def test_batches_are_worked_on_in_small_pieces():
+    """A worker turns a bounded part of a batch into texts and shingles at once; all rows come through in order."""
+
+    class Rows:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, sign, _):  # noqa: N802
+            return sign
+
+    texts = [f"text {i} " + "some words to fill it " * 60 for i in range(1500)] + ["long " * 200_000, None, ""]
+    marks = [str(i).encode() for i in range(len(texts))]
+    whole = pa.record_batch({"mark": marks, "body": texts})
+    found = list(pieces([whole, whole.slice(0, 0)]))
+    assert pa.Table.from_batches(found) == pa.Table.from_batches([whole])
+    assert all(p.num_rows <= PIECE_ROWS and (p.nbytes <= PIECE_BYTES or p.num_rows == 1) for p in found)
+    signed = list(jaccard_join.forest(Rows(), 5, 24, 8, 6)(iter([whole])))
+    assert [m for b in signed for m in b.column(0).to_pylist()] == marks and max(b.num_rows for b in signed) <= PIECE_ROWS
+
+
 def test_prefix_is_shortened_to_the_recall():
     assert jaccard_join.prefix_depth(24, 8, 0.8, 0.999) == 6
     assert jaccard_join.prefix_depth(24, 8, 0.8, 0.5) == 8

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import join_small, materialize
+from tidewell.llm.common import join_small, materialize, pieces
 from tidewell.llm.words import BASE, mix, run_names, word_names
 from tidewell.operators.graph import member_components
 
@@ -40,12 +40,6 @@ def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     return out
 
 
-def sets_in_slices(texts: list[bytes], size: int, rows: int = 256) -> Iterator[np.ndarray]:
-    """The same for a whole batch, a few texts at a time in memory."""
-    for at in range(0, len(texts), rows):
-        yield from shingle_sets(texts[at : at + rows], size)
-
-
 def signature(shingles: np.ndarray, scale: np.ndarray, shift: np.ndarray) -> np.ndarray:
     """The smallest value of each hash function over a set, in pieces of bounded size."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
@@ -72,9 +66,9 @@ def forest(rows: DataFrame, size: int, trees: int, depth: int, prefix: int) -> D
     shift = rng.integers(0, 2**32, trees * depth, dtype=np.uint32)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
-            keys = [branch_keys(signature(s, scale, shift), trees, depth, prefix) if len(s) else [] for s in sets_in_slices(texts, size)]
+            keys = [branch_keys(signature(s, scale, shift), trees, depth, prefix) if len(s) else [] for s in shingle_sets(texts, size)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["mark", "keys"])
 
     return rows.select("mark", "body").mapInArrow(sign, "mark binary, keys array<bigint>")
@@ -137,8 +131,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     picked = join_small(base.select("mark", "body"), groups, "mark", rows=LISTED).groupBy("mark", "component").agg(F.first("body").alias("body"))
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = list(sets_in_slices([t.encode() for t in batch.column(2).to_pylist()], size))
+        for batch in pieces(batches):
+            sets = shingle_sets([t.encode() for t in batch.column(2).to_pylist()], size)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["mark", "component", "n", "shingles"]
             )

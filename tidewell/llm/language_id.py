@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import join_small, materialize
+from tidewell.llm.common import join_small, materialize, pieces
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -180,7 +180,7 @@ def identify_languages(docs: DataFrame, labelled: DataFrame, key: str = "doc_id"
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = parser_for(sent.value)
-        for batch in batches:
+        for batch in pieces(batches):
             found = [parser.predict(t) for t in batch.column(place).to_pylist()]
             extra = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*names, "lang_pred", "lang_score"])

@@ -209,6 +209,30 @@ def test_links_beside_a_leader_are_found(spark, monkeypatch):
         assert {r["id"]: r["group"] for r in similarity.similar_groups(df, "id", "t", bands=2, rows=1).collect()} == root
 
 
+@pytest.mark.parametrize("threshold, block", [(0.3, 16_384), (0.8, 7), (1.0, 7)])
+def test_no_link_is_missed(spark, monkeypatch, threshold, block):
+    """The groups that comparing all pairs makes, for texts of very different sizes, one block a class or many; at 0.3 bands would miss most links."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij😀") for _ in range(rng.randint(2, 7))) for _ in range(200)]
+    texts = {"", "a", "ab ", "b", None}
+    for length in (1, 2, 4, 9, 30, 30, 120, 600):
+        base = [rng.choice(words) for _ in range(length)]
+        for _ in range(14):
+            texts.add(" ".join(rng.choice(words) if rng.random() < 0.08 else w for w in base) + rng.choice(["", "", " ", "  "]))
+    texts = dict(enumerate(sorted(texts, key=str)))
+    sets = {i: {t[k : k + 3] for k in range(len(t) - 2)} for i, t in ((i, (t or "").ljust(3)) for i, t in texts.items())}
+    root = {i: i for i in texts}
+    for a in texts:
+        for b in range(a):
+            if len(sets[a] & sets[b]) * (1 + threshold) >= (len(sets[a]) + len(sets[b])) * threshold and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    monkeypatch.setattr(similarity, "BLOCK", block)
+    got = similarity.similar_groups(spark.createDataFrame(list(texts.items()), "id long, t string"), "id", "t", threshold)
+    assert {r["id"]: r["group"] for r in got.collect()} == root and len(set(root.values())) > 5
+    assert similarity.similar_groups(spark.createDataFrame([], "id long, t string"), "id", "t", threshold).count() == 0
+
+
 def test_default_focus_terms(spark):
     from tidewell.plans import retrieval
 

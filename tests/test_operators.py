@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidewell.operators import graph, quality, ranking, relational, similarity
@@ -233,6 +234,31 @@ def test_no_link_is_missed(spark, monkeypatch, threshold, block):
     assert similarity.similar_groups(spark.createDataFrame([], "id long, t string"), "id", "t", threshold).count() == 0
 
 
+def test_texts_are_not_copied_for_the_blocks_they_meet(spark, monkeypatch):
+    """However many blocks there are, a frame that is written or shuffled holds each text once."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(80)]
+    texts = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(40)]
+    rows = [(i, t, i % 7) for i, t in enumerate(texts + [t[:-1] for t in texts])]
+    frames, write = [], DataFrameWriter.parquet
+
+    def noted(self, *args, **named):
+        frames.append(self._df)
+        return write(self, *args, **named)
+
+    monkeypatch.setattr(similarity, "BLOCK", 9)
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    df = spark.createDataFrame(rows, "id long, t string, m int")
+    got = {r["id"]: r["group"] for r in similarity.similar_groups(df.select("id", "t"), "id", "t").collect()}
+    monkeypatch.undo()
+    assert all(got[i] == got[i + 40] == i for i in range(40))
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in frames]
+    assert not any("Generate" in x or "Join" in x and "bits" in x for x in plans)
+    assert {f.count() for f in frames if "bits" in f.columns} == {80}
+    carried = similarity.similar_groups(df, "id", "t", carry=["m"]).collect()
+    assert {(r["id"], r["group"], r["m"]) for r in carried} == {(i, i % 40, i % 7) for i in range(80)} and len(carried) == 80
+
+
 def test_default_focus_terms(spark):
     from tidewell.plans import retrieval
 
